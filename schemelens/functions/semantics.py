@@ -61,19 +61,19 @@ def cat(*parts) -> Column:
 
 # --------------------------------------------------------- exact HALF_UP ratio
 def half_up(num, den, k: int) -> Column:
-    """ROUND(num / den, k) with HALF_UP, computed exactly in integers.
+    """ROUND(num / den, k), HALF_UP (away from zero), computed exactly.
 
-    ``num`` and ``den`` must be non-negative integral columns (money in paise,
-    time in seconds, counts).  Widened to decimal(38,0) so the intermediate
-    2*num*10^k cannot overflow at large scale.  Returns a double; NULL when
-    den is 0 or NULL.
+    ``num`` / ``den`` are integral columns (money in paise, time in seconds,
+    counts), ``den`` positive.  Widened to decimal(38,0) so 2*|num|*10^k cannot
+    overflow at large scale.  Returns a double; NULL when den is 0 or NULL.
     """
     n = _c(num).cast("decimal(38,0)")
     d = _c(den).cast("decimal(38,0)")
     scale = 10 ** k
-    top = (F.lit(2) * n * F.lit(scale) + d).cast("decimal(38,0)")
+    top = (F.lit(2) * F.abs(n) * F.lit(scale) + d).cast("decimal(38,0)")
     bottom = (F.lit(2) * d).cast("decimal(38,0)")
-    return F.when(d > 0, int_div(top, bottom).cast("double") / F.lit(float(scale)))
+    mag = int_div(top, bottom).cast("double") / F.lit(float(scale))
+    return F.when(d > 0, F.when(n < 0, -mag).otherwise(mag))
 
 
 def int_div(a: Column, b: Column) -> Column:
@@ -84,8 +84,9 @@ def int_div(a: Column, b: Column) -> Column:
 
 def half_up_sql(num: str, den: str, k: int) -> str:
     scale = 10 ** k
-    return (f"(case when ({den}) > 0 then cast((2 * cast({num} as hugeint) * {scale} + cast({den} as hugeint)) "
-            f"// (2 * cast({den} as hugeint)) as double) / {float(scale)} end)")
+    n, d = f"cast({num} as hugeint)", f"cast({den} as hugeint)"
+    mag = f"cast((2 * abs({n}) * {scale} + {d}) // (2 * {d}) as double) / {float(scale)}"
+    return f"(case when {d} > 0 then (case when {n} < 0 then -({mag}) else {mag} end) end)"
 
 
 # ------------------------------------------------------------------ time math
@@ -113,3 +114,9 @@ def paise(x) -> Column:
 
 def paise_sql(x: str) -> str:
     return f"cast(({x}) * 100 as hugeint)"
+
+
+def ntz_micros(x) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (time-zone independent,
+    monotone: usable as a numeric order key)."""
+    return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), _c(x))

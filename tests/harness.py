@@ -32,7 +32,7 @@ def _norm(v):
             return "nan"
         return repr(float(v))
     if isinstance(v, decimal.Decimal):
-        return repr(float(v))
+        return "D" + str(v)  # strict: both sides must leave decimals as double
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, bool):
