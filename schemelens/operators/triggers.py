@@ -45,3 +45,118 @@ from status_event e where e.application_id in (select application_id from applic
 def t01_audit_trail(cat) -> DataFrame:
     """Audit rows (old -> new status) for every status change event."""
     return audit_trail(cat["status_event"], cat["application"])
+
+
+# ------------------------------------------------------------------ t02
+def pool_ledger(pool: DataFrame, payments: DataFrame, application: DataFrame) -> DataFrame:
+    """Pools after applying payment inserts: disbursed += amount per scheme.
+
+    Every inserted payment counts (FAILED too); a payment whose application
+    is unknown updates nothing.  Payments are aggregated per scheme before the
+    join (map-side partial sums), so a scheme holding most payments costs one
+    row of shuffle per partition.
+    """
+    pay = (payments.select("application_id", "amount")
+           .join(application.select("application_id", "scheme_id"), "application_id")
+           .groupBy("scheme_id").agg(F.sum("amount").alias("added_amount"), F.count(F.lit(1)).alias("payments")))
+    return (pool.join(pay, "scheme_id", "left")
+            .select("scheme_id", "total_budget", F.col("disbursed_amount").alias("opening_disbursed"),
+                    F.coalesce("payments", F.lit(0)).cast("bigint").alias("payments"),
+                    F.coalesce("added_amount", F.lit(0)).cast("decimal(25,2)").alias("added_amount"),
+                    (F.col("disbursed_amount") + F.coalesce("added_amount", F.lit(0))).cast("decimal(25,2)")
+                    .alias("closing_disbursed")))
+
+
+def _new_payments(cat) -> DataFrame:
+    from schemelens.operators.payments import payment_run
+    return payment_run(cat)[0]
+
+
+def _new_payments_sql() -> str:
+    from schemelens.operators.payments import PAYMENT_RUN_SQL
+    return f"(select * from ({PAYMENT_RUN_SQL}) pr where amount > 0)"
+
+
+@register("t02_pool_ledger", oracle="""select p.scheme_id, cast(p.total_budget as double) as total_budget,
+ cast(p.disbursed_amount as double) as opening_disbursed, cast(coalesce(x.n, 0) as bigint) as payments,
+ cast(coalesce(x.amt, 0) as double) as added_amount, cast(p.disbursed_amount + coalesce(x.amt, 0) as double) as closing_disbursed
+from pool p left join (select a.scheme_id, sum(np.amount) as amt, count(*) as n from """ + "{NEW_PAYMENTS}" + """ np
+ join application0 a on np.application_id = a.application_id group by a.scheme_id) x on p.scheme_id = x.scheme_id""")
+def t02_pool_ledger(cat) -> DataFrame:
+    """Pool balances after the payment run's inserts fire the ledger trigger."""
+    return pool_ledger(cat["pool"], _new_payments(cat), cat["application"])
+
+
+def running_balance(pool: DataFrame, payments: DataFrame) -> DataFrame:
+    """Pool disbursed balance after each payment, in insert order per scheme.
+
+    Few schemes carry all payments, so ``partitionBy(scheme)`` would run each
+    scheme in one task; ``ordered.running_sum`` splits hot schemes.
+    """
+    p = payments.select("disbursement_id", "application_id", "scheme_id", "amount", "disbursement_date")
+    p = p.join(pool.select("scheme_id", "total_budget", "disbursed_amount"), "scheme_id")
+    p = ordered.running_sum(p, "scheme_id", ["disbursement_date", "disbursement_id"], "amount", "_cum",
+                            order_num=ntz_micros("disbursement_date"))
+    bal = (F.col("disbursed_amount") + F.col("_cum")).cast("decimal(25,2)")
+    return p.select("disbursement_id", "application_id", "scheme_id", "amount", "disbursement_date",
+                    bal.alias("running_disbursed"),
+                    (F.col("total_budget") - bal).cast("decimal(25,2)").alias("remaining_after"))
+
+
+@register("t02b_running_balance", oracle="""select np.disbursement_id, np.application_id, np.scheme_id, cast(np.amount as double) as amount,
+ np.disbursement_date, cast(p.disbursed_amount + sum(np.amount) over w as double) as running_disbursed,
+ cast(p.total_budget - (p.disbursed_amount + sum(np.amount) over w) as double) as remaining_after
+from {NEW_PAYMENTS} np join pool p on np.scheme_id = p.scheme_id
+window w as (partition by np.scheme_id order by np.disbursement_date, np.disbursement_id rows between unbounded preceding and current row)""")
+def t02b_running_balance(cat) -> DataFrame:
+    """Running pool balance after each new payment (skew-safe per-scheme window)."""
+    return running_balance(cat["pool"], _new_payments(cat))
+
+
+# ------------------------------------------------------------------ t03
+DUPLICATE_MESSAGE = "Active application already exists for scheme: "
+
+
+def duplicate_guard(inserts: DataFrame, cat) -> DataFrame:
+    """Direct inserts checked by the duplicate-application trigger.
+
+    In arrival order per (citizen, scheme): with a stored active application
+    every insert fails -20030; otherwise the first insert with valid
+    references is stored (SUBMITTED, hence active) and the later ones fail
+    -20030.  Unknown citizen or scheme pass the trigger and fail the foreign
+    key (-2291), storing nothing.
+    """
+    from schemelens.functions import rules as R
+    from schemelens.operators.intake import first_per_pair
+    act = R.active_keys(cat["application"]).withColumn("_active", F.lit(True))
+    cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c_found"))
+    sc = cat.dim("scheme").select("scheme_id", "scheme_name")
+    q = (first_per_pair(inserts.select("request_id", "citizen_id", "scheme_id", "requested_at"))
+         .join(act, ["citizen_id", "scheme_id"], "left").join(cz, "citizen_id", "left").join(sc, "scheme_id", "left"))
+    code = (F.when(F.col("_active").isNotNull(), F.lit(-20030))
+            .when(F.col("_c_found").isNull() | F.col("scheme_name").isNull(), F.lit(-2291))
+            .when(F.col("_is_first"), F.lit(0)).otherwise(F.lit(-20030)))
+    msg = (F.when(code == -20030, F.concat(F.lit(DUPLICATE_MESSAGE), F.col("scheme_name")))
+           .when(code == -2291, F.lit("integrity constraint violated - parent key not found"))
+           .otherwise(F.lit("INSERTED")))
+    return q.select("request_id", "citizen_id", "scheme_id", code.alias("outcome_code"), msg.alias("message"))
+
+
+@register("t03_duplicate_guard", oracle="""select request_id, citizen_id, scheme_id, code as outcome_code,
+ case code when -20030 then concat('""" + DUPLICATE_MESSAGE + """', scheme_name)
+  when -2291 then 'integrity constraint violated - parent key not found' else 'INSERTED' end as message
+from (select q.*, s.scheme_name, case when exists (select 1 from application a where a.citizen_id = q.citizen_id
+   and a.scheme_id = q.scheme_id and a.status not in ('REJECTED')) then -20030
+  when c.citizen_id is null or s.scheme_id is null then -2291 when q.rn = 1 then 0 else -20030 end as code
+ from (select *, row_number() over (partition by citizen_id, scheme_id order by requested_at, request_id) as rn
+       from application_request) q left join citizen c on q.citizen_id = c.citizen_id
+ left join scheme s on q.scheme_id = s.scheme_id) t""")
+def t03_duplicate_guard(cat) -> DataFrame:
+    """Outcome of every intake request inserted directly under the duplicate trigger."""
+    return duplicate_guard(cat["application_request"], cat)
+
+
+from schemelens.registry import JOBS as _JOBS  # noqa: E402
+
+for _n in ("t02_pool_ledger", "t02b_running_balance"):
+    _JOBS[_n].oracle = _JOBS[_n].oracle.replace("{NEW_PAYMENTS}", _new_payments_sql())
