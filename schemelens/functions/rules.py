@@ -212,12 +212,14 @@ def priority_score_sql(c: str = "c") -> str:
 
 
 # ------------------------------------------------------- f04, f05 helpers
-ACTIVE = ~F.col("status").isin("REJECTED")  # NULL status -> NULL -> not active
+def is_active_status() -> Column:
+    """status NOT IN ('REJECTED'): a NULL status is not counted (UNKNOWN)."""
+    return ~F.col("status").isin("REJECTED")
 
 
 def active_keys(application: DataFrame) -> DataFrame:
     """Distinct (citizen_id, scheme_id) with an active (not REJECTED) application."""
-    return application.filter(ACTIVE).select("citizen_id", "scheme_id").distinct()
+    return application.filter(is_active_status()).select("citizen_id", "scheme_id").distinct()
 
 
 def utilization_pct() -> Column:

@@ -120,3 +120,11 @@ def ntz_micros(x) -> Column:
     """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (time-zone independent,
     monotone: usable as a numeric order key)."""
     return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), _c(x))
+
+
+def checkpoint_table(df):
+    """Cut lineage: reliable checkpoint into the session's shared checkpoint
+    folder (``spark.checkpoint.dir``).  Never a machine-local checkpoint."""
+    from schemelens.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

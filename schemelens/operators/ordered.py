@@ -71,16 +71,19 @@ def with_pieces(df: DataFrame, key: str, order_num: Column, hot: DataFrame | Non
 
 def running_sum(df: DataFrame, key: str, order: Sequence, value: str | Column, out: str,
                 order_num: Column | None = None, inclusive: bool = True,
-                target_rows: int = TARGET_ROWS, fraction: float = SAMPLE_FRACTION) -> DataFrame:
+                target_rows: int = TARGET_ROWS, fraction: float = SAMPLE_FRACTION,
+                hot: DataFrame | None | str = "auto") -> DataFrame:
     """Per-key cumulative sum of ``value`` in ``order`` (the order columns must
     break ties).  ``order_num`` is a numeric column non-decreasing in
     ``order`` (default: the first order column).  ``inclusive=False`` sums the
-    strictly earlier rows only."""
+    strictly earlier rows only.  ``hot`` may be a table from ``hot_keys``
+    computed once and reused (iterative callers)."""
     order = list(order)
     onum = order_num if order_num is not None else _ordcols(order)[0]
     v = F.col(value) if isinstance(value, str) else value
     base = df.withColumn("_v", v)
-    hot = hot_keys(base, key, onum, target_rows, fraction)
+    if isinstance(hot, str):
+        hot = hot_keys(base, key, onum, target_rows, fraction)
     p = with_pieces(base, key, onum, hot)
     hi = 0 if inclusive else -1
     w = Window.partitionBy(key, PIECE).orderBy(*_ordcols(order)).rowsBetween(Window.unboundedPreceding, hi)

@@ -86,7 +86,7 @@ def f04_is_duplicate_app(cat) -> DataFrame:
  where status not in ('REJECTED') group by citizen_id, scheme_id having count(*) > 1""")
 def f04b_duplicate_active_groups(cat) -> DataFrame:
     """(citizen, scheme) pairs holding more than one active application."""
-    return (cat["application"].filter(R.ACTIVE).groupBy("citizen_id", "scheme_id")
+    return (cat["application"].filter(R.is_active_status()).groupBy("citizen_id", "scheme_id")
             .agg(F.count(F.lit(1)).alias("active_count")).filter(F.col("active_count") > 1))
 
 
