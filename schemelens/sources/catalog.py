@@ -37,10 +37,12 @@ def catalog_for(spark: SparkSession, sf_dir: str) -> "Catalog":
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame], label: str = ""):
+    def __init__(self, spark: SparkSession, frames: dict[str, DataFrame], label: str = "",
+                 source_dir: str | None = None):
         self.spark = spark
         self.frames = frames
         self.label = label
+        self.source_dir = source_dir  # driver parquet folder (change-event sources for streams)
         self._counts: dict[str, int] = {}
 
     # ------------------------------------------------------------ access
@@ -70,7 +72,7 @@ class Catalog:
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Catalog":
         src = {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in SOURCE_TABLES}
         frames: dict[str, DataFrame] = {}
-        cat = cls(spark, frames, label=sf_dir)
+        cat = cls(spark, frames, label=sf_dir, source_dir=sf_dir)
         for name in fixtures.ORDER:
             if name == "benefit":
                 df = _derive_benefit(cat)
@@ -85,13 +87,13 @@ class Catalog:
         return cat
 
     @classmethod
-    def from_warehouse(cls, spark: SparkSession, path: str) -> "Catalog":
+    def from_warehouse(cls, spark: SparkSession, path: str, source_dir: str | None = None) -> "Catalog":
         frames = {}
         for name in sorted(os.listdir(path)):
             full = os.path.join(path, name)
             if os.path.isdir(full) and not name.startswith((".", "_")):
                 frames[name] = spark.read.parquet(full)
-        return cls(spark, frames, label=path)
+        return cls(spark, frames, label=path, source_dir=source_dir)
 
     def materialize(self, path: str, tables: list[str] | None = None) -> "Catalog":
         """Write tables as parquet under ``path`` (a shared folder) and reopen.
@@ -107,7 +109,7 @@ class Catalog:
             if name in cluster:
                 df = df.sortWithinPartitions(cluster[name])
             df.write.mode("overwrite").parquet(os.path.join(path, name))
-        return Catalog.from_warehouse(self.spark, path)
+        return Catalog.from_warehouse(self.spark, path, source_dir=self.source_dir)
 
 
 def _conform(df: DataFrame, name: str) -> DataFrame:

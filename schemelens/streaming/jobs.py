@@ -44,7 +44,7 @@ def _stream_folder(spark: SparkSession, name: str) -> str:
 def _source(cat, table: str) -> DataFrame:
     """Streaming read of a driver table, with the catalog's derivation applied."""
     spark = cat.spark
-    path = os.path.join(cat.label, f"{table}.parquet")
+    path = os.path.join(cat.source_dir, f"{table}.parquet")
     static = spark.read.parquet(path)
     # a file stream source lists a directory or glob: the glob matches exactly this file
     return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(path[:-1] + "[t]")
@@ -133,7 +133,7 @@ def _guard_step(key, frames, state):
 
 def duplicate_guard_stream(cat) -> DataFrame:
     from schemelens.functions import rules as R
-    customers = cat.spark.read.parquet(os.path.join(cat.label, "customer.parquet")).count()
+    customers = cat.spark.read.parquet(os.path.join(cat.source_dir, "customer.parquet")).count()
     ev = _source(cat, "events").select(
         F.col("event_id").alias("request_id"),
         ((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
