@@ -41,21 +41,27 @@ MAX_ROUNDS = 10_000  # safety net only; the round count is bounded by distinct a
 
 
 def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amount: str,
-             order: Sequence[Column], order_num: Column, catalog=None) -> DataFrame:
+             order: Sequence[Column], order_num: Column, catalog=None, hot="auto") -> DataFrame:
     """Greedy skip-if-it-does-not-fit allocation per ``key``.
 
     claims  : id_col, key, amount, and the columns used by ``order``
     budgets : key, _rem (budget available before the first claim)
     order   : ascending column expressions defining the queue (must be unique)
+    hot     : optional precomputed ``ordered.hot_keys`` table for ``key``
     Returns (id_col, key, amount, granted boolean, alloc_round int).
     """
     order = list(order)
     ok = struct_of(order)
-    base = claims.withColumn("_ok", ok).join(budgets, key)
+    # the per-round "first overflow" table has at most one row per budget key:
+    # its size bound is the budget table's row count, checked once here
+    n_keys = budgets.count()
+    small_first = catalog is None or n_keys <= getattr(catalog, "broadcast_max_rows", 200_000)
+    base = claims.withColumn("_ok", ok).join(F.broadcast(budgets) if small_first else budgets, key)
     unfundable = base.filter(F.col(amount).isNull()).select(
         id_col, key, amount, F.lit(False).alias("granted"), F.lit(0).alias("alloc_round"))
     residue = base.filter(F.col(amount).isNotNull())
-    hot = ordered.hot_keys(residue, key, order_num)
+    if isinstance(hot, str):
+        hot = ordered.hot_keys(residue, key, order_num)
     decided: list[DataFrame] = [unfundable]
     rnd = 0
     while True:
@@ -66,9 +72,7 @@ def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amoun
                                      F.col("_rem").alias("r"))).alias("_f"))
                  .select(key, F.col("_f.o").alias("_fo"),
                          (F.col("_f.r") - (F.col("_f.c") - F.col("_f.a"))).alias("_rest")))
-        if catalog is not None:
-            first = catalog.small(first, f"alloc_first_{id(first)}")
-        y = x.join(first, key, "left")
+        y = x.join(F.broadcast(first) if small_first else first, key, "left")
         granted = F.col("_fo").isNull() | (F.col("_ok") < F.col("_fo"))
         refused = (F.col("_ok") == F.col("_fo")) | (F.col(amount) > F.col("_rest"))
         y = y.withColumn("_state", F.when(granted, "G").when(refused, "R").otherwise("U"))

@@ -43,6 +43,7 @@ class Catalog:
         self.frames = frames
         self.label = label
         self.source_dir = source_dir  # driver parquet folder (change-event sources for streams)
+        self.broadcast_max_rows = BROADCAST_MAX_ROWS
         self._counts: dict[str, int] = {}
 
     # ------------------------------------------------------------ access
@@ -102,13 +103,20 @@ class Catalog:
         within partitions) so parquet min/max statistics prune row groups on
         key filters.
         """
+        from concurrent.futures import ThreadPoolExecutor
+
         cluster = {"application": "citizen_id", "citizen": "citizen_id", "disbursement": "application_id",
                    "status_event": "application_id", "citizen_document": "citizen_id"}
-        for name in tables or self.names():
+
+        def write(name: str) -> None:
             df = self.frames[name]
             if name in cluster:
                 df = df.sortWithinPartitions(cluster[name])
             df.write.mode("overwrite").parquet(os.path.join(path, name))
+
+        # independent tables: submit the write jobs concurrently (Spark schedules them side by side)
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(write, tables or self.names()))
         return Catalog.from_warehouse(self.spark, path, source_dir=self.source_dir)
 
 
