@@ -143,7 +143,8 @@ from citizen c where c.annual_income < {Q09_INCOME_CAP} and c.is_verified = 'Y'
  and not exists (select 1 from application a where a.citizen_id = c.citizen_id and a.scheme_id = {Q09_SCHEME_ID})""")
 def q09_unapplied_eligible(cat, scheme_id: int = Q09_SCHEME_ID, cap: int = Q09_INCOME_CAP) -> DataFrame:
     """Verified low-income citizens with no application (any status) to a scheme."""
-    applied = cat["application"].filter(F.col("scheme_id") == scheme_id).select("citizen_id")
+    # distinct keys: a citizen with many applications becomes one row (no skewed anti-join key)
+    applied = cat["application"].filter(F.col("scheme_id") == scheme_id).select("citizen_id").distinct()
     return (cat["citizen"].filter((F.col("annual_income") < cap) & (F.col("is_verified") == "Y"))
             .join(applied, "citizen_id", "left_anti")
             .select("citizen_id", "full_name", "state", "category", "annual_income")
@@ -383,7 +384,7 @@ def q22_below_state_avg_unapplied(cat) -> DataFrame:
     """
     c = cat["citizen"]
     st = c.groupBy("state").agg(F.sum("annual_income").alias("_s"), F.count("annual_income").alias("_n"))
-    applied = cat["application"].select("citizen_id")
+    applied = cat["application"].select("citizen_id").distinct()
     return (c.filter(F.col("is_verified") == "Y").join(cat.small(st, "state_income"), "state")
             .filter(F.col("annual_income") * F.col("_n") < F.col("_s"))
             .join(applied, "citizen_id", "left_anti")
