@@ -61,11 +61,13 @@ def rules_by_scheme(rules: DataFrame) -> DataFrame:
         *[F.min(c).alias(f"r_{c}") for c in RULE_COLUMNS])
 
 
-def rule_inputs(pairs: DataFrame, catalog, need_rules: bool = True) -> DataFrame:
-    """Attach citizen, scheme and rules attributes to (citizen_id, scheme_id) pairs."""
-    cz = catalog["citizen"].select("citizen_id", *CITIZEN_RULE_COLUMNS, F.lit(True).alias("_c_found"))
+def rule_inputs(pairs: DataFrame, catalog, need_rules: bool = True, citizen_extra: tuple = (),
+                scheme_extra: tuple = ()) -> DataFrame:
+    """Attach citizen, scheme and rules attributes to (citizen_id, scheme_id) pairs
+    (one join per table; ``*_extra`` carries further columns along)."""
+    cz = catalog["citizen"].select("citizen_id", *CITIZEN_RULE_COLUMNS, *citizen_extra, F.lit(True).alias("_c_found"))
     sc = catalog.dim("scheme").select("scheme_id", "is_active", "base_benefit_amount", "max_benefit_amount",
-                                      F.lit(True).alias("_s_found"))
+                                      *scheme_extra, F.lit(True).alias("_s_found"))
     out = pairs.join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
     if need_rules:
         out = out.join(catalog.small(rules_by_scheme(catalog["rules"]), "rules_by_scheme"), "scheme_id", "left")

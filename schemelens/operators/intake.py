@@ -40,10 +40,7 @@ def first_per_pair(requests: DataFrame, keys=("citizen_id", "scheme_id"), time_c
 def apply_batch(requests: DataFrame, cat) -> DataFrame:
     act = R.active_keys(cat["application"]).withColumn("_active", F.lit(True))
     q = first_per_pair(requests).join(act, ["citizen_id", "scheme_id"], "left")
-    q = R.rule_inputs(q, cat)
-    names = cat["citizen"].select("citizen_id", "full_name")
-    q = q.join(names, "citizen_id", "left").join(cat.dim("scheme").select("scheme_id", "scheme_name"),
-                                                 "scheme_id", "left")
+    q = R.rule_inputs(q, cat, citizen_extra=("full_name",), scheme_extra=("scheme_name",))
     elig = R.eligibility_reason()
     code = (F.when(F.col("_c_found").isNull(), F.lit(-20001))
             .when(F.col("_s_found").isNull() | ~F.coalesce(F.col("is_active") == "Y", F.lit(False)), F.lit(-20002))

@@ -24,8 +24,9 @@ def payment_run(cat, as_of=None) -> tuple[DataFrame, DataFrame]:
     a = (cat["application"].filter(F.col("status").isin(*APPROVED))
          .select("application_id", "citizen_id", "scheme_id", "approval_date")
          .join(cat["disbursement"].select("application_id"), "application_id", "left_anti"))
-    bank = cat["citizen"].select("citizen_id", "bank_account")
-    x = R.rule_inputs(a.join(bank, "citizen_id"), cat, need_rules=False).withColumn("amount", R.benefit_amount())
+    x = (R.rule_inputs(a, cat, need_rules=False, citizen_extra=("bank_account",))
+         .filter(F.col("_c_found").isNotNull())  # inner join semantics on the citizen
+         .withColumn("amount", R.benefit_amount()))
     rows = x.select(
         F.col("application_id").alias("disbursement_id"), "application_id", "scheme_id", "amount",
         F.timestamp_add("DAY", (F.col("application_id") % 7 + 1).cast("int"), F.col("approval_date"))
