@@ -20,6 +20,7 @@ import os
 import sys
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,18 +42,20 @@ def _stream_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _source(cat, table: str) -> DataFrame:
-    """Streaming read of a driver table, with the catalog's derivation applied."""
+def _source(cat, table: str, folder: str | None = None) -> DataFrame:
+    """Streaming read of change events: the driver's table file, or a landing
+    folder of parquet files with the same schema (one file per micro-batch)."""
     spark = cat.spark
     path = os.path.join(cat.source_dir, f"{table}.parquet")
     static = spark.read.parquet(path)
     # a file stream source lists a directory or glob: the glob matches exactly this file
-    return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(path[:-1] + "[t]")
+    src = folder if folder is not None else path[:-1] + "[t]"
+    return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
-def status_event_stream(cat) -> DataFrame:
+def status_event_stream(cat, folder: str | None = None) -> DataFrame:
     text = fixtures.TEMPLATES["status_event"]
-    return _source(cat, "events").select(
+    return _source(cat, "events", folder).select(
         "event_id", F.col("user_id").alias("application_id"),
         F.expr(text.split("user_id as application_id, ")[1].split(" as new_status")[0]).alias("new_status"),
         F.col("ts").alias("change_date"))
@@ -79,8 +82,8 @@ def _audit_step(key, frames, state):
                         "changed_by": CHANGED_BY, "change_date": pdf["change_date"].to_numpy()})
 
 
-def audit_trail_stream(cat) -> DataFrame:
-    ev = status_event_stream(cat).join(cat["application"].select("application_id"), "application_id", "left_semi")
+def audit_trail_stream(cat, folder: str | None = None) -> DataFrame:
+    ev = status_event_stream(cat, folder).join(cat["application"].select("application_id"), "application_id", "left_semi")
     return ev.groupBy("application_id").applyInPandasWithState(
         _audit_step, AUDIT_OUT, "last_status string", "append", GroupStateTimeout.NoTimeout)
 
@@ -107,34 +110,34 @@ GUARD_OUT = "request_id long, citizen_id long, scheme_id long, outcome_code int,
 
 
 def _guard_step(key, frames, state):
-    active = bool(state.get[0]) if state.exists else None
     parts = [p for p in frames]
     if not parts:
         return
     pdf = pd.concat(parts).sort_values(["requested_at", "request_id"], kind="stable")
-    if active is None:
-        active = bool(pdf["_stored_active"].iloc[0])
-    codes, msgs = [], []
-    for valid, name in zip(pdf["_refs_ok"].to_numpy(), pdf["scheme_name"].to_numpy()):
-        if active:
-            codes.append(-20030)
-            msgs.append(DUPLICATE_MESSAGE + str(name))
-        elif not valid:
-            codes.append(-2291)
-            msgs.append("integrity constraint violated - parent key not found")
-        else:
-            codes.append(0)
-            msgs.append("INSERTED")
+    active = bool(state.get[0]) if state.exists else bool(pdf["_stored_active"].iloc[0])
+    valid = pdf["_refs_ok"].to_numpy(dtype=bool)
+    n = len(pdf)
+    codes = np.full(n, -20030, dtype=np.int32)
+    if not active:
+        # before the first insert with valid references: FK failures; that insert is stored; the rest are duplicates
+        first = int(np.argmax(valid)) if valid.any() else n
+        codes[:first] = -2291
+        if first < n:
+            codes[first] = 0
             active = True
+    names = pdf["scheme_name"].astype(object).to_numpy()
+    msgs = np.where(codes == 0, "INSERTED",
+                    np.where(codes == -2291, "integrity constraint violated - parent key not found",
+                             DUPLICATE_MESSAGE + pd.Series(names).astype(str).to_numpy()))
     state.update((active,))
     yield pd.DataFrame({"request_id": pdf["request_id"].to_numpy(), "citizen_id": pdf["citizen_id"].to_numpy(),
                         "scheme_id": pdf["scheme_id"].to_numpy(), "outcome_code": codes, "message": msgs})
 
 
-def duplicate_guard_stream(cat) -> DataFrame:
+def duplicate_guard_stream(cat, folder: str | None = None) -> DataFrame:
     from schemelens.functions import rules as R
     customers = cat.spark.read.parquet(os.path.join(cat.source_dir, "customer.parquet")).count()
-    ev = _source(cat, "events").select(
+    ev = _source(cat, "events", folder).select(
         F.col("event_id").alias("request_id"),
         ((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
         (F.col("event_id") % 21).alias("scheme_id"), F.col("ts").alias("requested_at"))
