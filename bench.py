@@ -44,7 +44,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [q for q in os.environ.get("BENCH_ONLY", "").split(",") if q]
     spark = build_session(f"local[{cpus}]", int(cpus) * 2, app_name="schemelens-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})

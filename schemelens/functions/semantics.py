@@ -37,13 +37,14 @@ def oracle_num(x) -> Column:
     """TO_CHAR(number) as Oracle prints it: no trailing zeros, no leading 0.
 
     250000.00 -> '250000', 85000.50 -> '85000.5', 0.10 -> '.1', 0 -> '0'.
+    Three chained replacements that read the input once, so the expression
+    stays small inside the long CASE chains of the rule texts (measured faster
+    than trim / CASE variants, which repeat the input).
     """
     s = _c(x).cast("string")
-    t = F.when(s.contains("."),
-               F.regexp_replace(F.regexp_replace(s, "0+$", ""), "[.]$", "")).otherwise(s)
-    return (F.when(t.startswith("0."), F.substring(t, 2, 1 << 20))
-             .when(t.startswith("-0."), F.concat(F.lit("-"), F.substring(t, 3, 1 << 20)))
-             .otherwise(t))
+    s = F.regexp_replace(s, "([.][0-9]*?)0+$", "$1")   # trailing zeros after the point
+    s = F.regexp_replace(s, "[.]$", "")                  # a bare trailing point
+    return F.regexp_replace(s, "^(-?)0[.]", "$1.")       # leading zero before the point
 
 
 def oracle_num_sql(expr: str) -> str:
