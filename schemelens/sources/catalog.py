@@ -44,6 +44,7 @@ class Catalog:
         self.label = label
         self.source_dir = source_dir  # driver parquet folder (change-event sources for streams)
         self.broadcast_max_rows = BROADCAST_MAX_ROWS
+        self.shared: list[DataFrame] = []
         self._counts: dict[str, int] = {}
 
     # ------------------------------------------------------------ access
@@ -83,6 +84,8 @@ class Catalog:
                 binds = {d: (frames[d] if d in frames else src[d]) for d in fixtures.dependencies(name)}
                 df = spark.sql(fixtures.TEMPLATES[name], **binds)
             frames[name] = _conform(df, name)
+        # intermediates feeding several tables; cached while materialising
+        cat.shared = [frames["application_base"], frames["benefit"], frames["citizen"]]
         for name in ("application0", "application_base"):
             frames.pop(name)  # intermediate
         return cat
@@ -114,9 +117,18 @@ class Catalog:
                 df = df.sortWithinPartitions(cluster[name])
             df.write.mode("overwrite").parquet(os.path.join(path, name))
 
-        # independent tables: submit the write jobs concurrently (Spark schedules them side by side)
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            list(pool.map(write, tables or self.names()))
+        # intermediates read by several tables are cached for the duration of the
+        # writes (the cache matches plan subtrees, so every dependent reuses them);
+        # a lost executor only means recomputing them from lineage
+        for df in self.shared:
+            df.persist()
+        try:
+            # independent tables: submit the write jobs concurrently (Spark schedules them side by side)
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                list(pool.map(write, tables or self.names()))
+        finally:
+            for df in self.shared:
+                df.unpersist()
         return Catalog.from_warehouse(self.spark, path, source_dir=self.source_dir)
 
 
