@@ -57,7 +57,8 @@ def main() -> None:
     t0 = time.time()
     derived = Catalog.from_testdata(spark, sf_dir)
     warehouse = os.path.join(checkpoint_dir(spark), f"warehouse-{uuid.uuid4().hex[:10]}")
-    cat = derived.materialize(warehouse)
+    buckets = int(os.environ.get("BENCH_BUCKETS", str(int(cpus) * 2)))
+    cat = derived.materialize(warehouse, buckets=buckets or None)
     timings["load_tables"] = round(time.time() - t0, 3)
 
     for name in (only or HEADLINE):
