@@ -160,3 +160,92 @@ from schemelens.registry import JOBS as _JOBS  # noqa: E402
 
 for _n in ("t02_pool_ledger", "t02b_running_balance"):
     _JOBS[_n].oracle = _JOBS[_n].oracle.replace("{NEW_PAYMENTS}", _new_payments_sql())
+
+
+# ----------------------------------------------------------------- t03b
+def _merged_guard_events(status_event: DataFrame, requests: DataFrame, cat) -> tuple[DataFrame, DataFrame]:
+    """Status changes of stored applications (as +1 / -1 changes of the pair's
+    active count) and insert requests, on one per-pair time line."""
+    app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("_stored"))
+    st = status_event.join(app, "application_id")
+    st = ordered.lag(st, "application_id", ["change_date", "event_id"], "new_status", "_old",
+                     order_num=ntz_micros("change_date"))
+    old = F.coalesce(F.col("_old"), F.col("_stored"))
+
+    def act(c):
+        return F.when(c != "REJECTED", 1).otherwise(0)
+
+    st = st.select("citizen_id", "scheme_id", F.col("change_date").alias("t"), F.lit(0).alias("kind"),
+                   "event_id", (act(F.col("new_status")) - act(old)).alias("delta"))
+    rq = requests.select("citizen_id", "scheme_id", F.col("requested_at").alias("t"), F.lit(1).alias("kind"),
+                         F.col("request_id").alias("event_id"), F.lit(0).alias("delta"))
+    base = (cat["application"].filter(F.col("status") != "REJECTED").groupBy("citizen_id", "scheme_id")
+            .agg(F.count(F.lit(1)).alias("_base")))
+    return st.unionByName(rq), base
+
+
+def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) -> DataFrame:
+    """Inserts under the duplicate trigger while status changes arrive too.
+
+    A pair's active count is its stored active applications plus the running
+    sum of status deltas before the insert (a rejection reopens the pair).
+    The first insert with valid references at a moment the count is 0 is
+    stored (the new SUBMITTED row keeps the pair active from then on: status
+    changes refer to stored applications); other inserts fail -20030 while
+    the pair is active, or -2291 for unknown references.
+    """
+    from schemelens.operators.intake import first_per_pair
+    u, base = _merged_guard_events(status_event, requests, cat)
+    u = u.withColumn("_pair", F.concat_ws(":", F.col("citizen_id").cast("string"), F.col("scheme_id").cast("string")))
+    u = ordered.running_sum(u, "_pair", ["t", "kind", "event_id"], "delta", "_seen", inclusive=False,
+                            order_num=ntz_micros("t"))
+    cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
+    sc = cat.dim("scheme").select("scheme_id", "scheme_name")
+    r = (u.filter(F.col("kind") == 1).join(base, ["citizen_id", "scheme_id"], "left")
+         .withColumn("_active", F.coalesce("_base", F.lit(0)) + F.col("_seen"))
+         .join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
+         .withColumn("_refs_ok", F.col("_c").isNotNull() & F.col("scheme_name").isNotNull())
+         .withColumnRenamed("event_id", "request_id").withColumnRenamed("t", "requested_at"))
+    ok = r.filter((F.col("_active") == 0) & F.col("_refs_ok"))
+    first = ok.groupBy("citizen_id", "scheme_id").agg(F.min(F.struct("requested_at", "request_id")).alias("_first"))
+    r = r.join(first, ["citizen_id", "scheme_id"], "left")
+    key = F.struct("requested_at", "request_id")
+    code = (F.when(F.col("_first").isNotNull() & (key > F.col("_first")), F.lit(-20030))
+            .when(F.col("_first").isNotNull() & (key == F.col("_first")), F.lit(0))
+            .when(F.col("_active") > 0, F.lit(-20030))
+            .otherwise(F.lit(-2291)))
+    msg = (F.when(code == -20030, F.concat(F.lit(DUPLICATE_MESSAGE), F.col("scheme_name")))
+           .when(code == -2291, F.lit("integrity constraint violated - parent key not found"))
+           .otherwise(F.lit("INSERTED")))
+    return r.select("request_id", "citizen_id", "scheme_id", code.alias("outcome_code"), msg.alias("message"))
+
+
+GUARD_REOPEN_SQL = """select request_id, citizen_id, scheme_id, code as outcome_code,
+ case code when -20030 then concat('""" + DUPLICATE_MESSAGE + """', scheme_name)
+  when -2291 then 'integrity constraint violated - parent key not found' else 'INSERTED' end as message
+from (select *, case when elig_before > 0 then -20030 when eligible and elig_before = 0 then 0
+   when active > 0 then -20030 else -2291 end as code
+ from (select *, coalesce(sum(case when eligible then 1 else 0 end) over (partition by citizen_id, scheme_id
+        order by t, event_id rows between unbounded preceding and 1 preceding), 0) as elig_before
+  from (select r.*, r.event_id as request_id, r.t as requested_at, s.scheme_name,
+         (cz.citizen_id is not null and s.scheme_id is not null) and r.active = 0 as eligible
+   from (select u.*, coalesce(b.n, 0) + coalesce(sum(delta) over (partition by u.citizen_id, u.scheme_id
+          order by t, kind, event_id rows between unbounded preceding and 1 preceding), 0) as active
+         from (select a.citizen_id, a.scheme_id, e.change_date as t, 0 as kind, e.event_id,
+                 (case when e.new_status <> 'REJECTED' then 1 else 0 end)
+                 - (case when coalesce(lag(e.new_status) over (partition by e.application_id order by e.change_date, e.event_id),
+                                       a.status) <> 'REJECTED' then 1 else 0 end) as delta
+               from status_event e join application a on e.application_id = a.application_id
+               union all
+               select citizen_id, scheme_id, requested_at as t, 1 as kind, request_id as event_id, 0 as delta
+               from application_request) u
+         left join (select citizen_id, scheme_id, count(*) as n from application where status <> 'REJECTED'
+                    group by citizen_id, scheme_id) b on u.citizen_id = b.citizen_id and u.scheme_id = b.scheme_id) r
+   left join citizen cz on r.citizen_id = cz.citizen_id left join scheme s on r.scheme_id = s.scheme_id
+   where r.kind = 1) x) y) z"""
+
+
+@register("t03b_duplicate_guard_reopen", oracle=GUARD_REOPEN_SQL)
+def t03b_duplicate_guard_reopen(cat) -> DataFrame:
+    """Duplicate guard over inserts and status changes together: rejections reopen a pair."""
+    return duplicate_guard_reopen(cat["status_event"], cat["application_request"], cat)

@@ -159,6 +159,95 @@ def s03_duplicate_guard_stream(cat) -> DataFrame:
     return drain(duplicate_guard_stream(cat), "guard")
 
 
+# ----------------------------------------------------------------- t03b
+REOPEN_STATE = "active long, stored boolean, statuses string"
+
+
+def _reopen_step(key, frames, state):
+    import json
+    parts = [p for p in frames]
+    if not parts:
+        return
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
+    if len(pdf) > 1:
+        pdf = pdf.sort_values(["t", "kind", "event_id"], kind="stable")
+    if state.exists:
+        active0, stored, statuses = int(state.get[0]), bool(state.get[1]), state.get[2]
+    else:
+        active0, stored, statuses = int(pdf["_base"].iat[0]), False, ""
+    kind = pdf["kind"].to_numpy()
+    is_st = kind == 0
+    n = len(pdf)
+    delta = np.zeros(n, dtype=np.int64)
+    if is_st.any():
+        known = json.loads(statuses) if statuses else {}
+        st = pdf[is_st]
+        prev = st.groupby("application_id")["new_status"].shift(1)
+        init = st["application_id"].astype(str).map(known).fillna(st["_stored"])
+        old = prev.where(prev.notna(), init)
+        delta[is_st] = ((st["new_status"] != "REJECTED").to_numpy(dtype=np.int64)
+                        - (old != "REJECTED").to_numpy(dtype=np.int64))
+        known.update({str(k): v for k, v in st.groupby("application_id")["new_status"].last().items()})
+        statuses = json.dumps(known)
+    rq = ~is_st
+    if not rq.any():
+        state.update((int(active0 + delta.sum()), stored, statuses))
+        return
+    active_before = active0 + np.concatenate([[0], np.cumsum(delta)[:-1]])
+    codes = np.full(n, -20030, dtype=np.int32)
+    if not stored:
+        ok = rq & (active_before == 0) & pdf["_refs_ok"].to_numpy(dtype=bool)
+        idx = int(np.argmax(ok)) if ok.any() else n
+        codes[(np.arange(n) < idx) & (active_before == 0)] = -2291
+        if idx < n:
+            codes[idx] = 0
+            stored = True
+    state.update((int(active0 + delta.sum()), stored, statuses))
+    c = codes[rq]
+    name = pdf["scheme_name"].to_numpy()[rq]
+    msgs = np.where(c == 0, "INSERTED", np.where(c == -2291, "integrity constraint violated - parent key not found",
+                                                 np.array([DUPLICATE_MESSAGE + str(x) for x in name], dtype=object)))
+    yield pd.DataFrame({"request_id": pdf["event_id"].to_numpy()[rq], "citizen_id": pdf["citizen_id"].to_numpy()[rq],
+                        "scheme_id": pdf["scheme_id"].to_numpy()[rq], "outcome_code": c, "message": msgs})
+
+
+def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
+    """One change stream (the events files) seen both as status changes of
+    stored applications and as insert requests, keyed by (citizen, scheme)."""
+    from schemelens.functions import rules as R
+    customers = cat.spark.read.parquet(os.path.join(cat.source_dir, "customer.parquet")).count()
+    src = _source(cat, "events", folder)
+    text = fixtures.TEMPLATES["status_event"]
+    status_expr = F.expr(text.split("user_id as application_id, ")[1].split(" as new_status")[0])
+    app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("_stored"))
+    st = (src.select("event_id", F.col("user_id").alias("application_id"), status_expr.alias("new_status"),
+                     F.col("ts").alias("t"))
+          .join(app, "application_id")
+          .select("citizen_id", "scheme_id", "t", F.lit(0).alias("kind"), "event_id", "application_id",
+                  "new_status", "_stored"))
+    rq = src.select(((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
+                    (F.col("event_id") % 21).alias("scheme_id"), F.col("ts").alias("t"), F.lit(1).alias("kind"),
+                    "event_id", F.lit(None).cast("long").alias("application_id"),
+                    F.lit(None).cast("string").alias("new_status"), F.lit(None).cast("string").alias("_stored"))
+    base = (cat["application"].filter(F.col("status") != "REJECTED").groupBy("citizen_id", "scheme_id")
+            .agg(F.count(F.lit(1)).alias("_base")))
+    cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
+    sc = cat.dim("scheme").select("scheme_id", "scheme_name")
+    u = (st.unionByName(rq).join(base, ["citizen_id", "scheme_id"], "left").join(cz, "citizen_id", "left")
+         .join(sc, "scheme_id", "left")
+         .select("citizen_id", "scheme_id", "t", "kind", "event_id", "application_id", "new_status", "_stored",
+                 F.coalesce("_base", F.lit(0)).alias("_base"), "scheme_name",
+                 (F.col("_c").isNotNull() & F.col("scheme_name").isNotNull()).alias("_refs_ok")))
+    return u.groupBy("citizen_id", "scheme_id").applyInPandasWithState(
+        _reopen_step, GUARD_OUT, REOPEN_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+@register("s03b_duplicate_guard_reopen_stream")
+def s03b_duplicate_guard_reopen_stream(cat) -> DataFrame:
+    """t03b as a stateful stream: per-pair active count reopened by rejections."""
+    return drain(duplicate_guard_reopen_stream(cat), "guard-reopen")
+
+
 # ----------------------------------------------------------------- t02
 def pool_ledger_stream(cat, payments_path: str) -> DataFrame:
     spark = cat.spark
@@ -200,3 +289,4 @@ def s02_pool_ledger_stream(cat) -> DataFrame:
 JOBS["s01_audit_trail_stream"].oracle = JOBS["t01_audit_trail"].oracle
 JOBS["s02_pool_ledger_stream"].oracle = JOBS["t02_pool_ledger"].oracle
 JOBS["s03_duplicate_guard_stream"].oracle = JOBS["t03_duplicate_guard"].oracle
+JOBS["s03b_duplicate_guard_reopen_stream"].oracle = JOBS["t03b_duplicate_guard_reopen"].oracle

@@ -42,3 +42,21 @@ def test_guard_stream_incremental(spark, cat001, tmp_path):
     exp = t03_duplicate_guard(cat001)
     cols = ["request_id", "outcome_code", "message"]
     assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
+
+
+def test_guard_reopen_stream_incremental(spark, cat001, tmp_path):
+    from schemelens.operators.triggers import t03b_duplicate_guard_reopen
+    from schemelens.streaming.jobs import duplicate_guard_reopen_stream
+    folder = _landing(spark, cat001, tmp_path)
+    got = drain(duplicate_guard_reopen_stream(cat001, folder), "reopen-test")
+    exp = t03b_duplicate_guard_reopen(cat001)
+    cols = ["request_id", "outcome_code", "message"]
+    assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
+
+
+def test_reopen_changes_outcomes(cat01):
+    from schemelens.operators.triggers import t03b_duplicate_guard_reopen
+    plain = {r.request_id: r.outcome_code for r in t03_duplicate_guard(cat01).collect()}
+    reopen = {r.request_id: r.outcome_code for r in t03b_duplicate_guard_reopen(cat01).collect()}
+    changed = [k for k in plain if plain[k] != reopen[k]]
+    assert changed, "status changes in the stream should reopen some pairs"
