@@ -155,3 +155,41 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
 def p04_decide_batch(cat) -> DataFrame:
     """Outcome of every officer decision request, as if processed one by one in time order."""
     return decide_batch(cat["decision_request"], cat)
+
+
+# ------------------------------------------------------------ side effects
+def decision_effects(outcomes: DataFrame, cat) -> dict[str, DataFrame]:
+    """What the successful decisions write: payment rows (approvals), the
+    application updates, the audit rows of the status trigger and the pool
+    balances after the ledger trigger."""
+    from schemelens.operators.triggers import CHANGED_BY, pool_ledger
+    done = outcomes.filter(F.col("outcome_code") == 0)
+    app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("old_status"))
+    bank = cat["citizen"].select("citizen_id", "bank_account")
+    payments = (done.filter(F.col("new_status") == "DISBURSED").join(app, "application_id").join(bank, "citizen_id")
+                .select(F.col("request_id").alias("disbursement_id"), "application_id", "scheme_id",
+                        F.col("paid_amount").alias("amount"), F.col("requested_at").alias("disbursement_date"),
+                        F.lit("DBT").alias("payment_mode"),
+                        F.concat(F.lit("TXN"), F.date_format("requested_at", "yyyyMMdd"),
+                                 F.lpad(F.col("application_id").cast("string"), 8, "0")).alias("transaction_ref"),
+                        "bank_account", F.lit("PROCESSED").alias("status")))
+    updates = done.select("application_id", F.col("new_status").alias("status"), "officer_id",
+                          F.col("requested_at").alias("approval_date"), "rejection_reason")
+    audit = (done.join(app, "application_id")
+             .select(F.col("request_id").alias("audit_id"), "application_id", "old_status",
+                     F.col("new_status"), F.lit(CHANGED_BY).alias("changed_by"),
+                     F.col("requested_at").alias("change_date")))
+    pools = pool_ledger(cat["pool"], payments, cat["application"])
+    return {"payments": payments, "updates": updates, "audit": audit, "pools": pools}
+
+
+@register("p04b_decision_payments", oracle=None)
+def p04b_decision_payments(cat) -> DataFrame:
+    """Payment rows written by the granted approvals of the decision batch."""
+    return decision_effects(p04_decide_batch(cat), cat)["payments"]
+
+
+@register("p04c_pools_after_decisions", oracle=None)
+def p04c_pools_after_decisions(cat) -> DataFrame:
+    """Pool balances after the decision batch's payments fire the ledger trigger."""
+    return decision_effects(p04_decide_batch(cat), cat)["pools"]

@@ -132,3 +132,16 @@ def test_p03_matches_sequential_model(cat001):
     exp = intake_model(reqs, citizens, schemes, active, elig)
     got = {r.request_id: r.outcome_code for r in apply_batch(cat["application_request"], cat).collect()}
     assert got == exp
+
+
+def test_decision_effects_respect_budgets(cat001):
+    from schemelens.operators.decisions import decision_effects
+    out = decide_batch(cat001["decision_request"], cat001)
+    eff = decision_effects(out, cat001)
+    n_ok_approve = out.filter("outcome_code = 0 and new_status = 'DISBURSED'").count()
+    assert eff["payments"].count() == n_ok_approve > 0
+    for r in eff["pools"].collect():
+        opening_rem = r.total_budget - r.opening_disbursed
+        if opening_rem >= 0:
+            assert r.added_amount <= opening_rem  # grants never overdraw a pool
+    assert eff["audit"].filter("old_status not in ('SUBMITTED','UNDER_REVIEW')").count() == 0
