@@ -132,9 +132,28 @@ def a02_budget_prefix(cat) -> DataFrame:
                     (F.col("_cum") <= F.col("_rem")).alias("granted"))
 
 
-@register("a01_budget_allocation", oracle=None)
+# Oracle: the plain sequential greedy, one claim per recursion step per scheme.
+A01_SQL = """with recursive q as (
+ select a.application_id, a.scheme_id, b.amount,
+  row_number() over (partition by a.scheme_id order by a.priority_score desc, a.apply_date, a.application_id) as rn
+ from application a join pool p on a.scheme_id = p.scheme_id
+ join (select a2.application_id, """ + R.benefit_amount_sql("c", "s") + """ as amount from application a2
+       join citizen c on a2.citizen_id = c.citizen_id join scheme s on a2.scheme_id = s.scheme_id) b
+  on a.application_id = b.application_id
+ where a.status in ('SUBMITTED','UNDER_REVIEW')),
+walk(scheme_id, rn, rem, application_id, amount, granted) as (
+ select scheme_id, cast(0 as bigint), total_budget - disbursed_amount, cast(null as bigint), cast(null as decimal(12,2)),
+  cast(null as boolean) from pool
+ union all
+ select q.scheme_id, q.rn, case when q.amount <= w.rem then w.rem - q.amount else w.rem end, q.application_id, q.amount,
+  coalesce(q.amount <= w.rem, false)
+ from walk w join q on q.scheme_id = w.scheme_id and q.rn = w.rn + 1)
+select application_id, scheme_id, cast(amount as double) as amount, granted from walk where rn > 0"""
+
+
+@register("a01_budget_allocation", oracle=A01_SQL)
 def a01_budget_allocation(cat) -> DataFrame:
     """Queue-order grants where a claim that does not fit is skipped (exact greedy)."""
     claims, budgets = queue_claims(cat)
     return allocate(claims, budgets, "scheme_id", "application_id", "amount", queue_order(), queue_order_num(),
-                    catalog=cat)
+                    catalog=cat).drop("alloc_round")

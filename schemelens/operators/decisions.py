@@ -151,7 +151,69 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
         F.when(ok & (F.col("_act") == "REJECT"), F.lit(REJECT_REASON)).alias("rejection_reason"))
 
 
-@register("p04_decide_batch", oracle=None)
+def _p04_sql() -> str:
+    """Oracle: the procedure run request by request, per scheme, in time order.
+    The recursion carries the pool remainder and the applications already
+    decided (DuckDB lists); requests for unknown applications are separate."""
+    from schemelens.functions.semantics import oracle_num_sql
+    ben = ("case when c.citizen_id is null or s.scheme_id is null then 0 when s.max_benefit_amount is null then null "
+           "else " + R.benefit_amount_sql("c", "s") + " end")
+    return """with recursive q as (
+ select d.request_id, d.application_id, d.officer_id, d.action, d.requested_at, a.scheme_id, a.status as init_status,
+  upper(d.action) as act, (d.officer_id is null or o.officer_id is not null) as officer_ok, p.scheme_id is not null as has_pool,
+  """ + ben + """ as benefit,
+  exists (select 1 from disbursement fd where fd.application_id = d.application_id) as paid,
+  row_number() over (partition by a.scheme_id order by d.requested_at, d.request_id) as rn
+ from decision_request d join application a on d.application_id = a.application_id
+ left join officer o on d.officer_id = o.officer_id left join pool p on a.scheme_id = p.scheme_id
+ left join citizen c on a.citizen_id = c.citizen_id left join scheme s on a.scheme_id = s.scheme_id),
+walk(scheme_id, rn, rem, done_ids, done_sts, request_id, st, code, benefit, act, application_id, rem_before) as (
+ select x.scheme_id, cast(0 as bigint), p.total_budget - p.disbursed_amount, cast([] as bigint[]), cast([] as varchar[]),
+  cast(null as bigint), cast(null as varchar), cast(null as integer), cast(null as decimal(12,2)), cast(null as varchar),
+  cast(null as bigint), cast(null as decimal(16,2))
+ from (select distinct scheme_id from q) x left join pool p on x.scheme_id = p.scheme_id
+ union all
+ select scheme_id, rn,
+  case when code = 0 and act = 'APPROVE' then rem - benefit else rem end,
+  case when code = 0 then list_append(done_ids, application_id) else done_ids end,
+  case when code = 0 then list_append(done_sts, case when act = 'APPROVE' then 'DISBURSED' else 'REJECTED' end) else done_sts end,
+  request_id, st, code, benefit, act, application_id, rem
+ from (select w.scheme_id, q.rn, w.rem, w.done_ids, w.done_sts, q.request_id, q.benefit, q.act, q.application_id, t.st,
+   case when t.st not in ('SUBMITTED','UNDER_REVIEW') or t.st is null then -20010
+    when not q.officer_ok then -2291
+    when q.act is null or q.act not in ('APPROVE','REJECT') then -20012
+    when q.act = 'REJECT' then 0
+    when not q.has_pool then -1403
+    when w.rem < q.benefit then -20011
+    when q.benefit is null then -1400
+    when q.benefit <= 0 then -2290
+    when q.paid then -1
+    else 0 end as code
+  from walk w join q on q.scheme_id is not distinct from w.scheme_id and q.rn = w.rn + 1,
+   lateral (select case when list_contains(w.done_ids, q.application_id)
+                   then list_extract(w.done_sts, list_position(w.done_ids, q.application_id)) else q.init_status end as st) t) z),
+res as (
+ select q.request_id, q.application_id, q.officer_id, q.action, q.requested_at, w.code as outcome_code, w.st, w.benefit,
+  w.act, w.rem_before from walk w join q on w.request_id = q.request_id
+ union all
+ select d.request_id, d.application_id, d.officer_id, d.action, d.requested_at, -1403, null, null, upper(d.action), null
+ from decision_request d where not exists (select 1 from application a where a.application_id = d.application_id))
+select request_id, application_id, officer_id, action, requested_at, outcome_code,
+ case outcome_code when 0 then case when act = 'APPROVE' then concat('Approved. Disbursed Rs.', """ + oracle_num_sql("benefit") + """)
+                               else concat('Application ', cast(application_id as varchar), ' rejected.') end
+  when -1403 then 'no data found' when -20010 then concat('Application already processed. Status: ', st)
+  when -2291 then 'integrity constraint violated - parent key not found'
+  when -20012 then 'Invalid action. Use APPROVE or REJECT'
+  when -20011 then concat('Insufficient funds in scheme pool. Available: Rs.', """ + oracle_num_sql("rem_before") + """)
+  when -1400 then 'cannot insert NULL into amount' when -2290 then 'check constraint violated: amount > 0'
+  else 'unique constraint violated: application_id' end as message,
+ case when outcome_code = 0 then case when act = 'APPROVE' then 'DISBURSED' else 'REJECTED' end end as new_status,
+ case when outcome_code = 0 and act = 'APPROVE' then cast(benefit as double) end as paid_amount,
+ case when outcome_code = 0 and act = 'REJECT' then '""" + REJECT_REASON + """' end as rejection_reason
+from res"""
+
+
+@register("p04_decide_batch", oracle=_p04_sql())
 def p04_decide_batch(cat) -> DataFrame:
     """Outcome of every officer decision request, as if processed one by one in time order."""
     return decide_batch(cat["decision_request"], cat)
