@@ -20,6 +20,12 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The rule texts are long CASE chains; fused into one whole-stage method they
+    # exceed HotSpot's 8000-bytecode JIT limit and would run interpreted (measured
+    # 3x slower).  Let the JIT compile large generated methods (driver and executors;
+    # only effective when the JVMs are launched with this configuration).
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
