@@ -63,9 +63,11 @@ def with_pieces(df: DataFrame, key: str, order_num: Column, hot: DataFrame | Non
     if hot is None:
         return df.withColumn(PIECE, F.lit(0))
     o = order_num.cast("double")
-    b = F.floor((o - F.col("_lo")) / F.col("_width")).cast("int")
-    piece = F.when(F.col("_width").isNull() | (F.col("_width") <= 0), F.lit(0)).otherwise(
-        F.least(F.greatest(b, F.lit(0)), F.col("_nb") - 1))
+    # clamp in double before the cast: values outside the sampled [lo, hi] range
+    # (the sample need not contain the extremes) go to the first / last piece
+    b = F.floor((o - F.col("_lo")) / F.col("_width"))
+    b = F.least(F.greatest(b, F.lit(0.0)), (F.col("_nb") - 1).cast("double"))
+    piece = F.when(F.col("_width").isNull() | (F.col("_width") <= 0), F.lit(0)).otherwise(b.cast("int"))
     return df.join(F.broadcast(hot), key, "left").withColumn(PIECE, piece).drop("_lo", "_width", "_nb")
 
 

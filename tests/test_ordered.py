@@ -40,3 +40,14 @@ def test_lag_matches_window(spark):
     w = Window.partitionBy("k").orderBy("t", "id")
     exp = df.withColumn("prev", F.lag("s", 1, "START").over(w))
     assert sorted(got.select("id", "prev").collect()) == sorted(exp.select("id", "prev").collect())
+
+
+def test_values_outside_sample_range(spark):
+    # a tiny sample sees only part of the range; far-away order values must not break the piece cast
+    rows = [(i, 0, i, 1, "A") for i in range(2000)] + [(5000 + j, 0, 10 ** 15 + j, 1, "B") for j in range(3)] + \
+           [(9000 + j, 0, -(10 ** 15) - j, 1, "C") for j in range(3)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v long, s string")
+    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", target_rows=50, fraction=0.05)
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.withColumn("cum", F.sum("v").over(w))
+    assert sorted(got.select("id", "cum").collect()) == sorted(exp.select("id", "cum").collect())
