@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # stream state (per application / pair / scheme) can outgrow executor memory
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # The rule texts are long CASE chains; fused into one whole-stage method they
     # exceed HotSpot's 8000-bytecode JIT limit and would run interpreted (measured
     # 3x slower).  Let the JIT compile large generated methods (driver and executors;

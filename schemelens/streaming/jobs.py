@@ -88,6 +88,49 @@ def audit_trail_stream(cat, folder: str | None = None) -> DataFrame:
         _audit_step, AUDIT_OUT, "last_status string", "append", GroupStateTimeout.NoTimeout)
 
 
+try:  # transformWithState API (Spark 4): ValueState per application
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    class AuditProcessor(StatefulProcessor):
+        """Keeps the application's last status in a ValueState; emits one audit
+        row per status change in arrival order (event time, then event id)."""
+
+        def init(self, handle) -> None:
+            self.last = handle.getValueState("last_status", "status string")
+
+        def handleInputRows(self, key, rows, timerValues):
+            pdf = pd.concat(list(rows))
+            if pdf.empty:
+                return
+            pdf = pdf.sort_values(["change_date", "event_id"], kind="stable")
+            prev = pdf["new_status"].shift(1)
+            prev.iloc[0] = self.last.get()[0] if self.last.exists() else FIRST_OLD_STATUS
+            self.last.update((str(pdf["new_status"].iloc[-1]),))
+            yield pd.DataFrame({"audit_id": pdf["event_id"].to_numpy(),
+                                "application_id": pdf["application_id"].to_numpy(),
+                                "old_status": prev.to_numpy(), "new_status": pdf["new_status"].to_numpy(),
+                                "changed_by": CHANGED_BY, "change_date": pdf["change_date"].to_numpy()})
+
+        def close(self) -> None:
+            pass
+except ImportError:  # pragma: no cover
+    AuditProcessor = None
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def audit_trail_stream_tws(cat, folder: str | None = None) -> DataFrame:
+    """t01 with ``transformWithStateInPandas`` (needs the RocksDB state store;
+    set here only when the session names no provider)."""
+    conf = cat.spark.conf
+    if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    ev = status_event_stream(cat, folder).join(cat["application"].select("application_id"), "application_id",
+                                               "left_semi")
+    return ev.groupBy("application_id").transformWithStateInPandas(
+        AuditProcessor(), AUDIT_OUT, "Append", "None")
+
+
 def drain(df: DataFrame, name: str) -> DataFrame:
     """Run a streaming DataFrame over everything available, return the sink."""
     spark = df.sparkSession
@@ -285,8 +328,15 @@ def s02_pool_ledger_stream(cat) -> DataFrame:
                     .alias("closing_disbursed")))
 
 
+@register("s01b_audit_trail_value_state")
+def s01b_audit_trail_value_state(cat) -> DataFrame:
+    """t01 as a transformWithState stream: ValueState(last_status) per application."""
+    return drain(audit_trail_stream_tws(cat), "audit-tws")
+
+
 # streams over the same input equal the batch forms
 JOBS["s01_audit_trail_stream"].oracle = JOBS["t01_audit_trail"].oracle
+JOBS["s01b_audit_trail_value_state"].oracle = JOBS["t01_audit_trail"].oracle
 JOBS["s02_pool_ledger_stream"].oracle = JOBS["t02_pool_ledger"].oracle
 JOBS["s03_duplicate_guard_stream"].oracle = JOBS["t03_duplicate_guard"].oracle
 JOBS["s03b_duplicate_guard_reopen_stream"].oracle = JOBS["t03b_duplicate_guard_reopen"].oracle
