@@ -129,3 +129,18 @@ def checkpoint_table(df):
     from schemelens.session import checkpoint_dir
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def time_id_key(time_col, id_col) -> Column:
+    """One exact decimal(38,0) ordered like (time, id): micros * 10^20 + (id + 2^63).
+
+    ``min`` / ``max`` of a decimal run as hash aggregates with map-side partial
+    aggregation, where ``min(struct(time, id))`` would fall back to a sort-based
+    aggregate.  The id is shifted to be non-negative and below 10^20, so the
+    order of the pair is kept for any bigint id and any timestamp within
+    +-3000 years of 1970.
+    """
+    from decimal import Decimal
+    micros = ntz_micros(time_col).cast("decimal(38,0)")
+    shifted = (_c(id_col).cast("decimal(20,0)") + F.lit(Decimal(2 ** 63))).cast("decimal(38,0)")
+    return (micros * F.lit(Decimal(10 ** 20)) + shifted).cast("decimal(38,0)")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import cat as ocat
-from schemelens.functions.semantics import checkpoint_table, ntz_micros, oracle_num
+from schemelens.functions.semantics import checkpoint_table, ntz_micros, oracle_num, time_id_key
 from schemelens.operators import ordered
 from schemelens.operators.allocation import allocate
 from schemelens.plans.views import PENDING
@@ -68,7 +68,7 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
          .withColumn("_valid_reject", F.col("_base_ok") & (act == "REJECT"))
          .withColumn("_valid_approve", F.col("_base_ok") & (act == "APPROVE") & F.col("_pool").isNotNull()
                      & F.coalesce(F.col("benefit") > 0, F.lit(False)) & F.col("_paid").isNull())
-         .withColumn("_key", F.struct(*_ord())))
+         .withColumn("_key", time_id_key("requested_at", "request_id")))
     # the enriched requests feed four branches below: write them once to the
     # shared checkpoint folder instead of re-running the joins per branch
     r = checkpoint_table(r)

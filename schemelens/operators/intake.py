@@ -32,9 +32,11 @@ DEFAULT_REMARKS = "Self-applied"
 def first_per_pair(requests: DataFrame, keys=("citizen_id", "scheme_id"), time_col="requested_at",
                    id_col="request_id") -> DataFrame:
     """Flag ``_is_first`` on the earliest request of every key group."""
-    first = requests.groupBy(*keys).agg(F.min(F.struct(time_col, id_col)).alias("_first"))
+    from schemelens.functions.semantics import time_id_key
+    k = time_id_key(time_col, id_col)
+    first = requests.groupBy(*keys).agg(F.min(k).alias("_first"))  # hash aggregate, partial map-side
     return (requests.join(first, list(keys), "left")
-            .withColumn("_is_first", F.struct(time_col, id_col) == F.col("_first")).drop("_first"))
+            .withColumn("_is_first", k == F.col("_first")).drop("_first"))
 
 
 def apply_batch(requests: DataFrame, cat) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemelens.functions.semantics import ntz_micros
+from schemelens.functions.semantics import ntz_micros, time_id_key
 from schemelens.operators import ordered
 from schemelens.registry import register
 
@@ -206,10 +206,10 @@ def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) ->
          .join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
          .withColumn("_refs_ok", F.col("_c").isNotNull() & F.col("scheme_name").isNotNull())
          .withColumnRenamed("event_id", "request_id").withColumnRenamed("t", "requested_at"))
+    key = time_id_key("requested_at", "request_id")
     ok = r.filter((F.col("_active") == 0) & F.col("_refs_ok"))
-    first = ok.groupBy("citizen_id", "scheme_id").agg(F.min(F.struct("requested_at", "request_id")).alias("_first"))
+    first = ok.groupBy("citizen_id", "scheme_id").agg(F.min(key).alias("_first"))
     r = r.join(first, ["citizen_id", "scheme_id"], "left")
-    key = F.struct("requested_at", "request_id")
     code = (F.when(F.col("_first").isNotNull() & (key > F.col("_first")), F.lit(-20030))
             .when(F.col("_first").isNotNull() & (key == F.col("_first")), F.lit(0))
             .when(F.col("_active") > 0, F.lit(-20030))

@@ -109,3 +109,13 @@ def test_oracle_num_and_half_up(spark):
            .collect()]
     assert [g[0] for g in got] == ["250000", "85000.5", ".1", "0", "-.5"]
     assert [g[1] for g in got] == [1.0, 3.0, 2.0, 3.0, 4.0]  # 0.5 -> 1, 2.5 -> 3, 1.5 -> 2, 2.5 -> 3, 3.5 -> 4
+
+
+def test_time_id_key_orders_like_the_pair(spark):
+    import datetime as dt
+    from schemelens.functions.semantics import time_id_key
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, 0, 5), -(2 ** 63)), (dt.datetime(2024, 1, 1, 0, 0, 0, 5), 2 ** 63 - 1),
+            (dt.datetime(2024, 1, 1, 0, 0, 0, 4), 7), (dt.datetime(1960, 5, 1), 3), (dt.datetime(2024, 1, 1), 0)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, id long")
+    got = [(r.t, r.id) for r in df.orderBy(time_id_key("t", "id")).collect()]
+    assert got == sorted(rows)
