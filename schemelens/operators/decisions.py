@@ -229,7 +229,7 @@ def decision_effects(outcomes: DataFrame, cat) -> dict[str, DataFrame]:
     app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("old_status"))
     bank = cat["citizen"].select("citizen_id", "bank_account")
     payments = (done.filter(F.col("new_status") == "DISBURSED").join(app, "application_id").join(bank, "citizen_id")
-                .select(F.col("request_id").alias("disbursement_id"), "application_id", "scheme_id",
+                .select(F.col("application_id").alias("disbursement_id"), "application_id", "scheme_id",
                         F.col("paid_amount").alias("amount"), F.col("requested_at").alias("disbursement_date"),
                         F.lit("DBT").alias("payment_mode"),
                         F.concat(F.lit("TXN"), F.date_format("requested_at", "yyyyMMdd"),

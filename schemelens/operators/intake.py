@@ -27,6 +27,8 @@ from schemelens.functions.semantics import cat as ocat
 from schemelens.registry import register
 
 DEFAULT_REMARKS = "Self-applied"
+# New applications take id = max(stored id) + request id: above every stored id, unique
+# per request, and deterministic (a retried batch produces the same keys).
 
 
 def first_per_pair(requests: DataFrame, keys=("citizen_id", "scheme_id"), time_col="requested_at",
@@ -59,9 +61,11 @@ def apply_batch(requests: DataFrame, cat) -> DataFrame:
            .when(F.col("outcome_code") == -20004, ocat("Eligibility check failed: ", F.col("_elig")))
            .otherwise(F.lit("SUBMITTED")))
     ok = F.col("outcome_code") == 0
+    # scalar subquery (one aggregate row, evaluated once), not a join
+    max_id = F.coalesce(cat["application"].select(F.max("application_id")).scalar(), F.lit(0))
     return q.select(
         "request_id", "citizen_id", "scheme_id", "outcome_code", msg.alias("message"),
-        F.when(ok, F.col("request_id")).alias("application_id"),
+        F.when(ok, max_id + F.col("request_id")).alias("application_id"),
         F.when(ok, R.priority_score()).alias("priority_score"),
         F.when(ok, F.coalesce(F.nullif(F.col("remarks"), F.lit("")), F.lit(DEFAULT_REMARKS))).alias("remarks"))
 
@@ -71,7 +75,7 @@ APPLY_BATCH_SQL = """select request_id, citizen_id, scheme_id, code as outcome_c
   when -20002 then 'Scheme not found or inactive'
   when -20003 then concat(full_name, ' already has an active application for ', scheme_name)
   when -20004 then concat('Eligibility check failed: ', elig) else 'SUBMITTED' end as message,
- case when code = 0 then request_id end as application_id,
+ case when code = 0 then coalesce((select max(application_id) from application), 0) + request_id end as application_id,
  case when code = 0 then prio end as priority_score,
  case when code = 0 then coalesce(nullif(remarks, ''), 'Self-applied') end as remarks
 from (select *, case when cid is null then -20001 when sid is null or coalesce(is_active, '') <> 'Y' then -20002
