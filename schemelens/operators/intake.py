@@ -45,14 +45,16 @@ def apply_batch(requests: DataFrame, cat) -> DataFrame:
     act = R.active_keys(cat["application"]).withColumn("_active", F.lit(True))
     q = first_per_pair(requests).join(act, ["citizen_id", "scheme_id"], "left")
     q = R.rule_inputs(q, cat, citizen_extra=("full_name",), scheme_extra=("scheme_name",))
-    elig = R.eligibility_reason()
+    # the eligibility text is computed once and referenced by the code and the message
+    q = q.withColumn("_elig", R.eligibility_reason())
+    elig = F.col("_elig")
     code = (F.when(F.col("_c_found").isNull(), F.lit(-20001))
             .when(F.col("_s_found").isNull() | ~F.coalesce(F.col("is_active") == "Y", F.lit(False)), F.lit(-20002))
             .when(F.col("_active").isNotNull(), F.lit(-20003))
             .when(elig != R.ELIGIBLE, F.lit(-20004))
             .when(F.col("_is_first"), F.lit(0))
             .otherwise(F.lit(-20003)))
-    q = q.withColumn("outcome_code", code).withColumn("_elig", elig)
+    q = q.withColumn("outcome_code", code)
     msg = (F.when(F.col("outcome_code") == -20001,
                   ocat("Citizen ID ", F.col("citizen_id").cast("string"), " does not exist"))
            .when(F.col("outcome_code") == -20002, F.lit("Scheme not found or inactive"))
