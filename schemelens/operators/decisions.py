@@ -69,9 +69,11 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
          .withColumn("_valid_approve", F.col("_base_ok") & (act == "APPROVE") & F.col("_pool").isNotNull()
                      & F.coalesce(F.col("benefit") > 0, F.lit(False)) & F.col("_paid").isNull())
          .withColumn("_key", time_id_key("requested_at", "request_id")))
-    # the enriched requests feed four branches below: write them once to the
-    # shared checkpoint folder instead of re-running the joins per branch
-    r = checkpoint_table(r)
+    # the enriched requests feed four branches below: write them once (only the
+    # columns used later) to the shared checkpoint folder instead of re-running the joins
+    r = checkpoint_table(r.select(
+        "request_id", "application_id", "officer_id", "action", "requested_at", "scheme_id", "init_status", "_app",
+        "_rem0", "_pool", "benefit", "_act", "_pend", "_officer_ok", "_valid_reject", "_valid_approve", "_key"))
 
     # first valid REJECT / APPROVE per application (partial aggregation)
     firsts = (r.filter(F.col("_valid_reject") | F.col("_valid_approve")).groupBy("application_id")
