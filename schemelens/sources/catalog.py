@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemelens.sources import fixtures
-from schemelens.sources.schemas import SCHEMAS, SOURCE_TABLES
+from schemelens.sources.schemas import SCHEMAS, SOURCE_SCHEMAS, SOURCE_TABLES
 
 BROADCAST_MAX_ROWS = 200_000
 
@@ -72,7 +72,8 @@ class Catalog:
     # ------------------------------------------------------------ builders
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Catalog":
-        src = {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in SOURCE_TABLES}
+        src = {t: spark.read.schema(SOURCE_SCHEMAS[t]).parquet(os.path.join(sf_dir, f"{t}.parquet"))
+               for t in SOURCE_TABLES}
         frames: dict[str, DataFrame] = {}
         cat = cls(spark, frames, label=sf_dir, source_dir=sf_dir)
         for name in fixtures.ORDER:

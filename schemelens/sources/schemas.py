@@ -42,3 +42,17 @@ BASE_TABLES = ["department", "scheme", "rules", "pool", "officer", "citizen", "c
 # Driver parquet tables the fixtures read.
 SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "events",
                  "documents", "labels"]
+
+# Read schemas of the driver tables (only the columns the fixtures use):
+# declared, never inferred, with TIMESTAMP_NTZ for the wall-clock timestamps.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "documents": "doc_id bigint",
+    "labels": "doc_id bigint, quality int",
+}

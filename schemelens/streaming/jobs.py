@@ -46,8 +46,9 @@ def _source(cat, table: str, folder: str | None = None) -> DataFrame:
     """Streaming read of change events: the driver's table file, or a landing
     folder of parquet files with the same schema (one file per micro-batch)."""
     spark = cat.spark
+    from schemelens.sources.schemas import SOURCE_SCHEMAS
     path = os.path.join(cat.source_dir, f"{table}.parquet")
-    static = spark.read.parquet(path)
+    static = spark.read.schema(SOURCE_SCHEMAS[table]).parquet(path)
     # a file stream source lists a directory or glob: the glob matches exactly this file
     src = folder if folder is not None else path[:-1] + "[t]"
     return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(src)
