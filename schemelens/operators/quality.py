@@ -181,18 +181,28 @@ def _d02_sql() -> str:
 
 @register("d03_foreign_keys", oracle=None)
 def d03_foreign_keys(cat) -> DataFrame:
-    """Child rows whose non-NULL reference has no parent row."""
+    """Child rows whose non-NULL reference has no parent row.
+
+    References are grouped by parent table: the children's references to one
+    parent are unioned and anti-joined once against the parent's distinct keys
+    (broadcast only for size-checked dimensions).
+    """
     tabs = _tables(cat)
     tabs["citizen"] = cat["citizen"]  # parent side: the registered citizens
     frames = []
-    for child, col, parent, pcol in FOREIGN_KEYS:
-        keys = tabs[parent].select(F.col(pcol).alias(col)).distinct()
+    for parent in dict.fromkeys(p for _, _, p, _ in FOREIGN_KEYS):
+        refs = [(c, col, pcol) for c, col, p, pcol in FOREIGN_KEYS if p == parent]
+        pcol = refs[0][2]
+        children = _union([
+            tabs[child].filter(F.col(col).isNotNull())
+            .select(F.lit(child).alias("table_name"), F.lit(f"FOREIGN KEY {col} -> {parent}").alias("rule"),
+                    F.col(PRIMARY_KEYS[child]).cast("string").alias("row_key"), F.col(col).cast("bigint").alias("_k"))
+            for child, col, _ in refs])
+        keys = tabs[parent].select(F.col(pcol).cast("bigint").alias("_k")).distinct()
         if parent in ("department", "scheme", "officer"):
             keys = cat.small(keys, f"fk_{parent}")
-        frames.append(tabs[child].filter(F.col(col).isNotNull()).join(keys, col, "left_anti")
-                      .select(F.lit(child).alias("table_name"), F.lit(f"FOREIGN KEY {col} -> {parent}").alias("rule"),
-                              F.col(PRIMARY_KEYS[child]).cast("string").alias("row_key"),
-                              F.col(col).cast("string").alias("value")))
+        frames.append(children.join(keys, "_k", "left_anti")
+                      .select("table_name", "rule", "row_key", F.col("_k").cast("string").alias("value")))
     return _union(frames)
 
 
