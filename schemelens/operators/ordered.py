@@ -40,9 +40,12 @@ def _ordcols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def hot_keys(df: DataFrame, key: str, order_num: Column, target_rows: int = TARGET_ROWS,
-             fraction: float = SAMPLE_FRACTION, seed: int = 17) -> DataFrame | None:
-    """Small table (key, _lo, _width, _nb) of keys estimated to exceed target_rows."""
+def hot_keys(df: DataFrame, key: str, order_num: Column, target_rows: int | None = None,
+             fraction: float | None = None, seed: int = 17) -> DataFrame | None:
+    """Small table (key, _lo, _width, _nb) of keys estimated to exceed target_rows
+    (defaults: the module's TARGET_ROWS / SAMPLE_FRACTION, read at call time)."""
+    target_rows = TARGET_ROWS if target_rows is None else target_rows
+    fraction = SAMPLE_FRACTION if fraction is None else fraction
     s = df.select(F.col(key), order_num.cast("double").alias("_o")).sample(False, fraction, seed)
     stats = (s.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
              .filter(F.col("_n") / F.lit(fraction) > target_rows))
@@ -73,7 +76,7 @@ def with_pieces(df: DataFrame, key: str, order_num: Column, hot: DataFrame | Non
 
 def running_sum(df: DataFrame, key: str, order: Sequence, value: str | Column, out: str,
                 order_num: Column | None = None, inclusive: bool = True,
-                target_rows: int = TARGET_ROWS, fraction: float = SAMPLE_FRACTION,
+                target_rows: int | None = None, fraction: float | None = None,
                 hot: DataFrame | None | str = "auto") -> DataFrame:
     """Per-key cumulative sum of ``value`` in ``order`` (the order columns must
     break ties).  ``order_num`` is a numeric column non-decreasing in
@@ -103,8 +106,8 @@ def running_sum(df: DataFrame, key: str, order: Sequence, value: str | Column, o
 
 
 def lag(df: DataFrame, key: str, order: Sequence, col: str, out: str, default=None,
-        order_num: Column | None = None, target_rows: int = TARGET_ROWS,
-        fraction: float = SAMPLE_FRACTION) -> DataFrame:
+        order_num: Column | None = None, target_rows: int | None = None,
+        fraction: float | None = None) -> DataFrame:
     """Per-key previous value of ``col`` in ``order``; ``default`` on a key's
     first row (only when there is no predecessor at all)."""
     order = list(order)
