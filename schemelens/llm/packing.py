@@ -23,6 +23,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -38,11 +39,25 @@ CLOSING_ID = 2
 BLOCK_WINDOWS = 512
 #: Rests that one block holds at most, so that a block of tiny documents stays quick to pack.
 BLOCK_RESTS = 4096
-CACHE = 300_000
+#: Distinct words that one task remembers.
+CACHE = 600_000
 
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+class _Parts(dict):
+    """ids of lower-case letters or of plain punctuation by the BPE model, remembered."""
+
+    def __init__(self, model, spelled: dict[int, str]):
+        super().__init__({"": b""})
+        self.model, self.spelled = model, spelled
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.model.tokenize(part.translate(self.spelled))
+        self[part] = ids = array("I", [t.id for t in found]).tobytes()
+        return ids
+
+
 class WordTokens:
     """ids of a text by the tokenizer file, looked up by space-separated word.
 
@@ -58,42 +73,35 @@ class WordTokens:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         low = [c for c in map(chr, range(33, 256)) if c.lower() == c and re.match(f"[{self.LETTERS}!-~]", c)]
-        self.spelled = {ord(c): spell(c)[0][0] for c in low}
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.parts = _Parts(self.tokenizer.model, {ord(c): spell(c)[0][0] for c in low})
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        # added tokens stand for themselves; one that could lie inside a simple word rules that path out
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.simple = (lambda word: None) if any(map(self.SIMPLE.fullmatch, added)) else self.SIMPLE.fullmatch
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [(t or "").encode().split() for t in texts]
-        known = self.words
+        known, parts, simple = self.words, self.parts, self.simple
         if len(known) > CACHE:
             known.clear()
-        if len(self.parts) > CACHE:
-            self.parts.clear()
+        if len(parts) > CACHE // 2:
+            parts.clear()
+            parts[""] = b""
         odd = []
         for w in {w for row in split for w in row if w not in known}:
             word = w.decode()
-            m = self.SIMPLE.fullmatch(word)
-            if m and not any(a in word for a in self.added):
-                known[w] = self._part(m[1]) + self._part(m[2])
+            m = simple(word)
+            if m:
+                letters, marks = m.groups()
+                known[w] = parts[letters.lower()] + parts[marks]
             else:
                 odd.append(word)
         for word, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            known[word.encode()] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, row)) for row in split]
-
-    def _part(self, part: str) -> bytes:
-        part = part.lower()
-        got = self.parts.get(part)
-        if got is None:
-            spelled = part.translate(self.spelled)
-            got = self.parts[part] = np.array([t.id for t in self.model.tokenize(spelled)] if part else [],
-                                              "<u4").tobytes()
-        return got
+            known[word.encode()] = array("I", e.ids).tobytes()
+        return [b"".join([known[w] for w in row]) for row in split]
 
 
 @lru_cache(maxsize=2)
