@@ -1,7 +1,8 @@
-"""Connected components of a link table by alternating star contraction."""
+"""Connected components: of a link table by alternating star contraction, of a link matrix by smallest labels."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,15 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     star = edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return star.unionByName(roots)
+
+
+def forest(m: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest key each row and each column reaches through the links ``m``."""
+    big = np.iinfo(np.int64).max
+    low_l, low_r = left.copy(), right.copy()
+    while True:
+        new_r = np.minimum(low_r, np.where(m, low_l[:, None], big).min(0, initial=big))
+        new_l = np.minimum(low_l, np.where(m, new_r[None, :], big).min(1, initial=big))
+        if (new_l == low_l).all() and (new_r == low_r).all():
+            return low_l, low_r
+        low_l, low_r = new_l, new_r

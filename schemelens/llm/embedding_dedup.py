@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schemelens.llm.common import Scratch, key_id, keyed
-from schemelens.llm.components import components
+from schemelens.llm.components import components, forest
 
 THRESHOLD = 0.95
 TILE = 1024
@@ -77,18 +77,6 @@ def linked(a: np.ndarray, b: np.ndarray, axes: np.ndarray, t: float) -> tuple[np
     return rows, cols, a[rows] @ b[cols].T >= t
 
 
-def forest(m: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest key each row and each column reaches through the links ``m``."""
-    big = np.iinfo(np.int64).max
-    low_l, low_r = left.copy(), right.copy()
-    while True:
-        new_r = np.minimum(low_r, np.where(m, low_l[:, None], big).min(0, initial=big))
-        new_l = np.minimum(low_l, np.where(m, new_r[None, :], big).min(1, initial=big))
-        if (new_l == low_l).all() and (new_r == low_r).all():
-            return low_l, low_r
-        low_l, low_r = new_l, new_r
-
-
 def _tiles(vectors: DataFrame, axes: np.ndarray, d: int, scratch: Scratch) -> DataFrame:
     """(part, tile, lo, hi, rows): blocks of vectors in the order of the first axis."""
     first = [float(x) for x in axes[:, 0]]

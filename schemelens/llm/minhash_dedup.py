@@ -5,16 +5,17 @@
 2. ``BANDS * ROWS`` minima are taken per set.  The full minima of a band, hashed,
    are its bucket; only the low ``BITS`` bits of each minimum are kept, packed, as
    the signature.
-3. In every bucket documents meet in rounds.  A round pairs some centres with
-   the members that are not known to be in the centre's component; the first
-   centre is the smallest member, later rounds take more centres at a time,
-   until the members left in a bucket are of one component.  So no bucket
-   emits all its pairs, none is cut, and no link is left out that could join
-   two components.
-4. A pair is tested further if its similarity, estimated from the number of
-   equal signature values less the share 2**-BITS that agree by chance, is above
-   ``LEAST_ESTIMATE`` (seven standard deviations below the threshold), and linked if the
-   full shingle sets say so.
+3. All members of a bucket are compared with its smallest member, the centre.
+   A pair is tested further if its similarity, estimated from the number of
+   equal signature values less the share 2**-BITS that agree by chance, is at
+   least ``LEAST_ESTIMATE`` (five standard deviations below the threshold), and linked
+   if the full shingle sets say so.
+4. Members that met the same centre and are still of different components are
+   compared in pairs of blocks: those outside the centre's component with all
+   others.  Signatures go first and hand on only the members that have a
+   likely partner; their full shingle sets then give one spanning forest a
+   pair of blocks.  So no bucket is cut, no link between components is left
+   out, and no pairs of members are ever rows.
 
 A pair at the threshold shares no bucket with probability
 (1 - 0.8**ROWS)**BANDS, below 1e-6 here; more similar pairs far less often.
@@ -33,17 +34,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from schemelens.llm.common import Scratch, key_id, keyed, map_batches
-from schemelens.llm.components import components
+from schemelens.llm.components import components, forest
 from schemelens.llm.shingles import shingle_set, words
 
 BANDS, ROWS = 48, 6
 #: Bits kept of each minimum.
 BITS = 8
 THRESHOLD = 80  # percent
-LEAST_ESTIMATE = 0.55
+LEAST_ESTIMATE = 0.68
+#: Members in one block of signatures, and shingles in one block of full sets.
+BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 1 << 17
 
 _MUL = np.random.default_rng(2024).integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _ADD = np.random.default_rng(2025).integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -128,52 +131,133 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
+def _block_pairs(members: DataFrame, payload: str, per_block: int, weight, scratch: Scratch) -> DataFrame:
+    """(a, b): blocks of members (_key, component, payload) that met one centre; every member outside the centre's
+    component meets every other member once.  ``members``: centre, _key, component, outside, payload."""
+    total = lambda cond: F.ceil(F.sum(F.when(cond, weight)) / per_block).cast("int")
+    counts = scratch.keep(members.groupBy("centre").agg(
+        total(F.col("outside")).alias("n_out"), F.coalesce(total(~F.col("outside")), F.lit(0)).alias("n_in"),
+        F.count("*").alias("n")).where("n > 1 and n_out > 0").drop("n"))
+    of = F.when(F.col("outside"), F.col("n_out")).otherwise(F.col("n_in"))
+    blocks = (members.join(counts, "centre").withColumn("block", F.pmod(F.xxhash64("_key"), of).cast("int"))
+              .groupBy("centre", "outside", "block", "n_out", "n_in")
+              .agg(F.collect_list(F.struct("_key", "component", payload)).alias("rows")))
+    blocks = scratch.keep(blocks)
+    met = F.explode(F.concat(
+        F.transform(F.sequence("block", F.col("n_out") - 1), lambda i: F.struct(F.lit(True).alias("o"), i.alias("i"))),
+        F.when(F.col("n_in") > 0, F.transform(F.sequence(F.lit(0), F.col("n_in") - 1),
+                                              lambda i: F.struct(F.lit(False).alias("o"), i.alias("i"))))
+        .otherwise(F.array().cast("array<struct<o:boolean,i:int>>"))))
+    a = blocks.where("outside").select("centre", F.col("rows").alias("a"), met.alias("other")).select(
+        "centre", "a", F.col("other.o").alias("outside"), F.col("other.i").alias("block"))
+    b = blocks.select("centre", "outside", "block", F.col("rows").alias("b"))
+    return a.join(b, ["centre", "outside", "block"]).select("centre", "a", "b")
+
+
+def _columns(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    values = rows.values
+    return values.field(0).to_numpy(), values.field(1).to_numpy(), values.field(2)
+
+
+def likely_members(pairs: DataFrame) -> DataFrame:
+    """(centre, _key) of the members that have a likely partner of another component, by signatures."""
+    chance = 2.0 ** -BITS
+    least = int(np.ceil((LEAST_ESTIMATE * (1 - chance) + chance) * BANDS * ROWS))
+
+    def run(batches):
+        for batch in batches:
+            for centre, a, b in zip(*batch.columns):
+                (ka, ca, sa), (kb, cb, sb) = _columns(a), _columns(b)
+                sa, sb = (np.frombuffer(b"".join(s.to_pylist()), np.uint8).reshape(len(s), -1) for s in (sa, sb))
+                in_a, in_b = np.zeros(len(ka), bool), np.zeros(len(kb), bool)
+                for i in range(len(ka)):
+                    near = (np.count_nonzero(sb == sa[i], axis=1) >= least) & (cb != ca[i])
+                    in_a[i] = near.any()
+                    in_b |= near
+                keys = np.unique(np.concatenate((ka[in_a], kb[in_b])))
+                if len(keys):
+                    yield pa.RecordBatch.from_arrays([pa.array([centre.as_py()] * len(keys), pa.int64()),
+                                                      pa.array(keys)], names=["centre", "_key"])
+
+    return pairs.mapInArrow(run, "centre long, _key long").distinct()
+
+
+def _shared(a: pa.ListArray, b: pa.ListArray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``a`` with the sets ``b``."""
+    na, nb = (np.diff(x.offsets.to_numpy()) for x in (a, b))
+    ea, eb = a.flatten().to_numpy(), b.flatten().to_numpy()
+    both = np.intersect1d(ea, eb)
+    ra, rb = np.repeat(np.arange(len(a)), na), np.repeat(np.arange(len(b)), nb)
+    out = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, len(both), 4096):
+        part = both[at:at + 4096]
+        dense = []
+        for e, r, n in ((ea, ra, len(a)), (eb, rb, len(b))):
+            i = np.minimum(np.searchsorted(part, e), len(part) - 1)
+            hit = part[i] == e
+            m = np.zeros((n, len(part)), np.float32)
+            m[r[hit], i[hit]] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out.astype(np.int64)
+
+
+def exact_links(pairs: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of a spanning forest of the links between the full sets of each pair of blocks."""
+    def run(batches):
+        for batch in batches:
+            for _, a, b in zip(*batch.columns):
+                (ka, ca, sa), (kb, cb, sb) = _columns(a), _columns(b)
+                same = _shared(sa, sb)
+                na, nb = np.diff(sa.offsets.to_numpy()), np.diff(sb.offsets.to_numpy())
+                m = (100 * same >= percent * (na[:, None] + nb[None, :] - same)) & (ca[:, None] != cb[None, :])
+                if m.any():
+                    low_a, low_b = forest(m, ka, kb)
+                    u, v = np.concatenate((ka, kb)), np.concatenate((low_a, low_b))
+                    yield pa.RecordBatch.from_arrays([pa.array(u[u != v]), pa.array(v[u != v])], names=["u", "v"])
+
+    return pairs.mapInArrow(run, "u long, v long")
+
+
 def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, percent: int = THRESHOLD) -> DataFrame:
     """(node, component) of the representatives ``described`` that are linked with another one."""
     bands = described.select("_key", F.explode("buckets").alias("bucket"))
     crowd = scratch.keep(bands.groupBy("bucket").agg(F.min("_key").alias("centre"), F.count("*").alias("n"))
                          .where("n > 1").drop("n"))
-    members = scratch.keep(bands.join(crowd, "bucket"))
+    met = scratch.keep(bands.join(crowd, "bucket").where("_key <> centre").select("centre", "_key").distinct())
     scratch.drop(crowd)
-    signatures = scratch.keep(described.join(members.select("_key").distinct(), "_key", "left_semi")
-                              .select("_key", "signature"))
-    sets = scratch.keep(shingle_rows(texts.join(signatures.select("_key"), "_key", "left_semi")))
-    # first round: all members against the smallest of their bucket
-    todo = members.where("_key <> centre").select(F.col("centre").alias("a"), F.col("_key").alias("b")).distinct()
-    state = scratch.keep(members.select("bucket", "_key", (F.col("_key") == F.col("centre")).alias("done")))
-    links = None
-    most = 1
-    while True:
-        todo = scratch.keep(todo)
-        sig_a = signatures.select(F.col("_key").alias("a"), F.col("signature").alias("sig_a"))
-        sig_b = signatures.select(F.col("_key").alias("b"), F.col("signature").alias("sig_b"))
-        near = scratch.keep(estimate(todo.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")))
-        new = scratch.keep(confirm(near, sets, percent))
-        links = new if links is None else links.unionByName(new)
-        comps = scratch.keep(components(links, scratch))
-        links = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
-        scratch.drop(todo, near, new)
-        # members not yet centres, with their components; buckets with one open component are finished
-        open_ = state.where("not done").join(comps.withColumnRenamed("node", "_key"), "_key", "left").select(
-            "bucket", "_key", F.coalesce("component", "_key").alias("component"))
-        mixed = scratch.keep(open_.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                             .where("low <> high").select("bucket", "low"))
-        old = state
-        state = scratch.keep(open_.join(mixed, "bucket").select("bucket", "_key", "component", "low"))
-        scratch.drop(old, mixed)
-        most *= 16
-        outside = state.where("component <> low")
-        if outside.isEmpty():
-            return comps
-        order = Window.partitionBy("bucket").orderBy("_key")
-        centres = scratch.keep(outside.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
-                               .select("bucket", F.col("_key").alias("centre"), F.col("component").alias("of")))
-        # a centre meets every open member of another component; a pair of centres meets once
-        todo = state.join(centres, "bucket").where("component <> of").select(
-            F.least("centre", "_key").alias("a"), F.greatest("centre", "_key").alias("b")).distinct()
-        state = scratch.keep(state.join(centres.select("bucket", F.col("centre").alias("_key"), F.lit(True).alias("is")),
-                                        ["bucket", "_key"], "left")
-                             .select("bucket", "_key", F.coalesce("is", F.lit(False)).alias("done")))
+    scratch.release()
+    # the centres of all buckets against the members they met
+    known = met.select("_key").union(met.select("centre")).distinct()
+    signatures = scratch.keep(described.join(known, "_key", "left_semi").select("_key", "signature"))
+    sig_a = signatures.select(F.col("_key").alias("a"), F.col("signature").alias("sig_a"))
+    sig_b = signatures.select(F.col("_key").alias("b"), F.col("signature").alias("sig_b"))
+    pairs = met.select(F.col("centre").alias("a"), F.col("_key").alias("b"))
+    near = scratch.keep(estimate(pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")))
+    linked = scratch.keep(confirm(near, _sets(texts, near.select(F.explode(F.array("a", "b")).alias("_key")), scratch),
+                                  percent))
+    scratch.release()
+    comps = scratch.keep(components(linked, scratch))
+    # members of several components that met one centre, in blocks
+    of_member = comps.select(F.col("node").alias("_key"), "component")
+    of_centre = comps.select(F.col("node").alias("centre"), F.col("component").alias("own"))
+    members = met.join(of_member, "_key", "left").join(of_centre, "centre", "left").select(
+        "centre", "_key", F.coalesce("component", "_key").alias("component"), F.coalesce("own", "centre").alias("own"))
+    members = scratch.keep(members.withColumn("outside", F.col("component") != F.col("own")).drop("own"))
+    signed = members.join(signatures, "_key")
+    likely = scratch.keep(likely_members(_block_pairs(signed, "signature", BLOCK_MEMBERS, F.lit(1), scratch)))
+    scratch.release()
+    sets = _sets(texts, likely.select("_key"), scratch)
+    whole = members.join(likely, ["centre", "_key"]).join(sets, "_key")
+    more = scratch.keep(exact_links(
+        _block_pairs(whole, "shingles", BLOCK_SHINGLES, F.size("shingles"), scratch), percent))
+    scratch.release()
+    star = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
+    return comps if more.isEmpty() else scratch.keep(components(star.unionByName(more), scratch))
+
+
+def _sets(texts: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
+    return scratch.keep(shingle_rows(texts.join(keys.distinct(), "_key", "left_semi")))
 
 
 def _classify(rows: DataFrame, percent: int) -> DataFrame:
