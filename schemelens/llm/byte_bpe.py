@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from schemelens.llm.common import map_batches
 
 #: Distinct chunks and pre-tokens whose ids one task remembers.
-CACHE = 300_000
+CACHE = 200_000
 _UP = {b: 256 + b for b in range(256)}  # byte b is the character 256 + b
 
 

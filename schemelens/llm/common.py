@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from schemelens.session import checkpoint_dir
 
 #: Characters of text that one block of rows holds inside a task.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 1 << 20
 
 
 class Scratch:

@@ -39,8 +39,8 @@ CLOSING_ID = 2
 BLOCK_WINDOWS = 512
 #: Rests that one block holds at most, so that a block of tiny documents stays quick to pack.
 BLOCK_RESTS = 4096
-#: Distinct words that one task remembers.
-CACHE = 600_000
+#: Distinct words that one task remembers; a worker process gives them up after the task.
+CACHE = 250_000
 
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -85,11 +85,8 @@ class WordTokens:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [(t or "").encode().split() for t in texts]
         known, parts, simple = self.words, self.parts, self.simple
-        if len(known) > CACHE:
-            known.clear()
-        if len(parts) > CACHE // 2:
-            parts.clear()
-            parts[""] = b""
+        if len(known) > CACHE or len(parts) > CACHE // 2:
+            self.forget()
         odd = []
         for w in {w for row in split for w in row if w not in known}:
             word = w.decode()
@@ -103,6 +100,11 @@ class WordTokens:
             known[word.encode()] = array("I", e.ids).tobytes()
         return [b"".join([known[w] for w in row]) for row in split]
 
+    def forget(self) -> None:
+        self.words.clear()
+        self.parts.clear()
+        self.parts[""] = b""
+
 
 @lru_cache(maxsize=2)
 def word_tokens(path: str) -> WordTokens:
@@ -209,11 +211,12 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     def run(batches):
         task = TaskContext.get()
         seq = (task.partitionId() if task else 0) << 33
+        tokens = word_tokens(tokenizer)
         block = _Block(capacity)
         for batch in batches:
             arrow_id = batch.schema.field(0).type
-            for part in slices(batch, [1]):
-                for doc_id, ids in zip(part.column(0).to_pylist(), word_tokens(tokenizer).ids(part.column(1).to_pylist())):
+            for part in slices(batch, [1], 1 << 20):
+                for doc_id, ids in zip(part.column(0).to_pylist(), tokens.ids(part.column(1).to_pylist())):
                     block.add(doc_id, ids + closing)
                     if block.full():
                         out, seq = block.pieces(seq)
@@ -222,6 +225,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
         if block.docs:
             out, seq = block.pieces(seq)
             yield _to_arrow(out, arrow_id, id_col)
+        tokens.forget()
 
     return rows.mapInArrow(run, f"`{id_col}` {id_type}, {SCHEMA}")
 

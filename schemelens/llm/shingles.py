@@ -10,7 +10,7 @@ _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E377
 _FINAL = np.uint64(0xFF51AFD7ED558CCD)
 _HALF = np.uint64(32)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-HELD = 200_000
+HELD = 100_000
 
 
 class WordNumbers(dict):
