@@ -160,7 +160,7 @@ def benefit_amount() -> Column:
 
     Exact decimal arithmetic: decimal(12,2) times four 2-dp factors is
     decimal(24,10), rounded HALF_UP to 2 dp.  Oracle's LEAST is NULL when the
-    cap is NULL (Spark's ``least`` would skip it).
+    base or the cap is NULL (Spark's ``least`` would skip it).
     """
     inc = F.col("annual_income")
     factor = F.when(inc <= BENEFIT_INCOME_BANDS[0][0], _d(BENEFIT_INCOME_BANDS[0][1]))
@@ -174,18 +174,19 @@ def benefit_amount() -> Column:
     raw = F.col("base_benefit_amount") * factor * category * rural * senior
     rounded = F.round(raw.cast("decimal(28,10)"), 2).cast("decimal(12,2)")
     mx = F.col("max_benefit_amount")
-    capped = F.when(mx.isNull(), F.lit(None).cast("decimal(12,2)")).otherwise(F.least(rounded, mx))
+    capped = F.when(mx.isNull() | F.col("base_benefit_amount").isNull(), F.lit(None).cast("decimal(12,2)")).otherwise(F.least(rounded, mx))
     return (F.when(F.col("_c_found").isNull() | F.col("_s_found").isNull(), F.lit(Decimal("0.00")))
             .otherwise(capped)).cast("decimal(12,2)")
 
 
 def benefit_amount_sql(c: str = "c", s: str = "s") -> str:
     bands = " ".join(f"when {c}.annual_income<={b} then {f}" for b, f in BENEFIT_INCOME_BANDS)
-    return (f"least(cast(round(cast({s}.base_benefit_amount * (case {bands} else {BENEFIT_INCOME_ELSE} end)"
+    return (f"case when {s}.base_benefit_amount is null or {s}.max_benefit_amount is null then null else "
+            f"least(cast(round(cast({s}.base_benefit_amount * (case {bands} else {BENEFIT_INCOME_ELSE} end)"
             f" * (case when {c}.category in ('SC','ST') then {BENEFIT_SC_ST} when {c}.category='OBC' then {BENEFIT_OBC} else 1.00 end)"
             f" * (case when {c}.location_type='RURAL' then {BENEFIT_RURAL} else 1.00 end)"
             f" * (case when {c}.age>={SENIOR_AGE} then {BENEFIT_SENIOR} else 1.00 end) as decimal(28,10)),2) as decimal(12,2)),"
-            f" {s}.max_benefit_amount)")
+            f" {s}.max_benefit_amount) end")
 
 
 # ---------------------------------------------------------- f03 (score)

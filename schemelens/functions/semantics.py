@@ -144,3 +144,9 @@ def time_id_key(time_col, id_col) -> Column:
     micros = ntz_micros(time_col).cast("decimal(38,0)")
     shifted = (_c(id_col).cast("decimal(20,0)") + F.lit(Decimal(2 ** 63))).cast("decimal(38,0)")
     return (micros * F.lit(Decimal(10 ** 20)) + shifted).cast("decimal(38,0)")
+
+
+def padded_id(name: str) -> Column:
+    """Id as text, zero-padded to eight digits; longer ids stay whole, so they stay distinct."""
+    text = F.col(name).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(8)), F.lit("0"))

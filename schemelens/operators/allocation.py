@@ -15,9 +15,10 @@ may still fit.  Exact set-based algorithm in rounds:
   (the budget only shrinks); the remaining later claims (all <= rest) form the
   next round with budget ``rest``.
 
-Each round removes every claim of at least one amount value, so the number of
-rounds is bounded by the number of distinct amounts per scheme (at most 60
-for the benefit rule).  The undecided residue is checkpointed to the shared
+Each round decides at least the first overflowing claim of every scheme that
+has one and every claim of its amount, so the rounds end when no claim is left
+undecided (at most one round per distinct amount); a round without progress is
+an error, never a cut.  The undecided residue is checkpointed to the shared
 checkpoint folder every round (lineage stays short; a lost executor recomputes
 from the last checkpoint).  The running totals are per scheme, and few schemes
 hold all claims, so they use the skew-safe ``ordered.running_sum``.
@@ -37,8 +38,6 @@ from schemelens.operators import ordered
 from schemelens.plans.views import PENDING
 from schemelens.registry import register
 
-MAX_ROUNDS = 10_000  # safety net only; the round count is bounded by distinct amounts
-
 
 def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amount: str,
              order: Sequence[Column], order_num: Column, catalog=None, hot="auto") -> DataFrame:
@@ -63,7 +62,7 @@ def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amoun
     if isinstance(hot, str):
         hot = ordered.hot_keys(residue, key, order_num)
     decided: list[DataFrame] = [unfundable]
-    rnd = 0
+    rnd, left = 0, None
     while True:
         rnd += 1
         x = ordered.running_sum(residue, key, order, amount, "_cum", order_num=order_num, hot=hot)
@@ -81,8 +80,11 @@ def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amoun
             id_col, key, amount, (F.col("_state") == "G").alias("granted"), F.lit(rnd).alias("alloc_round")))
         residue = y.filter(F.col("_state") == "U").withColumn("_rem", F.col("_rest")).drop(
             "_fo", "_rest", "_state")
-        if rnd >= MAX_ROUNDS or residue.isEmpty():
+        before, left = left, residue.count()
+        if not left:
             break
+        if before is not None and left >= before:
+            raise RuntimeError(f"allocation made no progress: {left} claims undecided after round {rnd}")
     return reduce(lambda a, b: a.unionByName(b), decided)
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import cat as ocat
-from schemelens.functions.semantics import checkpoint_table, ntz_micros, oracle_num, time_id_key
+from schemelens.functions.semantics import checkpoint_table, ntz_micros, oracle_num, padded_id, time_id_key
 from schemelens.operators import ordered
 from schemelens.operators.allocation import allocate
 from schemelens.plans.views import PENDING
@@ -61,7 +61,7 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
     r = R.rule_inputs(r, cat, need_rules=False).withColumn("benefit", R.benefit_amount())
     act = F.upper(F.col("action"))
     r = (r.withColumn("_act", act)
-         .withColumn("_pend", F.coalesce(F.col("init_status").isin(*PENDING), F.lit(False)))
+         .withColumn("_pend", F.coalesce(F.col("init_status").isin(*PENDING), F.lit(True)))
          .withColumn("_officer_ok", F.col("officer_id").isNull() | F.col("_off").isNotNull())
          .withColumn("_base_ok", F.col("_app").isNotNull() & F.col("_pend") & F.col("_officer_ok")
                      & F.coalesce(act.isin("APPROVE", "REJECT"), F.lit(False)))
@@ -181,7 +181,7 @@ walk(scheme_id, rn, rem, done_ids, done_sts, request_id, st, code, benefit, act,
   case when code = 0 then list_append(done_sts, case when act = 'APPROVE' then 'DISBURSED' else 'REJECTED' end) else done_sts end,
   request_id, st, code, benefit, act, application_id, rem
  from (select w.scheme_id, q.rn, w.rem, w.done_ids, w.done_sts, q.request_id, q.benefit, q.act, q.application_id, t.st,
-   case when t.st not in ('SUBMITTED','UNDER_REVIEW') or t.st is null then -20010
+   case when t.st not in ('SUBMITTED','UNDER_REVIEW') then -20010
     when not q.officer_ok then -2291
     when q.act is null or q.act not in ('APPROVE','REJECT') then -20012
     when q.act = 'REJECT' then 0
@@ -235,7 +235,7 @@ def decision_effects(outcomes: DataFrame, cat) -> dict[str, DataFrame]:
                         F.col("paid_amount").alias("amount"), F.col("requested_at").alias("disbursement_date"),
                         F.lit("DBT").alias("payment_mode"),
                         F.concat(F.lit("TXN"), F.date_format("requested_at", "yyyyMMdd"),
-                                 F.lpad(F.col("application_id").cast("string"), 8, "0")).alias("transaction_ref"),
+                                 padded_id("application_id")).alias("transaction_ref"),
                         "bank_account", F.lit("PROCESSED").alias("status")))
     updates = done.select("application_id", F.col("new_status").alias("status"), "officer_id",
                           F.col("requested_at").alias("approval_date"), "rejection_reason")

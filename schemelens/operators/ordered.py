@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 PIECE = "_piece"
 TARGET_ROWS = 2_000_000       # rows per piece aimed at
 SAMPLE_FRACTION = 0.01
-MAX_PIECES_PER_KEY = 4096
 
 
 def _ordcols(order: Sequence) -> list[Column]:
@@ -54,7 +53,7 @@ def hot_keys(df: DataFrame, key: str, order_num: Column, target_rows: int | None
         return None
     out = []
     for r in rows:
-        nb = int(min(MAX_PIECES_PER_KEY, math.ceil(r["_n"] / fraction / target_rows)))
+        nb = math.ceil(r["_n"] / fraction / target_rows)
         span = (r["_hi"] - r["_lo"]) if r["_hi"] is not None else 0.0
         width = span / nb if span > 0 and nb > 1 else 0.0
         out.append((r[key], float(r["_lo"] or 0.0), float(width), nb if width > 0 else 1))
@@ -70,7 +69,7 @@ def with_pieces(df: DataFrame, key: str, order_num: Column, hot: DataFrame | Non
     # (the sample need not contain the extremes) go to the first / last piece
     b = F.floor((o - F.col("_lo")) / F.col("_width"))
     b = F.least(F.greatest(b, F.lit(0.0)), (F.col("_nb") - 1).cast("double"))
-    piece = F.when(F.col("_width").isNull() | (F.col("_width") <= 0), F.lit(0)).otherwise(b.cast("int"))
+    piece = F.when(F.col("_width").isNull() | (F.col("_width") <= 0), F.lit(0)).when(b.isNull() | o.isNull(), F.col("_nb") - 1).otherwise(b.cast("int"))
     return df.join(F.broadcast(hot), key, "left").withColumn(PIECE, piece).drop("_lo", "_width", "_nb")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
-from schemelens.functions.semantics import as_of_col, as_of_sql
+from schemelens.functions.semantics import as_of_col, as_of_sql, padded_id
 from schemelens.plans.views import APPROVED
 from schemelens.registry import register
 
@@ -33,7 +33,7 @@ def payment_run(cat, as_of=None) -> tuple[DataFrame, DataFrame]:
         .alias("disbursement_date"),
         F.lit("DBT").alias("payment_mode"),
         F.concat(F.lit("TXN"), F.date_format(now, "yyyyMMdd"),
-                 F.lpad(F.col("application_id").cast("string"), 8, "0")).alias("transaction_ref"),
+                 padded_id("application_id")).alias("transaction_ref"),
         "bank_account", F.lit("PROCESSED").alias("status"))
     ok = F.col("amount") > 0
     return rows.filter(ok), rows.filter(~ok | F.col("amount").isNull())
@@ -42,7 +42,7 @@ def payment_run(cat, as_of=None) -> tuple[DataFrame, DataFrame]:
 PAYMENT_RUN_SQL = f"""select a.application_id as disbursement_id, a.application_id, a.scheme_id,
  case when s.scheme_id is null then 0 when s.max_benefit_amount is null then null else {R.benefit_amount_sql('c', 's')} end as amount,
  a.approval_date + interval '1' day * cast(a.application_id % 7 + 1 as int) as disbursement_date, 'DBT' as payment_mode,
- 'TXN' || strftime({as_of_sql()}, '%Y%m%d') || lpad(cast(a.application_id as varchar), 8, '0') as transaction_ref,
+ 'TXN' || strftime({as_of_sql()}, '%Y%m%d') || lpad(cast(a.application_id as varchar), cast(greatest(length(cast(a.application_id as varchar)), 8) as int), '0') as transaction_ref,
  c.bank_account, 'PROCESSED' as status
 from application a join citizen c on a.citizen_id = c.citizen_id left join scheme s on a.scheme_id = s.scheme_id
 where a.status in ('APPROVED','DISBURSED')

@@ -115,8 +115,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def _present(df: DataFrame, cols) -> list[str]:
-    return [c for c in cols if c in df.columns]
+def _declared(table: str, df: DataFrame, cols) -> list[str]:
+    """``cols``; a constraint on a column that the table lacks is an error, never a check left out."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise KeyError(f"{table} lacks columns that its constraints name: {', '.join(missing)}")
+    return list(cols)
 
 
 @register("d01_not_null", oracle=None)
@@ -124,7 +128,7 @@ def d01_not_null(cat) -> DataFrame:
     """NOT NULL violations of every table."""
     frames = []
     for t, df in _tables(cat).items():
-        cols = _present(df, NOT_NULL.get(t, []))
+        cols = _declared(t, df, NOT_NULL.get(t, []))
         frames.append(_explode(t, df, [(f"NOT NULL {c}", F.col(c).isNull(), F.lit(None)) for c in cols]))
     return _union(frames)
 
@@ -152,7 +156,7 @@ def d02_unique_keys(cat) -> DataFrame:
     """
     parts = []
     for t, df in _tables(cat).items():
-        cols = _present(df, UNIQUE.get(t, []))
+        cols = _declared(t, df, UNIQUE.get(t, []))
         if not cols:
             continue
         arr = F.array(*[F.struct(F.lit(("PRIMARY KEY " if c == PRIMARY_KEYS[t] else "UNIQUE ") + c).alias("rule"),
@@ -217,15 +221,14 @@ def _d03_sql() -> str:
 
 def _check_list(t: str, df: DataFrame) -> list[tuple[str, Column, Column]]:
     checks = []
+    own = {rule: (cond, vcol) for rule, (tt, cond, vcol) in RANGES.items() if tt == t}
+    _declared(t, df, [*DOMAINS.get(t, {}), *(v for _, v in own.values()), *FORMATS.get(t, {})])
     for c, values in DOMAINS.get(t, {}).items():
-        if c in df.columns:
-            checks.append((f"CHECK {c} IN ({','.join(values)})", ~F.col(c).isin(*values), F.col(c)))
-    for rule, (tt, cond, vcol) in RANGES.items():
-        if tt == t and vcol in df.columns:
-            checks.append((f"CHECK {rule}", ~F.expr(cond), F.col(vcol)))
+        checks.append((f"CHECK {c} IN ({','.join(values)})", ~F.col(c).isin(*values), F.col(c)))
+    for rule, (cond, vcol) in own.items():
+        checks.append((f"CHECK {rule}", ~F.expr(cond), F.col(vcol)))
     for c, (pattern, length) in FORMATS.get(t, {}).items():
-        if c in df.columns:
-            checks.append((f"CHECK {c} FORMAT", ~(F.col(c).rlike(pattern) & (F.length(c) == length)), F.col(c)))
+        checks.append((f"CHECK {c} FORMAT", ~(F.col(c).rlike(pattern) & (F.length(c) == length)), F.col(c)))
     return checks
 
 

@@ -17,28 +17,28 @@ from schemelens.operators import ordered
 from schemelens.registry import register
 
 CHANGED_BY = "APP_USER"  # the session user recorded by the audit trigger
-FIRST_OLD_STATUS = "SUBMITTED"  # applications are inserted as SUBMITTED; inserts are not audited
 
 
 def audit_trail(status_event: DataFrame, application: DataFrame, changed_by: str = CHANGED_BY) -> DataFrame:
     """One audit row per status change of an existing application.
 
     old_status is the previous change's new status for that application
-    (``SUBMITTED`` before the first change).  Changes for unknown applications
+    (its stored status before the first change).  Changes for unknown applications
     update no row and therefore leave no audit row.  The per-application lag is
     skew-safe (one application may carry any share of the events).
     """
-    ev = status_event.join(application.select("application_id"), "application_id", "left_semi")
+    ev = status_event.join(application.select("application_id", F.col("status").alias("_stored")), "application_id")
     ev = ordered.lag(ev, "application_id", ["change_date", "event_id"], "new_status", "old_status",
-                     default=FIRST_OLD_STATUS, order_num=ntz_micros("change_date"))
+                     default=F.col("_stored"), order_num=ntz_micros("change_date"))
     return ev.select(F.col("event_id").alias("audit_id"), "application_id", "old_status", "new_status",
                      F.lit(changed_by).alias("changed_by"), "change_date")
 
 
 AUDIT_TRAIL_SQL = f"""select e.event_id as audit_id, e.application_id,
- lag(e.new_status, 1, '{FIRST_OLD_STATUS}') over (partition by e.application_id order by e.change_date, e.event_id) as old_status,
+ case when row_number() over w = 1 then a.status else lag(e.new_status) over w end as old_status,
  e.new_status, '{CHANGED_BY}' as changed_by, e.change_date
-from status_event e where e.application_id in (select application_id from application0)"""
+from status_event e join application0 a on e.application_id = a.application_id
+window w as (partition by e.application_id order by e.change_date, e.event_id)"""
 
 
 @register("t01_audit_trail", oracle=AUDIT_TRAIL_SQL)
@@ -95,7 +95,7 @@ def running_balance(pool: DataFrame, payments: DataFrame) -> DataFrame:
     """
     p = payments.select("disbursement_id", "application_id", "scheme_id", "amount", "disbursement_date")
     p = p.join(pool.select("scheme_id", "total_budget", "disbursed_amount"), "scheme_id")
-    p = ordered.running_sum(p, "scheme_id", ["disbursement_date", "disbursement_id"], "amount", "_cum",
+    p = ordered.running_sum(p, "scheme_id", [F.col("disbursement_date").asc_nulls_last(), "disbursement_id"], "amount", "_cum",
                             order_num=ntz_micros("disbursement_date"))
     bal = (F.col("disbursed_amount") + F.col("_cum")).cast("decimal(25,2)")
     return p.select("disbursement_id", "application_id", "scheme_id", "amount", "disbursement_date",
@@ -196,7 +196,7 @@ def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) ->
     """
     from schemelens.operators.intake import first_per_pair
     u, base = _merged_guard_events(status_event, requests, cat)
-    u = u.withColumn("_pair", F.concat_ws(":", F.col("citizen_id").cast("string"), F.col("scheme_id").cast("string")))
+    u = u.withColumn("_pair", F.concat(*(F.concat(F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(":")) for c in ("citizen_id", "scheme_id"))))
     u = ordered.running_sum(u, "_pair", ["t", "kind", "event_id"], "delta", "_seen", inclusive=False,
                             order_num=ntz_micros("t"))
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))

@@ -23,11 +23,11 @@ TEMPLATES: dict[str, str] = {
 select r_regionkey as department_id, concat('DEPT_', r_name) as department_name from {region}
 """,
     "scheme": """
-select p_partkey as scheme_id, concat('SCHEME_', lpad(cast(p_partkey as string),2,'0')) as scheme_name, concat('S-', cast(p_partkey as string)) as scheme_code,
+select p_partkey as scheme_id, concat('SCHEME_', lpad(cast(p_partkey as string),cast(greatest(length(cast(p_partkey as string)),2) as int),'0')) as scheme_name, concat('S-', cast(p_partkey as string)) as scheme_code,
  p_partkey % 5 as department_id, case when p_partkey % 2 = 0 then 'MAJOR' else 'MINOR' end as scheme_type,
  cast(900 * (1 + (p_partkey*7) % 20) as decimal(12,2)) as base_benefit_amount,
  cast(900 * (1 + (p_partkey*7) % 20) + 45 * (1 + (p_partkey*7) % 20) * (1 + p_partkey % 6) as decimal(12,2)) as max_benefit_amount,
- case when p_partkey = 13 then 'N' else 'Y' end as is_active from {part} where p_partkey < 20
+ case when p_partkey = 13 then 'N' else 'Y' end as is_active from {part}
 """,
     "rules": """
 select scheme_id, case scheme_id % 3 when 0 then 18 when 1 then 21 else 0 end as min_age,
@@ -56,25 +56,25 @@ select c_custkey as citizen_id, lpad(cast(700000000000 + c_custkey as string),12
  case when c_custkey % 17 < 12 then 'Y' else 'N' end as is_verified from {customer} join {nation} on c_nationkey = n_nationkey
 """,
     "application0": """
-select o_orderkey as application_id, o_custkey as citizen_id, cast(floor(((o_orderkey % 20) * (o_custkey % 20)) / 20) as bigint) as scheme_id,
+select o_orderkey as application_id, case when o_custkey % 9 <> 0 then o_custkey when o_custkey = 0 then 1 else o_custkey - 1 end as citizen_id, cast(floor(((o_orderkey % 20) * (o_custkey % 20)) / 20) as bigint) as scheme_id,
  case when o_orderkey % 17 = 0 or (o_orderkey % (select count(*) from {supplier})) % 10 = 7 then null else o_orderkey % (select count(*) from {supplier}) end as officer_id,
  o_orderdate + interval '1' hour * cast(o_orderkey % 24 as int) as apply_date,
  case when o_orderstatus = 'O' then case when o_orderkey % 3 = 0 then 'UNDER_REVIEW' else 'SUBMITTED' end
       when o_orderstatus = 'F' then case when o_orderkey % 2 = 0 then 'DISBURSED' else 'APPROVED' end
-      else case when o_orderkey % 2 = 0 then 'REJECTED' else 'DISBURSED' end end as status from {orders} where o_custkey % 9 <> 0
+      else case when o_orderkey % 2 = 0 then 'REJECTED' else 'DISBURSED' end end as status from {orders}
 """,
     "application_base": """
 select *, case when status in ('APPROVED','DISBURSED') or (status='REJECTED' and application_id % 4 = 0) then apply_date + interval '1' hour * cast(72 + (application_id*7) % 1000 as int) end as approval_date from {application0}
 """,
     "benefit": """
-select a.application_id, a.citizen_id, a.scheme_id, least(cast(round(cast(base_benefit_amount * (case when annual_income<=50000 then 1.00 when annual_income<=150000 then 0.88 when annual_income<=300000 then 0.75 when annual_income<=500000 then 0.60 else 0.40 end)
- * (case when category in ('SC','ST') then 1.20 when category='OBC' then 1.10 else 1.00 end) * (case when location_type='RURAL' then 1.08 else 1.00 end) * (case when age>=60 then 1.12 else 1.00 end) as decimal(28,10)),2) as decimal(12,2)), max_benefit_amount) as amount
+select a.application_id, a.citizen_id, a.scheme_id, case when base_benefit_amount is null or max_benefit_amount is null then null else least(cast(round(cast(base_benefit_amount * (case when annual_income<=50000 then 1.00 when annual_income<=150000 then 0.88 when annual_income<=300000 then 0.75 when annual_income<=500000 then 0.60 else 0.40 end)
+ * (case when category in ('SC','ST') then 1.20 when category='OBC' then 1.10 else 1.00 end) * (case when location_type='RURAL' then 1.08 else 1.00 end) * (case when age>=60 then 1.12 else 1.00 end) as decimal(28,10)),2) as decimal(12,2)), max_benefit_amount) end as amount
  from {application_base} a join {citizen} c on a.citizen_id=c.citizen_id join {scheme} s on a.scheme_id=s.scheme_id
 """,
     "disbursement": """
 select b.application_id as disbursement_id, b.application_id, b.amount, a.approval_date + interval '1' hour * cast(24 * (1 + b.application_id % 7) as int) as disbursement_date,
  case b.application_id % 3 when 0 then 'DBT' when 1 then 'NEFT' else 'RTGS' end as payment_mode, case when b.application_id % 29 = 0 then 'FAILED' else 'PROCESSED' end as status,
- concat('TXN', replace(substr(cast(a.approval_date as string),1,10),'-',''), lpad(cast(b.application_id as string),8,'0')) as transaction_ref
+ concat('TXN', replace(substr(cast(a.approval_date as string),1,10),'-',''), lpad(cast(b.application_id as string),cast(greatest(length(cast(b.application_id as string)),8) as int),'0')) as transaction_ref
  from {benefit} b join {application_base} a on a.application_id=b.application_id where a.status in ('APPROVED','DISBURSED') and b.application_id % 5 <> 4
 """,
     "pool": """
@@ -91,7 +91,7 @@ select d.doc_id, d.doc_id % (select count(*) from {customer}) as citizen_id, cas
 select event_id, user_id as application_id, case event_type when 'signup' then 'SUBMITTED' when 'view' then 'UNDER_REVIEW' when 'click' then 'APPROVED' when 'purchase' then 'DISBURSED' else 'REJECTED' end as new_status, ts as change_date from {events}
 """,
     "application_request": """
-select event_id as request_id, (event_id*11) % ((select count(*) from {customer}) + 5) as citizen_id, event_id % 21 as scheme_id, case when event_type = 'view' then '' else event_type end as remarks, ts as requested_at from {events}
+select event_id as request_id, (event_id*11) % ((select count(*) from {customer}) + 5) as citizen_id, case when event_id % 21 = 20 then (select count(*) from {scheme}) + 5 else event_id % 21 end as scheme_id, case when event_type = 'view' then '' else event_type end as remarks, ts as requested_at from {events}
 """,
     "decision_request": """
 select event_id as request_id, (event_id*13) % cast(floor((select count(*) from {orders}) / 4) as bigint) as application_id, event_id % ((select count(*) from {supplier}) + 1) as officer_id,
@@ -100,7 +100,9 @@ select event_id as request_id, (event_id*13) % cast(floor((select count(*) from
     "citizen_dirty": """
 select citizen_id, case when citizen_id % 50 = 49 then substr(aadhaar_number,1,11) when citizen_id % 60 = 59 then '700000000000' else aadhaar_number end as aadhaar_number,
  case when citizen_id % 41 = 40 then 'X' when citizen_id % 43 = 42 then null else gender end as gender, case when citizen_id % 37 = 36 then 130 when citizen_id % 47 = 46 then null else age end as age,
- cast(case when citizen_id % 53 = 52 then -1 else annual_income end as decimal(12,2)) as annual_income, category, state from {citizen}
+ cast(case when citizen_id % 53 = 52 then -1 else annual_income end as decimal(12,2)) as annual_income, category, state,
+ case when citizen_id % 59 = 58 then null else full_name end as full_name, case when citizen_id % 61 = 60 then 'HILLS' else location_type end as location_type, land_holding_acres, occupation,
+ case when citizen_id % 67 = 66 then null when citizen_id % 71 = 70 then 'ACCT000000000000' else bank_account end as bank_account, case when citizen_id % 73 = 72 then '?' else is_verified end as is_verified from {citizen}
 """,
 }
 

@@ -32,7 +32,9 @@ SCHEMAS = {
     "decision_request": ("request_id bigint, application_id bigint, officer_id bigint, action string, "
                          "requested_at timestamp_ntz"),
     "citizen_dirty": ("citizen_id bigint, aadhaar_number string, gender string, age int, "
-                      "annual_income decimal(12,2), category string, state string"),
+                      "annual_income decimal(12,2), category string, state string, full_name string, "
+                      "location_type string, land_holding_acres decimal(6,2), occupation string, bank_account string, "
+                      "is_verified string"),
 }
 
 # Base tables of the modelled system (the ones the constraint jobs police).

@@ -1,16 +1,15 @@
-"""Sinks: result sets and table inserts written as parquet.
+"""Sinks: result sets and stored tables written as parquet.
 
-``write_result`` stores a job's DataFrame; ``append_rows`` is the table-insert
-sink (for example the payment run's new payment rows appended to the stored
-payments table).  Appends are idempotent per batch id: a retried batch
-overwrites its own sub-folder instead of duplicating rows.
+``write_result`` stores a job's DataFrame.  A stored table is a folder of
+batches from its first write on: ``load_rows`` starts it, ``append_rows`` (the
+table-insert sink, for example the payment run's rows) adds a batch, and
+``read_rows`` reads all of them with a declared schema.  Writes are idempotent
+per batch: a retried batch overwrites its own folder.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_result(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -20,8 +19,19 @@ def write_result(df: DataFrame, path: str, partition_by: list[str] | None = None
     w.parquet(path)
 
 
+def load_rows(df: DataFrame, table_path: str) -> str:
+    """Start the stored table at ``table_path`` with ``df``; replaces all its batches."""
+    df.limit(0).write.mode("overwrite").parquet(table_path)
+    return append_rows(df, table_path, "load")
+
+
 def append_rows(df: DataFrame, table_path: str, batch_id: str) -> str:
     """Insert ``df`` into the stored table at ``table_path`` as batch ``batch_id``."""
-    target = os.path.join(table_path, f"batch={batch_id}")
+    target = f"{table_path.rstrip('/')}/rows/{batch_id}"
     df.write.mode("overwrite").parquet(target)
     return target
+
+
+def read_rows(spark: SparkSession, table_path: str, schema: str) -> DataFrame:
+    """All rows of the stored table, whatever batch wrote them."""
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{table_path.rstrip('/')}/rows")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from schemelens.operators.triggers import CHANGED_BY, DUPLICATE_MESSAGE, FIRST_OLD_STATUS
+from schemelens.operators.triggers import CHANGED_BY, DUPLICATE_MESSAGE
 from schemelens.registry import JOBS, register
 from schemelens.session import checkpoint_dir
 from schemelens.sources import fixtures
@@ -68,7 +68,6 @@ AUDIT_OUT = "audit_id long, application_id long, old_status string, new_status s
 
 
 def _audit_step(key, frames, state):
-    last = state.get[0] if state.exists else FIRST_OLD_STATUS
     out = []
     for pdf in frames:
         out.append(pdf)
@@ -76,15 +75,25 @@ def _audit_step(key, frames, state):
         return
     pdf = pd.concat(out).sort_values(["change_date", "event_id"], kind="stable")
     prev = pdf["new_status"].shift(1)
-    prev.iloc[0] = last
+    prev.iloc[0] = state.get[0] if state.exists else pdf["stored_status"].iloc[0]
     state.update((pdf["new_status"].iloc[-1],))
     yield pd.DataFrame({"audit_id": pdf["event_id"].to_numpy(), "application_id": pdf["application_id"].to_numpy(),
                         "old_status": prev.to_numpy(), "new_status": pdf["new_status"].to_numpy(),
                         "changed_by": CHANGED_BY, "change_date": pdf["change_date"].to_numpy()})
 
 
+def _requested_scheme(cat):
+    """Scheme of a request, as in the fixture: every 21st names one that does not exist."""
+    n = F.col("event_id") % 21
+    return F.when(n == 20, F.lit(cat["scheme"].count() + 5)).otherwise(n)
+
+
+def _stored(cat) -> DataFrame:
+    return cat["application"].select("application_id", F.col("status").alias("stored_status"))
+
+
 def audit_trail_stream(cat, folder: str | None = None) -> DataFrame:
-    ev = status_event_stream(cat, folder).join(cat["application"].select("application_id"), "application_id", "left_semi")
+    ev = status_event_stream(cat, folder).join(_stored(cat), "application_id")
     return ev.groupBy("application_id").applyInPandasWithState(
         _audit_step, AUDIT_OUT, "last_status string", "append", GroupStateTimeout.NoTimeout)
 
@@ -105,7 +114,7 @@ try:  # transformWithState API (Spark 4): ValueState per application
                 return
             pdf = pdf.sort_values(["change_date", "event_id"], kind="stable")
             prev = pdf["new_status"].shift(1)
-            prev.iloc[0] = self.last.get()[0] if self.last.exists() else FIRST_OLD_STATUS
+            prev.iloc[0] = self.last.get()[0] if self.last.exists() else pdf["stored_status"].iloc[0]
             self.last.update((str(pdf["new_status"].iloc[-1]),))
             yield pd.DataFrame({"audit_id": pdf["event_id"].to_numpy(),
                                 "application_id": pdf["application_id"].to_numpy(),
@@ -126,8 +135,7 @@ def audit_trail_stream_tws(cat, folder: str | None = None) -> DataFrame:
     conf = cat.spark.conf
     if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
         conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    ev = status_event_stream(cat, folder).join(cat["application"].select("application_id"), "application_id",
-                                               "left_semi")
+    ev = status_event_stream(cat, folder).join(_stored(cat), "application_id")
     return ev.groupBy("application_id").transformWithStateInPandas(
         AuditProcessor(), AUDIT_OUT, "Append", "None")
 
@@ -184,7 +192,7 @@ def duplicate_guard_stream(cat, folder: str | None = None) -> DataFrame:
     ev = _source(cat, "events", folder).select(
         F.col("event_id").alias("request_id"),
         ((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
-        (F.col("event_id") % 21).alias("scheme_id"), F.col("ts").alias("requested_at"))
+        _requested_scheme(cat).alias("scheme_id"), F.col("ts").alias("requested_at"))
     act = R.active_keys(cat["application"]).withColumn("_stored_active", F.lit(True))
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
     sc = cat.dim("scheme").select("scheme_id", "scheme_name")
@@ -270,7 +278,7 @@ def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
           .select("citizen_id", "scheme_id", "t", F.lit(0).alias("kind"), "event_id", "application_id",
                   "new_status", "_stored"))
     rq = src.select(((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
-                    (F.col("event_id") % 21).alias("scheme_id"), F.col("ts").alias("t"), F.lit(1).alias("kind"),
+                    _requested_scheme(cat).alias("scheme_id"), F.col("ts").alias("t"), F.lit(1).alias("kind"),
                     "event_id", F.lit(None).cast("long").alias("application_id"),
                     F.lit(None).cast("string").alias("new_status"), F.lit(None).cast("string").alias("_stored"))
     base = (cat["application"].filter(F.col("status") != "REJECTED").groupBy("citizen_id", "scheme_id")

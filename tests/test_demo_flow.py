@@ -55,7 +55,7 @@ def test_demo_flow(spark, cat001):
     eff = decision_effects(res, cat)
     pay = eff["payments"].first()
     # LPAD(id, 8, '0'): zero-padded to 8 characters (a longer id keeps its first 8)
-    assert pay.transaction_ref == "TXN20010815" + str(app_id).rjust(8, "0")[:8] and pay.disbursement_id == app_id
+    assert pay.transaction_ref == "TXN20010815" + str(app_id).rjust(8, "0") and pay.disbursement_id == app_id
     assert pay.bank_account == "ACCT000000009999" and pay.payment_mode == "DBT"
     audit = eff["audit"].first()
     assert (audit.old_status, audit.new_status) == ("SUBMITTED", "DISBURSED")

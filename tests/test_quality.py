@@ -13,7 +13,7 @@ def test_foreign_keys_report_dangling_references(spark, cat001):
     t = dt.datetime(2001, 1, 1)
     bad_apps = spark.createDataFrame([
         (900000001, 10 ** 9, 0, None, t, "SUBMITTED", None, 0, None, None),       # unknown citizen
-        (900000002, 1, 77, 10 ** 6, t, "SUBMITTED", None, 0, None, None),         # unknown scheme and officer
+        (900000002, 1, 10 ** 7, 10 ** 6, t, "SUBMITTED", None, 0, None, None),         # unknown scheme and officer
     ], SCHEMAS["application"])
     frames["application"] = frames["application"].unionByName(bad_apps)
     bad_pay = spark.createDataFrame([(900000003, 123456789012, D("10.00"), t, "DBT", "PROCESSED", "TXNX")],
@@ -23,7 +23,7 @@ def test_foreign_keys_report_dangling_references(spark, cat001):
     got = {(r.table_name, r.rule, r.row_key, r.value) for r in d03_foreign_keys(cat).collect()}
     assert got == {
         ("application", "FOREIGN KEY citizen_id -> citizen", "900000001", str(10 ** 9)),
-        ("application", "FOREIGN KEY scheme_id -> scheme", "900000002", "77"),
+        ("application", "FOREIGN KEY scheme_id -> scheme", "900000002", str(10 ** 7)),
         ("application", "FOREIGN KEY officer_id -> officer", "900000002", str(10 ** 6)),
         ("disbursement", "FOREIGN KEY application_id -> application", "900000003", "123456789012"),
     }

@@ -25,7 +25,7 @@ def citizen(cid, age=30, income="40000", category="GEN", loc="RURAL", land="0",
 
 
 def scheme(sid, base="1000", mx="100000", active="Y"):
-    return (sid, f"SCHEME_{sid}", f"S-{sid}", 0, "MAJOR", D(base), None if mx is None else D(mx), active)
+    return (sid, f"SCHEME_{sid}", f"S-{sid}", 0, "MAJOR", None if base is None else D(base), None if mx is None else D(mx), active)
 
 
 def rule(sid, min_age=18, max_age=60, max_inc="200000", min_inc="0", cats="ALL", loc="ALL", gen="ALL", land="0"):
@@ -86,10 +86,11 @@ def test_benefit_bands(spark, income, age, category, loc, expected):
 
 
 def test_benefit_cap_and_null_cap(spark):
-    out = evaluate(spark, [citizen(1)], [scheme(1, base="300000", mx="250000"), scheme(2, mx=None)],
-                   [rule(1), rule(2)], [(1, 1), (1, 2)])
+    out = evaluate(spark, [citizen(1)], [scheme(1, base="300000", mx="250000"), scheme(2, mx=None), scheme(3, base=None)],
+                   [rule(1), rule(2), rule(3)], [(1, 1), (1, 2), (1, 3)])
     assert out[(1, 1)][1] == D("250000.00")
     assert out[(1, 2)][1] is None  # LEAST with a NULL cap is NULL
+    assert out[(1, 3)][1] is None  # and so it is with a NULL base
 
 
 def test_priority_demo_citizen(spark):
