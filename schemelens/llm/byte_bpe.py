@@ -19,6 +19,7 @@ import base64
 import re
 import struct
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from schemelens.llm.common import map_batches
 
 #: Distinct chunks and pre-tokens whose ids one task remembers.
-CACHE = 200_000
+CACHE = 400_000
 _UP = {b: 256 + b for b in range(256)}  # byte b is the character 256 + b
 
 
@@ -133,7 +134,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     def run(batch):
         ids = coder(path, pattern).encode([t or "" for t in batch.column(1).to_pylist()])
         ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
-        flat = np.fromiter((i for x in ids for i in x), np.int32, int(ends[-1]))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                                          names=[id_col, "ids"])
 
