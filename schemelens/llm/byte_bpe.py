@@ -18,18 +18,19 @@ from __future__ import annotations
 import base64
 import re
 import struct
+from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schemelens.llm.common import map_batches
 
 #: Distinct chunks and pre-tokens whose ids one task remembers.
-CACHE = 400_000
+CACHE = 350_000
 _UP = {b: 256 + b for b in range(256)}  # byte b is the character 256 + b
 
 
@@ -83,42 +84,46 @@ class ByteBpe:
         import regex
         import sentencepiece
         ranks = read_ranks(path)
-        self.bytes_of = sorted(ranks, key=ranks.__getitem__)
         self.ranks = ranks
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
         self.find = regex.compile(pattern).findall
-        self.chunks: dict[str, list[int]] = {}
-        self.tokens: dict[str, list[int]] = {}
+        # ids as the bytes of 32-bit numbers
+        self.chunks: dict[str, bytes] = {}
+        self.tokens: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        return [array("i", x).tolist() for x in self.encode_raw(texts)]
+
+    def encode_raw(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as the bytes of 32-bit numbers."""
         cut = [self.CUT.split(t) for t in texts]
         if len(self.chunks) > CACHE:
             self.chunks.clear()
         if len(self.tokens) > CACHE:
             self.tokens.clear()
-        self._learn({c for row in cut for c in row if c not in self.chunks})
-        out, known = [], self.chunks
-        for row in cut:
-            ids: list[int] = []
-            for c in row:
-                ids += known[c]
-            out.append(ids)
-        return out
+        known = self.chunks
+        self._learn({c for row in cut for c in row if c not in known})
+        return [b"".join([known[c] for c in row]) for row in cut]
 
     def _learn(self, chunks: set[str]) -> None:
+        known = self.tokens
         pre = {c: self.find(c) for c in chunks}
-        new = [t for t in {t for row in pre.values() for t in row} if t not in self.tokens]
+        new = [t for t in {t for row in pre.values() for t in row} if t not in known]
         raw = [t.encode("utf-8") for t in new]
         whole = [self.ranks.get(r) for r in raw]  # a pre-token that is a token stands for itself
         rest = [i for i, r in enumerate(whole) if r is None]
         parts = self.model.encode([as_piece(raw[i]) for i in rest], out_type=int, num_threads=1) if rest else []
-        self.tokens.update((t, [r]) for t, r in zip(new, whole) if r is not None)
-        self.tokens.update((new[i], ids) for i, ids in zip(rest, parts))
+        known.update((t, array("i", (r,)).tobytes()) for t, r in zip(new, whole) if r is not None)
+        known.update((new[i], array("i", ids).tobytes()) for i, ids in zip(rest, parts))
         for c, row in pre.items():
-            self.chunks[c] = self.tokens[row[0]] if len(row) == 1 else [i for t in row for i in self.tokens[t]]
+            self.chunks[c] = known[row[0]] if len(row) == 1 else b"".join([known[t] for t in row])
+
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> pa.BinaryArray:
+    """The bytes of each id."""
+    ranks = read_ranks(path)
+    return pa.array(sorted(ranks, key=ranks.__getitem__), pa.binary())
 
 
 @lru_cache(maxsize=2)
@@ -132,9 +137,9 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     id_type = rows.schema[0].dataType.simpleString()
 
     def run(batch):
-        ids = coder(path, pattern).encode([t or "" for t in batch.column(1).to_pylist()])
-        ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
+        ids = coder(path, pattern).encode_raw([t or "" for t in batch.column(1).to_pylist()])
+        ends = np.cumsum([0] + [len(x) // 4 for x in ids]).astype(np.int32)
+        flat = np.frombuffer(b"".join(ids), np.int32)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                                          names=[id_col, "ids"])
 
@@ -142,21 +147,26 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
 
 
 def decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, ids, decoded binary): the bytes that the ids stand for."""
+    """(id, ids, decoded binary): the bytes that the ids stand for.  The pattern is taken as ``encode`` takes it; the
+    bytes of an id do not depend on it."""
     rows = df.select(F.col(id_col), F.col(ids_col).alias("ids"))
     id_type = rows.schema[0].dataType.simpleString()
 
     def run(batch):
-        table = coder(path, pattern)
         col = batch.column(1)
-        raw = [table.decode(x.as_py() or ()) for x in col] if col.null_count else _decode_all(table, col)
-        yield pa.RecordBatch.from_arrays([batch.column(0), col, pa.array(raw, pa.binary())],
+        yield pa.RecordBatch.from_arrays([batch.column(0), col, _joined(token_bytes(path), col)],
                                          names=[id_col, "ids", "decoded"])
 
     return map_batches(rows, run, f"`{id_col}` {id_type}, ids array<int>, decoded binary")
 
 
-def _decode_all(table: ByteBpe, col: pa.ListArray) -> list[bytes]:
-    ends = col.offsets.to_numpy()
-    flat = col.values.to_numpy().tolist()
-    return [table.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+def _joined(token: pa.BinaryArray, col: pa.ListArray) -> pa.BinaryArray:
+    """The bytes of each list of ids; those of a missing list are empty."""
+    sizes = pc.fill_null(pc.list_value_length(col), 0).to_numpy()
+    ids = col.flatten()  # leaves out missing lists
+    if not len(ids):
+        return pa.array([b""] * len(col), pa.binary())
+    _, starts, raw = token.take(ids).buffers()
+    # the taken tokens lie side by side, so a list's bytes run from its first token to its last
+    ends = np.frombuffer(starts, np.int32)[np.concatenate(([0], np.cumsum(sizes)))]
+    return pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(ends), raw])

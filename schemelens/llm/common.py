@@ -54,7 +54,7 @@ class Scratch:
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with ``fn`` called per bounded slice of rows."""
-    text_at = [i for i, f in enumerate(df.schema.fields) if f.dataType.typeName() in ("string", "binary")]
+    text_at = [i for i, f in enumerate(df.schema.fields) if f.dataType.typeName() in ("string", "binary", "array")]
 
     def run(batches):
         for batch in batches:
@@ -65,7 +65,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
 
 
 def slices(batch: pa.RecordBatch, text_at: list[int], most: int = BLOCK_CHARS) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that the texts of a slice stay near ``most`` bytes (a longer single row stands alone)."""
+    """Cut a batch so that the texts and lists of a slice stay near ``most`` bytes (a longer single row stands alone)."""
     size = sum(batch.column(i).nbytes for i in text_at)
     if size <= most or batch.num_rows <= 1:
         if batch.num_rows:
