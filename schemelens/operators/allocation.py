@@ -116,7 +116,7 @@ def queue_order_num() -> Column:
 
 
 @register("a02_budget_prefix", oracle="""select application_id, scheme_id, cast(amount as double) as amount,
- cast(cum as double) as cum_amount, cum <= remaining as granted from (
+ cast(coalesce(cum, 0) as double) as cum_amount, amount is not null and cum <= remaining as granted from (
  select a.application_id, a.scheme_id, b.amount, p.total_budget - p.disbursed_amount as remaining,
   sum(b.amount) over (partition by a.scheme_id order by a.priority_score desc, a.apply_date, a.application_id
                       rows between unbounded preceding and current row) as cum
@@ -126,12 +126,14 @@ def queue_order_num() -> Column:
   on a.application_id = b.application_id
  where a.status in ('SUBMITTED','UNDER_REVIEW')) t""")
 def a02_budget_prefix(cat) -> DataFrame:
-    """Queue-order grants that stop at the first claim over the remaining budget."""
+    """Queue-order grants that stop at the first claim over the remaining budget.
+
+    A claim without an amount is never granted and adds nothing, as in ``a01``."""
     claims, budgets = queue_claims(cat)
     x = claims.join(budgets, "scheme_id")
     x = ordered.running_sum(x, "scheme_id", queue_order(), "amount", "_cum", order_num=queue_order_num())
     return x.select("application_id", "scheme_id", "amount", F.col("_cum").alias("cum_amount"),
-                    (F.col("_cum") <= F.col("_rem")).alias("granted"))
+                    (F.col("amount").isNotNull() & (F.col("_cum") <= F.col("_rem"))).alias("granted"))
 
 
 # Oracle: the plain sequential greedy, one claim per recursion step per scheme.

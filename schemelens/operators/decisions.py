@@ -55,7 +55,8 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
     pool = cat.dim("pool").select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem0"),
                                   F.lit(True).alias("_pool"))
     paid = cat["disbursement"].select("application_id").distinct().withColumn("_paid", F.lit(True))
-    r = (decisions.select("request_id", "application_id", "officer_id", "action", "requested_at")
+    r = (decisions.select("request_id", "application_id", "officer_id", "action", "requested_at",
+                          F.nullif(F.col("remarks"), F.lit("")).alias("_remarks"))
          .join(app, "application_id", "left").join(officers, "officer_id", "left")
          .join(paid, "application_id", "left").join(pool, "scheme_id", "left"))
     r = R.rule_inputs(r, cat, need_rules=False).withColumn("benefit", R.benefit_amount())
@@ -73,7 +74,8 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
     # columns used later) to the shared checkpoint folder instead of re-running the joins
     r = checkpoint_table(r.select(
         "request_id", "application_id", "officer_id", "action", "requested_at", "scheme_id", "init_status", "_app",
-        "_rem0", "_pool", "benefit", "_act", "_pend", "_officer_ok", "_valid_reject", "_valid_approve", "_key"))
+        "_rem0", "_pool", "benefit", "_act", "_pend", "_officer_ok", "_valid_reject", "_valid_approve", "_key",
+        "_remarks"))
 
     # first valid REJECT / APPROVE per application (partial aggregation)
     firsts = (r.filter(F.col("_valid_reject") | F.col("_valid_approve")).groupBy("application_id")
@@ -150,7 +152,8 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
         "request_id", "application_id", "officer_id", "action", "requested_at", "outcome_code", msg.alias("message"),
         F.when(ok, F.col("_term_status")).alias("new_status"),
         F.when(ok & (F.col("_act") == "APPROVE"), F.col("benefit")).alias("paid_amount"),
-        F.when(ok & (F.col("_act") == "REJECT"), F.lit(REJECT_REASON)).alias("rejection_reason"))
+        F.when(ok & (F.col("_act") == "REJECT"), F.coalesce("_remarks", F.lit(REJECT_REASON)))
+        .alias("rejection_reason"), F.col("_remarks").alias("remarks"))
 
 
 def _p04_sql() -> str:
@@ -161,7 +164,7 @@ def _p04_sql() -> str:
     ben = ("case when c.citizen_id is null or s.scheme_id is null then 0 when s.max_benefit_amount is null then null "
            "else " + R.benefit_amount_sql("c", "s") + " end")
     return """with recursive q as (
- select d.request_id, d.application_id, d.officer_id, d.action, d.requested_at, a.scheme_id, a.status as init_status,
+ select d.request_id, d.application_id, d.officer_id, d.action, d.requested_at, nullif(d.remarks, '') as remarks, a.scheme_id, a.status as init_status,
   upper(d.action) as act, (d.officer_id is null or o.officer_id is not null) as officer_ok, p.scheme_id is not null as has_pool,
   """ + ben + """ as benefit,
   exists (select 1 from disbursement fd where fd.application_id = d.application_id) as paid,
@@ -196,9 +199,9 @@ walk(scheme_id, rn, rem, done_ids, done_sts, request_id, st, code, benefit, act,
                    then list_extract(w.done_sts, list_position(w.done_ids, q.application_id)) else q.init_status end as st) t) z),
 res as (
  select q.request_id, q.application_id, q.officer_id, q.action, q.requested_at, w.code as outcome_code, w.st, w.benefit,
-  w.act, w.rem_before from walk w join q on w.request_id = q.request_id
+  w.act, w.rem_before, q.remarks from walk w join q on w.request_id = q.request_id
  union all
- select d.request_id, d.application_id, d.officer_id, d.action, d.requested_at, -1403, null, null, upper(d.action), null
+ select d.request_id, d.application_id, d.officer_id, d.action, d.requested_at, -1403, null, null, upper(d.action), null, nullif(d.remarks, '')
  from decision_request d where not exists (select 1 from application a where a.application_id = d.application_id))
 select request_id, application_id, officer_id, action, requested_at, outcome_code,
  case outcome_code when 0 then case when act = 'APPROVE' then concat('Approved. Disbursed Rs.', """ + oracle_num_sql("benefit") + """)
@@ -211,7 +214,7 @@ select request_id, application_id, officer_id, action, requested_at, outcome_cod
   else 'unique constraint violated: application_id' end as message,
  case when outcome_code = 0 then case when act = 'APPROVE' then 'DISBURSED' else 'REJECTED' end end as new_status,
  case when outcome_code = 0 and act = 'APPROVE' then cast(benefit as double) end as paid_amount,
- case when outcome_code = 0 and act = 'REJECT' then '""" + REJECT_REASON + """' end as rejection_reason
+ case when outcome_code = 0 and act = 'REJECT' then coalesce(remarks, '""" + REJECT_REASON + """') end as rejection_reason, remarks
 from res"""
 
 
@@ -237,8 +240,15 @@ def decision_effects(outcomes: DataFrame, cat) -> dict[str, DataFrame]:
                         F.concat(F.lit("TXN"), F.date_format("requested_at", "yyyyMMdd"),
                                  padded_id("application_id")).alias("transaction_ref"),
                         "bank_account", F.lit("PROCESSED").alias("status")))
-    updates = done.select("application_id", F.col("new_status").alias("status"), "officer_id",
-                          F.col("requested_at").alias("approval_date"), "rejection_reason")
+    # an approval keeps the stored rejection reason, a rejection the stored remarks
+    stored = cat["application"].select("application_id", F.col("remarks").alias("_remarks"),
+                                       F.col("rejection_reason").alias("_reason"))
+    approved = F.col("new_status") == "DISBURSED"
+    updates = done.join(stored, "application_id").select(
+        "application_id", F.col("new_status").alias("status"), "officer_id",
+        F.col("requested_at").alias("approval_date"),
+        F.when(approved, F.col("_reason")).otherwise(F.col("rejection_reason")).alias("rejection_reason"),
+        F.when(approved, F.coalesce("remarks", "_remarks")).otherwise(F.col("_remarks")).alias("remarks"))
     audit = (done.join(app, "application_id")
              .select(F.col("request_id").alias("audit_id"), "application_id", "old_status",
                      F.col("new_status"), F.lit(CHANGED_BY).alias("changed_by"),
@@ -247,13 +257,45 @@ def decision_effects(outcomes: DataFrame, cat) -> dict[str, DataFrame]:
     return {"payments": payments, "updates": updates, "audit": audit, "pools": pools}
 
 
-@register("p04b_decision_payments", oracle=None)
+def _payments_sql() -> str:
+    """Oracle: payments of the replayed decisions, amounts as decimals."""
+    return f"""(select r.application_id as disbursement_id, r.application_id, a.scheme_id,
+ cast(r.paid_amount as decimal(12,2)) as amount, r.requested_at as disbursement_date, 'DBT' as payment_mode,
+ 'TXN' || strftime(r.requested_at, '%Y%m%d') || lpad(cast(r.application_id as varchar), cast(greatest(length(cast(r.application_id as varchar)), 8) as int), '0') as transaction_ref,
+ c.bank_account, 'PROCESSED' as status
+ from ({_p04_sql()}) r join application a on r.application_id = a.application_id join citizen c on a.citizen_id = c.citizen_id
+ where r.outcome_code = 0 and r.new_status = 'DISBURSED')"""
+
+
+@register("p04b_decision_payments", oracle=f"""select disbursement_id, application_id, scheme_id, cast(amount as double) as amount,
+ disbursement_date, payment_mode, transaction_ref, bank_account, status from {_payments_sql()} t""")
 def p04b_decision_payments(cat) -> DataFrame:
     """Payment rows written by the granted approvals of the decision batch."""
     return decision_effects(p04_decide_batch(cat), cat)["payments"]
 
 
-@register("p04c_pools_after_decisions", oracle=None)
+@register("p04c_pools_after_decisions", oracle=f"""select p.scheme_id, cast(p.total_budget as double) as total_budget,
+ cast(p.disbursed_amount as double) as opening_disbursed, cast(coalesce(x.n, 0) as bigint) as payments,
+ cast(coalesce(x.amt, 0) as double) as added_amount, cast(p.disbursed_amount + coalesce(x.amt, 0) as double) as closing_disbursed
+from pool p left join (select scheme_id, sum(amount) as amt, count(*) as n from {_payments_sql()} t group by scheme_id) x
+ on p.scheme_id = x.scheme_id""")
 def p04c_pools_after_decisions(cat) -> DataFrame:
     """Pool balances after the decision batch's payments fire the ledger trigger."""
     return decision_effects(p04_decide_batch(cat), cat)["pools"]
+
+
+@register("p04d_application_updates", oracle=f"""select r.application_id, r.new_status as status, r.officer_id, r.requested_at as approval_date,
+ case when r.new_status = 'REJECTED' then r.rejection_reason else a.rejection_reason end as rejection_reason,
+ case when r.new_status = 'DISBURSED' then coalesce(r.remarks, a.remarks) else a.remarks end as remarks
+from ({_p04_sql()}) r join application a on r.application_id = a.application_id where r.outcome_code = 0""")
+def p04d_application_updates(cat) -> DataFrame:
+    """Application rows as the successful decisions leave them."""
+    return decision_effects(p04_decide_batch(cat), cat)["updates"]
+
+
+@register("p04e_decision_audit", oracle=f"""select r.request_id as audit_id, r.application_id, a.status as old_status, r.new_status,
+ 'APP_USER' as changed_by, r.requested_at as change_date
+from ({_p04_sql()}) r join application a on r.application_id = a.application_id where r.outcome_code = 0""")
+def p04e_decision_audit(cat) -> DataFrame:
+    """Audit rows that the status trigger writes for the successful decisions."""
+    return decision_effects(p04_decide_batch(cat), cat)["audit"]

@@ -54,3 +54,11 @@ where a.status in ('APPROVED','DISBURSED')
 def b01_payment_run(cat) -> DataFrame:
     """New payment rows for approved applications without a payment."""
     return payment_run(cat)[0]
+
+
+@register("b01b_payment_rejects", oracle=f"""select disbursement_id, application_id, scheme_id, cast(amount as double) as amount,
+ disbursement_date, payment_mode, transaction_ref, bank_account, status from ({PAYMENT_RUN_SQL}) t
+where amount is null or amount <= 0""")
+def b01b_payment_rejects(cat) -> DataFrame:
+    """Rows of the payment run whose amount is missing or not positive."""
+    return payment_run(cat)[1]

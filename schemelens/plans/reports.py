@@ -110,7 +110,7 @@ def q06_pending_documents(cat) -> DataFrame:
     return (cat["citizen_document"].filter(F.col("status") == "PENDING")
             .join(_citizens(cat, "full_name", "aadhaar_number"), "citizen_id")
             .select("doc_id", "full_name", "aadhaar_number", "doc_type", "upload_date", "status")
-            .orderBy(A("upload_date")))
+            .orderBy(A("upload_date"), A("doc_id")))
 
 
 @register("q07_rule_listing", oracle="""
@@ -148,7 +148,7 @@ def q09_unapplied_eligible(cat, scheme_id: int = Q09_SCHEME_ID, cap: int = Q09_I
     return (cat["citizen"].filter((F.col("annual_income") < cap) & (F.col("is_verified") == "Y"))
             .join(applied, "citizen_id", "left_anti")
             .select("citizen_id", "full_name", "state", "category", "annual_income")
-            .orderBy(A("annual_income")))
+            .orderBy(A("annual_income"), A("citizen_id")))
 
 
 @register("q10_officer_queue", oracle=f"""
@@ -191,7 +191,7 @@ def q12_multi_applicants(cat) -> DataFrame:
               .filter(F.col("total_applications") > 1))
     return (counts.join(_citizens(cat, "full_name", "category", "annual_income"), "citizen_id")
             .select("citizen_id", "full_name", "category", "annual_income", "total_applications")
-            .orderBy(D("total_applications")))
+            .orderBy(D("total_applications"), A("citizen_id")))
 
 
 @register("q13_recent_disbursements", oracle=f"""
@@ -224,7 +224,7 @@ def q14_rejections(cat) -> DataFrame:
             .join(_schemes(cat, "scheme_name"), "scheme_id")
             .select("application_id", "full_name", "aadhaar_number", "scheme_name", "rejection_reason",
                     "approval_date")
-            .orderBy(D("approval_date")))
+            .orderBy(D("approval_date"), A("application_id")))
 
 
 # -------------------------------------------------------------- Q15 - Q21
@@ -389,7 +389,7 @@ def q22_below_state_avg_unapplied(cat) -> DataFrame:
             .filter(F.col("annual_income") * F.col("_n") < F.col("_s"))
             .join(applied, "citizen_id", "left_anti")
             .select("citizen_id", "full_name", "state", "annual_income", "category")
-            .orderBy(A("annual_income")))
+            .orderBy(A("annual_income"), A("citizen_id")))
 
 
 @register("q23_income_anomaly", oracle=f"""
@@ -455,7 +455,7 @@ def q26_unverified_pending(cat) -> DataFrame:
                                                                    "is_verified")
     return (cat["application"].filter(F.col("status").isin(*PENDING)).join(c, "citizen_id")
             .join(_schemes(cat, "scheme_name"), "scheme_id")
-            .orderBy(A("apply_date"))
+            .orderBy(A("apply_date"), A("application_id"))
             .select("citizen_id", "full_name", "aadhaar_number", "is_verified", "application_id", "scheme_name",
                     "status"))
 
@@ -472,7 +472,7 @@ def q27_unassigned(cat, as_of=None) -> DataFrame:
             .join(_citizens(cat, "full_name"), "citizen_id").join(_schemes(cat, "scheme_name"), "scheme_id")
             .select("application_id", "full_name", "scheme_name", "status", "apply_date",
                     trunc_days("apply_date", now).alias("days_unassigned"))
-            .orderBy(D("days_unassigned")))
+            .orderBy(D("days_unassigned"), A("application_id")))
 
 
 def _audit(cat) -> DataFrame:

@@ -26,7 +26,7 @@ select r_regionkey as department_id, concat('DEPT_', r_name) as department_name
 select p_partkey as scheme_id, concat('SCHEME_', lpad(cast(p_partkey as string),cast(greatest(length(cast(p_partkey as string)),2) as int),'0')) as scheme_name, concat('S-', cast(p_partkey as string)) as scheme_code,
  p_partkey % 5 as department_id, case when p_partkey % 2 = 0 then 'MAJOR' else 'MINOR' end as scheme_type,
  cast(900 * (1 + (p_partkey*7) % 20) as decimal(12,2)) as base_benefit_amount,
- cast(900 * (1 + (p_partkey*7) % 20) + 45 * (1 + (p_partkey*7) % 20) * (1 + p_partkey % 6) as decimal(12,2)) as max_benefit_amount,
+ cast(case when p_partkey = 18 then null else 900 * (1 + (p_partkey*7) % 20) + 45 * (1 + (p_partkey*7) % 20) * (1 + p_partkey % 6) end as decimal(12,2)) as max_benefit_amount,
  case when p_partkey = 13 then 'N' else 'Y' end as is_active from {part}
 """,
     "rules": """
@@ -95,7 +95,8 @@ select event_id as request_id, (event_id*11) % ((select count(*) from {customer}
 """,
     "decision_request": """
 select event_id as request_id, (event_id*13) % cast(floor((select count(*) from {orders}) / 4) as bigint) as application_id, event_id % ((select count(*) from {supplier}) + 1) as officer_id,
- case event_type when 'error' then 'reject' when 'signup' then 'HOLD' else 'Approve' end as action, ts as requested_at from {events}
+ case event_type when 'error' then 'reject' when 'signup' then 'HOLD' else 'Approve' end as action, ts as requested_at,
+ case event_id % 3 when 0 then null when 1 then '' else concat('Note ', cast(event_id as string)) end as remarks from {events}
 """,
     "citizen_dirty": """
 select citizen_id, case when citizen_id % 50 = 49 then substr(aadhaar_number,1,11) when citizen_id % 60 = 59 then '700000000000' else aadhaar_number end as aadhaar_number,

@@ -30,7 +30,7 @@ SCHEMAS = {
     "application_request": ("request_id bigint, citizen_id bigint, scheme_id bigint, remarks string, "
                             "requested_at timestamp_ntz"),
     "decision_request": ("request_id bigint, application_id bigint, officer_id bigint, action string, "
-                         "requested_at timestamp_ntz"),
+                         "requested_at timestamp_ntz, remarks string"),
     "citizen_dirty": ("citizen_id bigint, aadhaar_number string, gender string, age int, "
                       "annual_income decimal(12,2), category string, state string, full_name string, "
                       "location_type string, land_holding_acres decimal(6,2), occupation string, bank_account string, "

@@ -45,7 +45,7 @@ def test_demo_flow(spark, cat001):
 
     # step 4: an officer approves it
     t1 = t0 + dt.timedelta(hours=2)
-    dec = spark.createDataFrame([(2, app_id, 3, "APPROVE", t1)], SCHEMAS["decision_request"])
+    dec = spark.createDataFrame([(2, app_id, 3, "APPROVE", t1, None)], SCHEMAS["decision_request"])
     res = decide_batch(dec, cat)
     r = res.first()
     # benefit: 900 * 0.88 (income <= 150000) * 1.10 (OBC) * 1.08 (rural) = 940.896 -> 940.90 (cap 945)
