@@ -124,11 +124,16 @@ def ntz_micros(x) -> Column:
 
 
 def checkpoint_table(df):
-    """Cut lineage: reliable checkpoint into the session's shared checkpoint
-    folder (``spark.checkpoint.dir``).  Never a machine-local checkpoint."""
+    """Cut lineage: write ``df`` once as Parquet under the session's shared
+    checkpoint folder (``spark.checkpoint.dir``) and read it back, so that later
+    branches prune columns and a lost executor recomputes nothing of it."""
+    import uuid
+
     from schemelens.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def time_id_key(time_col, id_col) -> Column:

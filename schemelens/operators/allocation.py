@@ -33,39 +33,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
-from schemelens.functions.semantics import checkpoint_table, ntz_micros
+from schemelens.functions.semantics import checkpoint_table
 from schemelens.operators import ordered
 from schemelens.plans.views import PENDING
 from schemelens.registry import register
+from schemelens.sources.catalog import BROADCAST_MAX_ROWS
 
 
 def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amount: str,
-             order: Sequence[Column], order_num: Column, catalog=None, hot="auto") -> DataFrame:
+             order: Sequence[Column], catalog=None) -> DataFrame:
     """Greedy skip-if-it-does-not-fit allocation per ``key``.
 
     claims  : id_col, key, amount, and the columns used by ``order``
     budgets : key, _rem (budget available before the first claim)
     order   : ascending column expressions defining the queue (must be unique)
-    hot     : optional precomputed ``ordered.hot_keys`` table for ``key``
     Returns (id_col, key, amount, granted boolean, alloc_round int).
     """
     order = list(order)
     ok = struct_of(order)
     # the per-round "first overflow" table has at most one row per budget key:
     # its size bound is the budget table's row count, checked once here
-    n_keys = budgets.count()
-    small_first = catalog is None or n_keys <= getattr(catalog, "broadcast_max_rows", 200_000)
+    small_first = budgets.count() <= getattr(catalog, "broadcast_max_rows", BROADCAST_MAX_ROWS)
     base = claims.withColumn("_ok", ok).join(F.broadcast(budgets) if small_first else budgets, key)
     unfundable = base.filter(F.col(amount).isNull()).select(
         id_col, key, amount, F.lit(False).alias("granted"), F.lit(0).alias("alloc_round"))
-    residue = base.filter(F.col(amount).isNotNull())
-    if isinstance(hot, str):
-        hot = ordered.hot_keys(residue, key, order_num)
+    # dealt out once; the claims of later rounds are subsets and stay in their pieces
+    residue = ordered.in_pieces(base.filter(F.col(amount).isNotNull()), key, order)
     decided: list[DataFrame] = [unfundable]
     rnd, left = 0, None
     while True:
         rnd += 1
-        x = ordered.running_sum(residue, key, order, amount, "_cum", order_num=order_num, hot=hot)
+        x = ordered.running_sum(residue, key, order, amount, "_cum")
         first = (x.filter(F.col("_cum") > F.col("_rem")).groupBy(key)
                  .agg(F.min(F.struct(F.col("_ok").alias("o"), F.col("_cum").alias("c"), F.col(amount).alias("a"),
                                      F.col("_rem").alias("r"))).alias("_f"))
@@ -109,12 +107,6 @@ def queue_order() -> list[Column]:
     return [-F.col("priority_score"), F.col("apply_date"), F.col("application_id")]
 
 
-def queue_order_num() -> Column:
-    # monotone in queue_order(): priority (desc) dominates, then apply time
-    return (F.lit(1000) - F.col("priority_score")).cast("double") * F.lit(1e11) + \
-        (ntz_micros("apply_date") / F.lit(1e6))
-
-
 @register("a02_budget_prefix", oracle="""select application_id, scheme_id, cast(amount as double) as amount,
  cast(coalesce(cum, 0) as double) as cum_amount, amount is not null and cum <= remaining as granted from (
  select a.application_id, a.scheme_id, b.amount, p.total_budget - p.disbursed_amount as remaining,
@@ -131,7 +123,7 @@ def a02_budget_prefix(cat) -> DataFrame:
     A claim without an amount is never granted and adds nothing, as in ``a01``."""
     claims, budgets = queue_claims(cat)
     x = claims.join(budgets, "scheme_id")
-    x = ordered.running_sum(x, "scheme_id", queue_order(), "amount", "_cum", order_num=queue_order_num())
+    x = ordered.running_sum(x, "scheme_id", queue_order(), "amount", "_cum")
     return x.select("application_id", "scheme_id", "amount", F.col("_cum").alias("cum_amount"),
                     (F.col("amount").isNotNull() & (F.col("_cum") <= F.col("_rem"))).alias("granted"))
 
@@ -159,5 +151,5 @@ select application_id, scheme_id, cast(amount as double) as amount, granted from
 def a01_budget_allocation(cat) -> DataFrame:
     """Queue-order grants where a claim that does not fit is skipped (exact greedy)."""
     claims, budgets = queue_claims(cat)
-    return allocate(claims, budgets, "scheme_id", "application_id", "amount", queue_order(), queue_order_num(),
+    return allocate(claims, budgets, "scheme_id", "application_id", "amount", queue_order(),
                     catalog=cat).drop("alloc_round")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import cat as ocat
-from schemelens.functions.semantics import checkpoint_table, ntz_micros, oracle_num, padded_id, time_id_key
+from schemelens.functions.semantics import checkpoint_table, oracle_num, padded_id, time_id_key
 from schemelens.operators import ordered
 from schemelens.operators.allocation import allocate
 from schemelens.plans.views import PENDING
@@ -86,10 +86,7 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
                       & (F.col("_tR").isNull() | (F.col("_tA") < F.col("_tR"))))
               .select("request_id", "application_id", "scheme_id", "requested_at", F.col("benefit").alias("amount")))
     budgets = cat.dim("pool").select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem"))
-    # one hot-scheme table (sampled on all requests) serves both per-scheme orderings
-    hot = ordered.hot_keys(r.filter(F.col("scheme_id").isNotNull()), "scheme_id", ntz_micros("requested_at"))
-    alloc = allocate(claims, budgets, "scheme_id", "request_id", "amount", _ord(), ntz_micros("requested_at"),
-                     catalog=cat, hot=hot)
+    alloc = allocate(claims, budgets, "scheme_id", "request_id", "amount", _ord(), catalog=cat)
     grants = alloc.filter("granted").select("request_id", F.lit(True).alias("_granted"))
 
     # terminal request per application
@@ -118,8 +115,7 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
     queries = r.filter(reach6).select("scheme_id", "requested_at", "request_id",
                                       F.lit(0).cast(granted_rows.schema["_v"].dataType).alias("_v"),
                                       F.lit(True).alias("_q"))
-    spent = ordered.running_sum(granted_rows.unionByName(queries), "scheme_id", _ord(), "_v", "_spent",
-                                order_num=ntz_micros("requested_at"), hot=hot)
+    spent = ordered.running_sum(granted_rows.unionByName(queries), "scheme_id", _ord(), "_v", "_spent")
     spent = spent.filter("_q").select("request_id", "_spent")
     r = r.join(spent, "request_id", "left").withColumn("_rem_at", F.col("_rem0") - F.col("_spent"))
 

@@ -2,129 +2,91 @@
 
 ``Window.partitionBy(key)`` puts every row of a key into one task.  When one
 key holds a large share of the rows (a scheme with a third of all claims, one
-busy application) that task becomes the whole job.  These helpers split hot
-keys into ordered pieces and stitch the pieces back together exactly:
-
-1. Hot keys are found on a sample (``sample -> groupBy(key).count``); their
-   number is bounded by ``sample rows / threshold``, so the small table of hot
-   keys (count, min and max of the order value) is collected and broadcast.
-2. Every row of a hot key gets a piece number, a monotone bucket of its
-   numeric order value; pieces are therefore contiguous in the key's order.
-   Other keys form a single piece.
-3. An ordinary window over ``(key, piece)`` computes the local result; each
-   piece holds a bounded number of rows.
-4. Per-piece totals / last values of hot keys only (bounded by the number of
-   pieces) give each piece its carry-in through a window over the tiny
-   piece table, broadcast back to the rows.
-
-The split only affects speed: results are exact whatever the sample says,
-because the carry-in step accounts for every piece boundary.  All steps are
-deterministic, so lost executors recompute identical values.
+busy application) that task becomes the whole job.  These helpers cut the
+table into ordered pieces and stitch the pieces together exactly:
+
+1. ``repartitionByRange(key, *order)`` deals the rows out by quantiles of the
+   whole (key, order) tuple, so a piece is one partition whatever the values
+   look like: bursts, many ties in the first order column, one key with all
+   rows.  The order is unique per key, hence no tie is too large for a piece.
+   The rows are written once with their piece number to the shared folder:
+   the passes below read the same pieces, also after a lost executor.
+2. An ordinary window over ``(key, piece)`` computes the local result.
+3. Totals / last values per (key, piece) give each piece its carry-in.  Only
+   a key that goes on over a boundary between two partitions has one, so the
+   carry-in table has fewer rows than there are partitions: that bound is
+   what allows its broadcast.  Nothing is collected.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from schemelens.functions.semantics import checkpoint_table
+
 PIECE = "_piece"
-TARGET_ROWS = 2_000_000       # rows per piece aimed at
-SAMPLE_FRACTION = 0.01
+PIECES: int | None = None  # number of pieces; None: spark.sql.shuffle.partitions, small ones put together by AQE
 
 
 def _ordcols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def hot_keys(df: DataFrame, key: str, order_num: Column, target_rows: int | None = None,
-             fraction: float | None = None, seed: int = 17) -> DataFrame | None:
-    """Small table (key, _lo, _width, _nb) of keys estimated to exceed target_rows
-    (defaults: the module's TARGET_ROWS / SAMPLE_FRACTION, read at call time)."""
-    target_rows = TARGET_ROWS if target_rows is None else target_rows
-    fraction = SAMPLE_FRACTION if fraction is None else fraction
-    s = df.select(F.col(key), order_num.cast("double").alias("_o")).sample(False, fraction, seed)
-    stats = (s.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"))
-             .filter(F.col("_n") / F.lit(fraction) > target_rows))
-    rows = stats.collect()  # bounded: at most sample_rows / (target_rows * fraction)
-    if not rows:
-        return None
-    out = []
-    for r in rows:
-        nb = math.ceil(r["_n"] / fraction / target_rows)
-        span = (r["_hi"] - r["_lo"]) if r["_hi"] is not None else 0.0
-        width = span / nb if span > 0 and nb > 1 else 0.0
-        out.append((r[key], float(r["_lo"] or 0.0), float(width), nb if width > 0 else 1))
-    key_type = df.schema[key].dataType.simpleString()
-    return df.sparkSession.createDataFrame(out, f"{key} {key_type}, _lo double, _width double, _nb int")
-
-
-def with_pieces(df: DataFrame, key: str, order_num: Column, hot: DataFrame | None) -> DataFrame:
-    if hot is None:
-        return df.withColumn(PIECE, F.lit(0))
-    o = order_num.cast("double")
-    # clamp in double before the cast: values outside the sampled [lo, hi] range
-    # (the sample need not contain the extremes) go to the first / last piece
-    b = F.floor((o - F.col("_lo")) / F.col("_width"))
-    b = F.least(F.greatest(b, F.lit(0.0)), (F.col("_nb") - 1).cast("double"))
-    piece = F.when(F.col("_width").isNull() | (F.col("_width") <= 0), F.lit(0)).when(b.isNull() | o.isNull(), F.col("_nb") - 1).otherwise(b.cast("int"))
-    return df.join(F.broadcast(hot), key, "left").withColumn(PIECE, piece).drop("_lo", "_width", "_nb")
-
-
-def running_sum(df: DataFrame, key: str, order: Sequence, value: str | Column, out: str,
-                order_num: Column | None = None, inclusive: bool = True,
-                target_rows: int | None = None, fraction: float | None = None,
-                hot: DataFrame | None | str = "auto") -> DataFrame:
+def in_pieces(df: DataFrame, key: str, order: Sequence, pieces: int | None = None) -> DataFrame:
+    """``df`` with its piece number, written once; pieces follow one another in (key, order)."""
+    n = PIECES if pieces is None else pieces
+    by = [F.col(key), *_ordcols(order)]
+    dealt = df.repartitionByRange(n, *by) if n else df.repartitionByRange(*by)
+    return checkpoint_table(dealt.withColumn(PIECE, F.spark_partition_id()))
+
+
+def _with_carry(local: DataFrame, carry: DataFrame, key: str, *cols: str) -> DataFrame:
+    """Attach the carry-in of a row's piece (fewer rows than partitions, see above); a NULL key is a key too."""
+    carry = carry.select(F.col(key).alias("_ck"), F.col(PIECE).alias("_cp"), *cols)
+    same = F.col(key).eqNullSafe(F.col("_ck")) & (F.col(PIECE) == F.col("_cp"))
+    return local.join(F.broadcast(carry), same, "left").drop("_ck", "_cp")
+
+
+def running_sum(df: DataFrame, key: str, order: Sequence, value: str | Column, out: str, inclusive: bool = True,
+                pieces: int | None = None) -> DataFrame:
     """Per-key cumulative sum of ``value`` in ``order`` (the order columns must
-    break ties).  ``order_num`` is a numeric column non-decreasing in
-    ``order`` (default: the first order column).  ``inclusive=False`` sums the
-    strictly earlier rows only.  ``hot`` may be a table from ``hot_keys``
-    computed once and reused (iterative callers)."""
+    break ties).  ``inclusive=False`` sums the strictly earlier rows only.
+    A frame from ``in_pieces`` (or a subset of its rows) keeps its pieces and
+    its piece column (iterative callers)."""
     order = list(order)
-    onum = order_num if order_num is not None else _ordcols(order)[0]
+    given = PIECE in df.columns
     v = F.col(value) if isinstance(value, str) else value
     base = df.withColumn("_v", v)
-    if isinstance(hot, str):
-        hot = hot_keys(base, key, onum, target_rows, fraction)
-    p = with_pieces(base, key, onum, hot)
-    hi = 0 if inclusive else -1
-    w = Window.partitionBy(key, PIECE).orderBy(*_ordcols(order)).rowsBetween(Window.unboundedPreceding, hi)
+    p = base if given else in_pieces(base, key, order, pieces)
     zero = F.lit(0).cast(base.schema["_v"].dataType)
+    w = (Window.partitionBy(key, PIECE).orderBy(*_ordcols(order))
+         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1))
     local = p.withColumn("_local", F.coalesce(F.sum("_v").over(w), zero))
-    if hot is None:
-        return local.withColumn(out, F.col("_local")).drop("_v", "_local", PIECE)
-    tot = (p.join(F.broadcast(hot.select(key)), key, "left_semi").groupBy(key, PIECE)
-           .agg(F.sum("_v").alias("_tot")))
+    totals = p.groupBy(key, PIECE).agg(F.sum("_v").alias("_tot"), F.count(F.lit(1)).alias("_n"))
     wk = Window.partitionBy(key).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_off", F.sum("_tot").over(wk)).select(key, PIECE, "_off")
-    res = local.join(F.broadcast(offs), [key, PIECE], "left")
-    return res.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), zero)).drop(
-        "_v", "_local", "_off", PIECE)
+    carry = (totals.withColumn("_off", F.sum("_tot").over(wk)).withColumn("_before", F.sum("_n").over(wk))
+             .filter(F.col("_before").isNotNull()))
+    res = _with_carry(local, carry, key, "_off")
+    res = res.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), zero)).drop("_v", "_local", "_off")
+    return res if given else res.drop(PIECE)
 
 
 def lag(df: DataFrame, key: str, order: Sequence, col: str, out: str, default=None,
-        order_num: Column | None = None, target_rows: int | None = None,
-        fraction: float | None = None) -> DataFrame:
+        pieces: int | None = None) -> DataFrame:
     """Per-key previous value of ``col`` in ``order``; ``default`` on a key's
     first row (only when there is no predecessor at all)."""
     order = list(order)
-    onum = order_num if order_num is not None else _ordcols(order)[0]
-    hot = hot_keys(df, key, onum, target_rows, fraction)
-    p = with_pieces(df, key, onum, hot)
+    p = in_pieces(df, key, order, pieces)
     w = Window.partitionBy(key, PIECE).orderBy(*_ordcols(order))
     dflt = default if isinstance(default, Column) else F.lit(default)
     local = p.withColumn("_lag", F.lag(col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    if hot is None:
-        return local.withColumn(out, F.when(F.col("_first"), dflt).otherwise(F.col("_lag"))).drop(
-            "_lag", "_first", PIECE)
-    last = (p.join(F.broadcast(hot.select(key)), key, "left_semi").groupBy(key, PIECE)
-            .agg(F.max_by(F.col(col), F.struct(*_ordcols(order))).alias("_last")))
+    last = p.groupBy(key, PIECE).agg(F.max_by(F.struct(F.col(col).alias("x")), F.struct(*_ordcols(order))).alias("_last"))
     wk = Window.partitionBy(key).orderBy(PIECE)
-    prev = (last.withColumn("_prev", F.lag("_last").over(wk))
-            .withColumn("_has_prev", F.lag(F.lit(True)).over(wk)).select(key, PIECE, "_prev", "_has_prev"))
-    res = local.join(F.broadcast(prev), [key, PIECE], "left")
-    value = (F.when(~F.col("_first"), F.col("_lag")).when(F.col("_has_prev").isNotNull(), F.col("_prev"))
+    carry = last.withColumn("_prev", F.lag("_last").over(wk)).filter(F.col("_prev").isNotNull())
+    res = _with_carry(local, carry, key, "_prev")
+    value = (F.when(~F.col("_first"), F.col("_lag")).when(F.col("_prev").isNotNull(), F.col("_prev.x"))
              .otherwise(dflt))
-    return res.withColumn(out, value).drop("_lag", "_first", "_prev", "_has_prev", PIECE)
+    return res.withColumn(out, value).drop("_lag", "_first", "_prev", PIECE)

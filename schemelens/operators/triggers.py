@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemelens.functions.semantics import ntz_micros, time_id_key
+from schemelens.functions.semantics import time_id_key
 from schemelens.operators import ordered
 from schemelens.registry import register
 
@@ -29,7 +29,7 @@ def audit_trail(status_event: DataFrame, application: DataFrame, changed_by: str
     """
     ev = status_event.join(application.select("application_id", F.col("status").alias("_stored")), "application_id")
     ev = ordered.lag(ev, "application_id", ["change_date", "event_id"], "new_status", "old_status",
-                     default=F.col("_stored"), order_num=ntz_micros("change_date"))
+                     default=F.col("_stored"))
     return ev.select(F.col("event_id").alias("audit_id"), "application_id", "old_status", "new_status",
                      F.lit(changed_by).alias("changed_by"), "change_date")
 
@@ -95,8 +95,7 @@ def running_balance(pool: DataFrame, payments: DataFrame) -> DataFrame:
     """
     p = payments.select("disbursement_id", "application_id", "scheme_id", "amount", "disbursement_date")
     p = p.join(pool.select("scheme_id", "total_budget", "disbursed_amount"), "scheme_id")
-    p = ordered.running_sum(p, "scheme_id", [F.col("disbursement_date").asc_nulls_last(), "disbursement_id"], "amount", "_cum",
-                            order_num=ntz_micros("disbursement_date"))
+    p = ordered.running_sum(p, "scheme_id", [F.col("disbursement_date").asc_nulls_last(), "disbursement_id"], "amount", "_cum")
     bal = (F.col("disbursed_amount") + F.col("_cum")).cast("decimal(25,2)")
     return p.select("disbursement_id", "application_id", "scheme_id", "amount", "disbursement_date",
                     bal.alias("running_disbursed"),
@@ -168,8 +167,7 @@ def _merged_guard_events(status_event: DataFrame, requests: DataFrame, cat) -> t
     active count) and insert requests, on one per-pair time line."""
     app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("_stored"))
     st = status_event.join(app, "application_id")
-    st = ordered.lag(st, "application_id", ["change_date", "event_id"], "new_status", "_old",
-                     order_num=ntz_micros("change_date"))
+    st = ordered.lag(st, "application_id", ["change_date", "event_id"], "new_status", "_old")
     old = F.coalesce(F.col("_old"), F.col("_stored"))
 
     def act(c):
@@ -197,8 +195,7 @@ def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) ->
     from schemelens.operators.intake import first_per_pair
     u, base = _merged_guard_events(status_event, requests, cat)
     u = u.withColumn("_pair", F.concat(*(F.concat(F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(":")) for c in ("citizen_id", "scheme_id"))))
-    u = ordered.running_sum(u, "_pair", ["t", "kind", "event_id"], "delta", "_seen", inclusive=False,
-                            order_num=ntz_micros("t"))
+    u = ordered.running_sum(u, "_pair", ["t", "kind", "event_id"], "delta", "_seen", inclusive=False)
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
     sc = cat.dim("scheme").select("scheme_id", "scheme_name")
     r = (u.filter(F.col("kind") == 1).join(base, ["citizen_id", "scheme_id"], "left")

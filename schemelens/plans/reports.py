@@ -66,7 +66,7 @@ def q02_state_citizens(cat, state: str = Q02_STATE) -> DataFrame:
     """Citizens of one state by income (filter pushed to the scan)."""
     return (cat["citizen"].filter(F.col("state") == state)
             .select("full_name", "state", "category", "annual_income", "location_type", "occupation")
-            .orderBy(A("annual_income")))
+            .orderBy(A("annual_income"), A("citizen_id")))
 
 
 @register("q03_application_detail", oracle="""
@@ -78,7 +78,7 @@ def q03_application_detail(cat) -> DataFrame:
             .join(_schemes(cat, "scheme_name"), "scheme_id")
             .select("application_id", "full_name", "aadhaar_number", "scheme_name", "status", "apply_date",
                     "priority_score")
-            .orderBy(D("apply_date")))
+            .orderBy(D("apply_date"), A("application_id")))
 
 
 @register("q04_officer_directory", oracle="""
@@ -87,7 +87,7 @@ from officer o join department d on o.department_id = d.department_id""")
 def q04_officer_directory(cat) -> DataFrame:
     """Officers with department and assignment (NULL state sorts last)."""
     return (cat.dim("officer").join(cat.dim("department"), "department_id")
-            .select("officer_name", "department_name", "assigned_state").orderBy(A("assigned_state")))
+            .select("officer_name", "department_name", "assigned_state").orderBy(A("assigned_state"), A("officer_id")))
 
 
 @register("q05_active_budget_balance", oracle="""
@@ -164,7 +164,7 @@ def q10_officer_queue(cat, as_of=None) -> DataFrame:
             .join(_schemes(cat, "scheme_name"), "scheme_id")
             .select("application_id", "full_name", "category", "annual_income", "scheme_name", "priority_score",
                     "apply_date", trunc_days("apply_date", now).alias("days_waiting"))
-            .orderBy(D("priority_score"), A("apply_date")))
+            .orderBy(D("priority_score"), A("apply_date"), A("application_id")))
 
 
 @register("q11_popular_schemes", oracle=f"""
@@ -210,7 +210,7 @@ def q13_recent_disbursements(cat, as_of=None, days: int = Q13_DAYS) -> DataFrame
             .join(_schemes(cat, "scheme_name"), "scheme_id")
             .select("disbursement_id", "full_name", "scheme_name", "amount", "disbursement_date", "payment_mode",
                     "transaction_ref")
-            .orderBy(D("disbursement_date")))
+            .orderBy(D("disbursement_date"), A("disbursement_id")))
 
 
 @register("q14_rejections", oracle="""
@@ -406,7 +406,7 @@ def q23_income_anomaly(cat, codes=Q23_SCHEME_CODES, income: int = Q23_INCOME) ->
             .join(c, "citizen_id")
             .select("full_name", "aadhaar_number", "annual_income", "category", "scheme_name", "status",
                     "apply_date")
-            .orderBy(D("annual_income")))
+            .orderBy(D("annual_income"), A("application_id")))
 
 
 @register("q24_officer_dashboard", oracle="""
@@ -522,7 +522,7 @@ def q30_end_to_end_report(cat) -> DataFrame:
     return (application_overview(cat, with_officer=False)
             .select("full_name", "state", "category", "scheme_name", "status", "priority_score", "apply_date",
                     "approval_date", "disbursed_amount", "transaction_ref")
-            .orderBy(D("priority_score"), A("apply_date")))
+            .orderBy(D("priority_score"), A("apply_date"), A("application_id")))
 
 
 @register("q31_audit_log_all", oracle=_audit_sql())

@@ -18,7 +18,7 @@ def test_allocation_decides_every_claim(spark):
     budgets = {0: D(40000), 1: D(3000)}
     got = allocate(spark.createDataFrame(claims, "id long, k int, amount decimal(12,2)"),
                    spark.createDataFrame(list(budgets.items()), "k int, _rem decimal(15,2)"),
-                   "k", "id", "amount", [F.col("id")], F.col("id"), hot=None).collect()
+                   "k", "id", "amount", [F.col("id")]).collect()
     want = {}
     for i, k, amount in claims:  # in queue order, what fits the rest of the budget is granted
         want[i] = amount <= budgets[k]

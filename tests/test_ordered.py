@@ -17,18 +17,17 @@ def _data(spark, n=3000, seed=1):
 
 def test_running_sum_matches_window(spark):
     df = _data(spark)
-    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", target_rows=50, fraction=1.0)
+    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", pieces=40)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.withColumn("cum", F.sum("v").over(w))
     assert sorted(got.select("id", "cum").collect()) == sorted(exp.select("id", "cum").collect())
     # the hot key really was split
-    hot = ordered.hot_keys(df, "k", F.col("t"), target_rows=50, fraction=1.0)
-    assert hot is not None and hot.filter("k = 0").first()["_nb"] > 1
+    assert ordered.in_pieces(df, "k", ["t", "id"], 40).filter("k = 0").select(ordered.PIECE).distinct().count() > 20
 
 
 def test_exclusive_running_sum(spark):
     df = _data(spark, seed=2)
-    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", inclusive=False, target_rows=40, fraction=1.0)
+    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", inclusive=False, pieces=50)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.withColumn("cum", F.coalesce(F.sum("v").over(w), F.lit(0)))
     assert sorted(got.select("id", "cum").collect()) == sorted(exp.select("id", "cum").collect())
@@ -36,18 +35,49 @@ def test_exclusive_running_sum(spark):
 
 def test_lag_matches_window(spark):
     df = _data(spark, seed=3)
-    got = ordered.lag(df, "k", ["t", "id"], "s", "prev", default="START", target_rows=30, fraction=1.0)
+    got = ordered.lag(df, "k", ["t", "id"], "s", "prev", default="START", pieces=60)
     w = Window.partitionBy("k").orderBy("t", "id")
     exp = df.withColumn("prev", F.lag("s", 1, "START").over(w))
     assert sorted(got.select("id", "prev").collect()) == sorted(exp.select("id", "prev").collect())
 
 
-def test_values_outside_sample_range(spark):
-    # a tiny sample sees only part of the range; far-away order values must not break the piece cast
+def test_far_away_order_values(spark):
     rows = [(i, 0, i, 1, "A") for i in range(2000)] + [(5000 + j, 0, 10 ** 15 + j, 1, "B") for j in range(3)] + \
            [(9000 + j, 0, -(10 ** 15) - j, 1, "C") for j in range(3)]
     df = spark.createDataFrame(rows, "id long, k long, t long, v long, s string")
-    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", target_rows=50, fraction=0.05)
+    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", pieces=40)
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.withColumn("cum", F.sum("v").over(w))
     assert sorted(got.select("id", "cum").collect()) == sorted(exp.select("id", "cum").collect())
+
+
+def test_one_key_and_one_priority_with_most_rows(spark):
+    """Pieces follow quantiles of the whole order key: ties in its first column and a hot key do not fill one piece."""
+    n = 20_000
+    df = spark.range(n).selectExpr("id", "if(id % 10 < 9, 0, id % 7) as k", "if(id % 10 < 9, 44, id % 90) as prio",
+                                   "id % 5 as t", "id % 11 as v")
+    order = [-F.col("prio"), F.col("t"), F.col("id")]
+    sizes = [r["count"] for r in ordered.in_pieces(df, "k", order, 20).groupBy(ordered.PIECE).count().collect()]
+    assert len(sizes) >= 19 and max(sizes) < 2 * n / 20
+    got = ordered.running_sum(df, "k", order, "v", "cum", pieces=20)
+    w = Window.partitionBy("k").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    assert sorted(got.select("id", "cum").collect()) == sorted(df.withColumn("cum", F.sum("v").over(w)).select("id", "cum").collect())
+
+
+def test_null_keys_and_null_values(spark):
+    rows = [(i, None if i % 3 == 0 else i % 2, None if i % 5 == 0 else i % 4, i, None if i % 7 == 0 else "ABC"[i % 3])
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v long, s string")
+    got = ordered.running_sum(df, "k", ["t", "id"], "v", "cum", pieces=30)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    exp = df.withColumn("cum", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(got.select("id", "cum").collect()) == sorted(exp.select("id", "cum").collect())
+    got = ordered.lag(df, "k", ["t", "id"], "s", "prev", default="START", pieces=30)
+    exp = df.withColumn("prev", F.lag("s", 1, "START").over(w))
+    assert dict(got.select("id", "prev").collect()) == dict(exp.select("id", "prev").collect())
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "id long, k long, t long, v long, s string")
+    assert ordered.running_sum(df, "k", ["t", "id"], "v", "cum").collect() == []
+    assert ordered.lag(df, "k", ["t", "id"], "s", "prev").collect() == []

@@ -1,5 +1,5 @@
-"""Jobs with per-key ordered steps give the oracle's answer when their hot keys
-are split into many pieces (thresholds forced low, whole data sampled)."""
+"""Jobs with per-key ordered steps give the oracle's answer when their keys
+are split into many pieces (a high number of pieces forced)."""
 
 import pytest
 
@@ -14,14 +14,13 @@ ORDERED_JOBS = ["t01_audit_trail", "t02b_running_balance", "a02_budget_prefix",
 
 @pytest.fixture()
 def tiny_pieces(monkeypatch):
-    monkeypatch.setattr(ordered, "TARGET_ROWS", 40)
-    monkeypatch.setattr(ordered, "SAMPLE_FRACTION", 1.0)
+    monkeypatch.setattr(ordered, "PIECES", 100)
 
 
 @pytest.mark.parametrize("name", ORDERED_JOBS)
 def test_split_hot_keys_match_oracle(name, cat01, duck01, tiny_pieces):
-    hot = ordered.hot_keys(cat01["application"], "scheme_id", ordered.F.col("application_id"))
-    assert hot is not None and hot.count() > 3  # the forced threshold really splits keys
+    pieces = ordered.in_pieces(cat01["application"], "scheme_id", ["application_id"])
+    assert pieces.select(ordered.PIECE).distinct().count() > 50  # more pieces than schemes: keys are really split
     job = JOBS[name]
     ok, msg = compare(to_output(job.fn(cat01)), duck01, oracle_text(job))
     assert ok, msg

@@ -34,7 +34,7 @@ def test_allocate_random_many_rounds(spark):
     df = spark.createDataFrame([(c, k, a, c * 7 % 1009) for c, k, a in claims],
                                "id long, k long, amount decimal(12,2), t long")
     b = spark.createDataFrame(list(budgets.items()), "k long, _rem decimal(15,2)")
-    got = allocate(df, b, "k", "id", "amount", [F.col("t"), F.col("id")], F.col("t"))
+    got = allocate(df, b, "k", "id", "amount", [F.col("t"), F.col("id")])
     rows = got.collect()
     exp = greedy(sorted(((c, k, a) for c, k, a in claims), key=lambda x: (x[0] * 7 % 1009, x[0])), budgets)
     assert {r.id: r.granted for r in rows} == exp
