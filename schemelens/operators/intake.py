@@ -13,17 +13,22 @@ requests in (requested_at, request_id) order gives exactly these outcomes:
 Checks 1, 2 and 4 depend only on the (citizen, scheme) pair, so within a pair
 with no stored active application the first request is accepted when the pair
 is eligible and every later one gets -20003; an ineligible pair gets -20004
-throughout.  "First" is a ``min(struct(time, id))`` aggregate per pair
-(partial aggregation keeps a hot pair cheap) joined back: no sequential step.
+throughout.  So one aggregate makes the distinct pairs (first request, active
+application or not; partial aggregation keeps a hot pair cheap), everything is
+looked up once per pair, and the requests join their pair's row: no sequential
+step, and AQE can split a pair that holds a large share of the requests.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import cat as ocat
+from schemelens.functions.semantics import time_id_key
 from schemelens.registry import register
 
 DEFAULT_REMARKS = "Self-applied"
@@ -31,22 +36,39 @@ DEFAULT_REMARKS = "Self-applied"
 # per request, and deterministic (a retried batch produces the same keys).
 
 
-def first_per_pair(requests: DataFrame, keys=("citizen_id", "scheme_id"), time_col="requested_at",
-                   id_col="request_id") -> DataFrame:
-    """Flag ``_is_first`` on the earliest request of every key group."""
-    from schemelens.functions.semantics import time_id_key
-    k = time_id_key(time_col, id_col)
-    first = requests.groupBy(*keys).agg(F.min(k).alias("_first"))  # hash aggregate, partial map-side
-    return (requests.join(first, list(keys), "left")
-            .withColumn("_is_first", k == F.col("_first")).drop("_first"))
+PAIR = ("citizen_id", "scheme_id")
+
+
+def requested_pairs(requests: DataFrame, application: DataFrame, time_col="requested_at",
+                    id_col="request_id") -> DataFrame:
+    """One row per requested pair: ``_first`` (time and id key of its first request) and
+    ``_active`` (true when an active application is stored, else NULL), in one shuffle."""
+    asked = requests.select(*PAIR, time_id_key(time_col, id_col).alias("_first"), F.lit(None).cast("boolean").alias("_active"))
+    # a NULL id equals nothing, so such applications are nobody's duplicate
+    held = (application.filter(R.is_active_status()).dropna(subset=list(PAIR))
+            .select(*PAIR, F.lit(None).cast("decimal(38,0)").alias("_first"), F.lit(True).alias("_active")))
+    return (asked.unionByName(held).groupBy(*PAIR).agg(F.min("_first").alias("_first"), F.max("_active").alias("_active"))
+            .filter(F.col("_first").isNotNull()))
+
+
+def join_pairs(rows: DataFrame, per_pair: DataFrame) -> DataFrame:
+    """Attach the columns of ``per_pair`` (unique per pair) to all ``rows`` of the pair.
+
+    A NULL-safe join shuffles on its own expressions, so the aggregated side is
+    shuffled anew instead of lying in its aggregate's partitions: both sides are
+    then plain shuffles, which AQE needs to split a skewed pair."""
+    side = per_pair.withColumnsRenamed({c: f"_pair_{c}" for c in PAIR})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_pair_{c}")) for c in PAIR])
+    return rows.join(side, same, "left").drop(*[f"_pair_{c}" for c in PAIR])
 
 
 def apply_batch(requests: DataFrame, cat) -> DataFrame:
-    act = R.active_keys(cat["application"]).withColumn("_active", F.lit(True))
-    q = first_per_pair(requests).join(act, ["citizen_id", "scheme_id"], "left")
-    q = R.rule_inputs(q, cat, citizen_extra=("full_name",), scheme_extra=("scheme_name",))
-    # the eligibility text is computed once and referenced by the code and the message
-    q = q.withColumn("_elig", R.eligibility_reason())
+    pairs = R.rule_inputs(requested_pairs(requests, cat["application"]), cat, citizen_extra=("full_name",),
+                          scheme_extra=("scheme_name",))
+    pairs = pairs.select(*PAIR, "_first", "_active", "_c_found", "_s_found", "is_active", "full_name", "scheme_name",
+                         R.eligibility_reason().alias("_elig"), R.priority_score().alias("_priority"))
+    q = join_pairs(requests.select("request_id", *PAIR, "remarks", "requested_at"), pairs)
+    q = q.withColumn("_is_first", time_id_key("requested_at", "request_id") == F.col("_first"))
     elig = F.col("_elig")
     code = (F.when(F.col("_c_found").isNull(), F.lit(-20001))
             .when(F.col("_s_found").isNull() | ~F.coalesce(F.col("is_active") == "Y", F.lit(False)), F.lit(-20002))
@@ -68,7 +90,7 @@ def apply_batch(requests: DataFrame, cat) -> DataFrame:
     return q.select(
         "request_id", "citizen_id", "scheme_id", "outcome_code", msg.alias("message"),
         F.when(ok, max_id + F.col("request_id")).alias("application_id"),
-        F.when(ok, R.priority_score()).alias("priority_score"),
+        F.when(ok, F.col("_priority")).alias("priority_score"),
         F.when(ok, F.coalesce(F.nullif(F.col("remarks"), F.lit("")), F.lit(DEFAULT_REMARKS))).alias("remarks"))
 
 

@@ -125,13 +125,13 @@ def duplicate_guard(inserts: DataFrame, cat) -> DataFrame:
     -20030.  Unknown citizen or scheme pass the trigger and fail the foreign
     key (-2291), storing nothing.
     """
-    from schemelens.functions import rules as R
-    from schemelens.operators.intake import first_per_pair
-    act = R.active_keys(cat["application"]).withColumn("_active", F.lit(True))
+    from schemelens.operators.intake import join_pairs, requested_pairs
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c_found"))
     sc = cat.dim("scheme").select("scheme_id", "scheme_name")
-    q = (first_per_pair(inserts.select("request_id", "citizen_id", "scheme_id", "requested_at"))
-         .join(act, ["citizen_id", "scheme_id"], "left").join(cz, "citizen_id", "left").join(sc, "scheme_id", "left"))
+    pairs = (requested_pairs(inserts, cat["application"]).join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
+             .select("citizen_id", "scheme_id", "_first", "_active", "_c_found", "scheme_name"))
+    q = join_pairs(inserts.select("request_id", "citizen_id", "scheme_id", "requested_at"), pairs)
+    q = q.withColumn("_is_first", time_id_key("requested_at", "request_id") == F.col("_first"))
     code = (F.when(F.col("_active").isNotNull(), F.lit(-20030))
             .when(F.col("_c_found").isNull() | F.col("scheme_name").isNull(), F.lit(-2291))
             .when(F.col("_is_first"), F.lit(0)).otherwise(F.lit(-20030)))
@@ -192,7 +192,6 @@ def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) ->
     changes refer to stored applications); other inserts fail -20030 while
     the pair is active, or -2291 for unknown references.
     """
-    from schemelens.operators.intake import first_per_pair
     u, base = _merged_guard_events(status_event, requests, cat)
     u = u.withColumn("_pair", F.concat(*(F.concat(F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(":")) for c in ("citizen_id", "scheme_id"))))
     u = ordered.running_sum(u, "_pair", ["t", "kind", "event_id"], "delta", "_seen", inclusive=False)

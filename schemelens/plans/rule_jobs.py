@@ -75,9 +75,9 @@ def f03_priority_score(cat) -> DataFrame:
    and a.status not in ('REJECTED')) then 'Y' else 'N' end as is_duplicate from application_request q""")
 def f04_is_duplicate_app(cat) -> DataFrame:
     """'Y' when the requesting citizen already has an active application to the scheme."""
-    act = R.active_keys(cat["application"]).withColumn("_dup", F.lit(True))
-    return (cat["application_request"].select("request_id", "citizen_id", "scheme_id")
-            .join(act, ["citizen_id", "scheme_id"], "left")
+    from schemelens.operators.intake import join_pairs
+    act = R.active_keys(cat["application"]).dropna().withColumn("_dup", F.lit(True))
+    return (join_pairs(cat["application_request"].select("request_id", "citizen_id", "scheme_id"), act)
             .select("request_id", "citizen_id", "scheme_id",
                     F.when(F.col("_dup"), "Y").otherwise("N").alias("is_duplicate")))
 

@@ -24,3 +24,35 @@ def test_split_hot_keys_match_oracle(name, cat01, duck01, tiny_pieces):
     job = JOBS[name]
     ok, msg = compare(to_output(job.fn(cat01)), duck01, oracle_text(job))
     assert ok, msg
+
+
+@pytest.mark.parametrize("name", ["f04_is_duplicate_app", "p03_apply_batch", "t03_duplicate_guard"])
+def test_hot_pair_is_split(name, spark, cat01):
+    """A pair with most of the requests is dealt out over several tasks (AQE, low thresholds), with the same result."""
+    from schemelens.sources.catalog import Catalog
+    F = ordered.F
+    reqs = cat01["application_request"]
+    one = reqs.filter("citizen_id is not null and scheme_id is not null").first()
+    hot = reqs.withColumn("citizen_id", F.when(F.col("request_id") % 5 > 0, one.citizen_id).otherwise(F.col("citizen_id"))) \
+        .withColumn("scheme_id", F.when(F.col("request_id") % 5 > 0, one.scheme_id).otherwise(F.col("scheme_id")))
+    hot = hot.unionByName(hot.withColumn("request_id", F.col("request_id") + 10_000_000))
+    frames = {n: cat01[n] for n in cat01.names()} | {"application_request": hot}
+    cat = Catalog(spark, frames, label="hot")
+    cat.broadcast_max_rows = 0
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        df = JOBS[name].fn(cat)
+        rows = df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == hot.count() and len({r.request_id for r in rows}) == len(rows)
+    assert "skew=true" in final, final[:3000]
