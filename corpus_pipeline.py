@@ -26,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    return minhash_dedup.deduplicate(docs.select(*COLUMNS))
+    """One document of each group of near-duplicates (0.8 of their five-word shingles) stays."""
+    return minhash_dedup.deduplicate(docs.select(*COLUMNS), width=5)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

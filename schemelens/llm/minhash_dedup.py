@@ -1,6 +1,7 @@
 """Near-duplicate documents by b-bit MinHash (operator 4).
 
-1. Every whole text becomes the set of its distinct four-word shingles, and
+1. Every whole text becomes the set of its distinct shingles of ``width`` words (four
+   in the operator's own query, five in the pipeline's stage), and
    copies (same words in order) form classes with one representative each.
 2. ``BANDS * ROWS`` minima are taken per set.  The full minima of a band, hashed,
    are its bucket; only the low ``BITS`` bits of each minimum are kept, packed, as
@@ -21,7 +22,7 @@ A pair at the threshold shares no bucket with probability
 (1 - 0.8**ROWS)**BANDS, below 1e-6 here; more similar pairs far less often.
 
 Results on odd input: null texts and texts without words have no shingles and
-link with nothing; fewer than four words are one shingle; texts of any length
+link with nothing; fewer than ``width`` words are one shingle; texts of any length
 are read whole; rows that repeat an id are documents of their own (same
 component_id rules); rows without an id come last, and a class of such rows alone has
 a null component_id; an empty table gives an empty table; extra columns are not read.
@@ -43,6 +44,8 @@ BANDS, ROWS = 48, 6
 #: Bits kept of each minimum.
 BITS = 8
 THRESHOLD = 80  # percent
+#: Words in a shingle unless a caller says otherwise.
+WIDTH = 4
 LEAST_ESTIMATE = 0.68
 #: Members in one block of signatures, and shingles in one block of full sets.
 BLOCK_MEMBERS = 512
@@ -71,7 +74,7 @@ def band_keys(low: np.ndarray) -> list[int]:
     return [xxhash.xxh3_64_intdigest(raw[i * size:(i + 1) * size], seed=i) - (1 << 63) for i in range(BANDS)]
 
 
-def describe(rows: DataFrame) -> DataFrame:
+def describe(rows: DataFrame, width: int) -> DataFrame:
     """(_key, n_shingles, words_hash, buckets, signature); the last three are null for empty sets."""
     def run(batch):
         n, whole, bands, sigs = [], [], [], []
@@ -80,7 +83,7 @@ def describe(rows: DataFrame) -> DataFrame:
             if not w:
                 n.append(0), whole.append(None), bands.append(None), sigs.append(None)
                 continue
-            s = shingle_set(w)
+            s = shingle_set(w, width)
             low = minima(s)
             n.append(len(s)), whole.append(xxhash.xxh3_128_digest(b" ".join(w)))
             bands.append(band_keys(low)), sigs.append(low.astype(np.uint8).tobytes())
@@ -92,10 +95,10 @@ def describe(rows: DataFrame) -> DataFrame:
     return map_batches(rows, run, "_key long, n_shingles long, words_hash binary, buckets array<long>, signature binary")
 
 
-def shingle_rows(rows: DataFrame) -> DataFrame:
+def shingle_rows(rows: DataFrame, width: int) -> DataFrame:
     """(_key, shingles array<long>) of each row's whole text."""
     def run(batch):
-        sets = [shingle_set(words(t)).view(np.int64) for t in batch.column(1).to_pylist()]
+        sets = [shingle_set(words(t), width).view(np.int64) for t in batch.column(1).to_pylist()]
         ends = pa.array(np.cumsum([0] + [len(s) for s in sets]).astype(np.int32))
         flat = pa.array(np.concatenate(sets)) if sets else pa.array([], pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, flat)],
@@ -219,7 +222,7 @@ def exact_links(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, percent: int = THRESHOLD) -> DataFrame:
+def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, width: int) -> DataFrame:
     """(node, component) of the representatives ``described`` that are linked with another one."""
     bands = described.select("_key", F.explode("buckets").alias("bucket"))
     crowd = scratch.keep(bands.groupBy("bucket").agg(F.min("_key").alias("centre"), F.count("*").alias("n"))
@@ -234,8 +237,8 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, perce
     sig_b = signatures.select(F.col("_key").alias("b"), F.col("signature").alias("sig_b"))
     pairs = met.select(F.col("centre").alias("a"), F.col("_key").alias("b"))
     near = scratch.keep(estimate(pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")))
-    linked = scratch.keep(confirm(near, _sets(texts, near.select(F.explode(F.array("a", "b")).alias("_key")), scratch),
-                                  percent))
+    near_sets = _sets(texts, near.select(F.explode(F.array("a", "b")).alias("_key")), scratch, width)
+    linked = scratch.keep(confirm(near, near_sets, percent))
     scratch.release()
     comps = scratch.keep(components(linked, scratch))
     # members of several components that met one centre, in blocks
@@ -247,7 +250,7 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, perce
     signed = members.join(signatures, "_key")
     likely = scratch.keep(likely_members(_block_pairs(signed, "signature", BLOCK_MEMBERS, F.lit(1), scratch)))
     scratch.release()
-    sets = _sets(texts, likely.select("_key"), scratch)
+    sets = _sets(texts, likely.select("_key"), scratch, width)
     whole = members.join(likely, ["centre", "_key"]).join(sets, "_key")
     more = scratch.keep(exact_links(
         _block_pairs(whole, "shingles", BLOCK_SHINGLES, F.size("shingles"), scratch), percent))
@@ -256,19 +259,19 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, perce
     return comps if more.isEmpty() else scratch.keep(components(star.unionByName(more), scratch))
 
 
-def _sets(texts: DataFrame, keys: DataFrame, scratch: Scratch) -> DataFrame:
-    return scratch.keep(shingle_rows(texts.join(keys.distinct(), "_key", "left_semi")))
+def _sets(texts: DataFrame, keys: DataFrame, scratch: Scratch, width: int) -> DataFrame:
+    return scratch.keep(shingle_rows(texts.join(keys.distinct(), "_key", "left_semi"), width))
 
 
-def _classify(rows: DataFrame, percent: int) -> DataFrame:
+def _classify(rows: DataFrame, percent: int, width: int) -> DataFrame:
     """(_key, n_shingles, component) of each row (_key, text)."""
     scratch = Scratch(rows.sparkSession, "minhash")
-    described = scratch.keep(describe(rows))
+    described = scratch.keep(describe(rows, width))
     classes = scratch.keep(described.where("words_hash is not null").groupBy("words_hash").agg(
         F.min("_key").alias("rep"), F.count("*").alias("copies")))
     reps = described.join(classes.select(F.col("rep").alias("_key")), "_key", "left_semi").select(
         "_key", "buckets", "signature")
-    comps = link_classes(reps, rows, scratch, percent)
+    comps = link_classes(reps, rows, scratch, percent, width)
     of_class = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "words_hash", F.coalesce("component", "rep").alias("component"), "rep", "copies")
     # only classes that say more than the row itself does
@@ -278,10 +281,10 @@ def _classify(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = THRESHOLD) -> DataFrame:
+                    percent: int = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row."""
     rows, keys = keyed(df.select(F.col(id_col), F.col(text_col).cast("string").alias("text")), id_col, ["text"])
-    found = _classify(rows.select("_key", "text"), percent)
+    found = _classify(rows.select("_key", "text"), percent, width)
     result = found.select("_key", "n_shingles", key_id(F.col("component"), keys).alias("component_id"),
                           (F.col("component") == F.col("_key")).alias("kept"))
     if keys.factor == 1:
@@ -289,10 +292,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return result.join(rows.select("_key", id_col), "_key").drop("_key")
 
 
-def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = THRESHOLD) -> DataFrame:
+def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = THRESHOLD,
+                width: int = WIDTH) -> DataFrame:
     """The rows of ``df``, all columns, of which one of each component stays."""
     rows, _ = keyed(df.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"),
                               F.col(text_col).cast("string").alias("text")), "_id", ["text"])
-    found = _classify(rows.select("_key", "text"), percent)
+    found = _classify(rows.select("_key", "text"), percent, width)
     kept = found.where(F.col("component") == F.col("_key")).select("_key")
     return rows.select("_key", "_row").join(kept, "_key", "left_semi").select("_row.*")

@@ -47,7 +47,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
 def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
