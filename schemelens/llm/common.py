@@ -5,13 +5,11 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Callable, Iterator
-from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
 from schemelens.session import checkpoint_dir
 
@@ -83,32 +81,26 @@ def record_batch(schema: StructType, columns: list) -> pa.RecordBatch:
         [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
 
-class Keys(NamedTuple):
-    factor: int
-    missing: int | None  # stands for the id of rows without one
+def keyed(df: DataFrame, id_col: str, tie: list[str]) -> tuple[DataFrame, bool]:
+    """Add the long column ``_key`` that orders rows by (id, tie columns), and say whether the keys are the ids.
 
-
-def keyed(df: DataFrame, id_col: str, tie: list[str]) -> tuple[DataFrame, Keys]:
-    """Add the long column ``_key`` that orders rows by (id, tie columns).
-
-    Ids that are all present and distinct are the keys themselves (factor 1).
-    Otherwise ``_key`` is id * factor + place among the rows with that id, so
-    repeated ids stay separate rows; rows without an id come last, keyed above
-    the largest id.  ``key_id`` maps a key back to its id.
+    Ids that are all present and distinct are the keys themselves.  Otherwise
+    rows are dealt out by ranges, numbered in order and written once, so that
+    repeated ids stay separate rows whatever size the ids have; rows without
+    an id come last.  ``component_ids`` maps components back to ids.
     """
     counts = df.groupBy(F.col(id_col).alias("i")).agg(F.count("*").alias("n"))
-    n, nulls, top = counts.agg(F.max("n"), F.max(F.col("i").isNull().cast("int")), F.max("i")).first()
+    n, nulls = counts.agg(F.max("n"), F.max(F.col("i").isNull().cast("int"))).first()
     if (n or 1) == 1 and not nulls:
-        return df.withColumn("_key", F.col(id_col).cast("long")), Keys(1, None)
-    keys = Keys(int(n) + 1, int(top if top is not None else 0) + 1)
-    place = F.row_number().over(Window.partitionBy("_base").orderBy(*tie)) - 1
-    return (df.withColumn("_base", F.coalesce(F.col(id_col).cast("long"), F.lit(keys.missing).cast("long")))
-            .withColumn("_key", F.col("_base") * F.lit(keys.factor).cast("long") + place).drop("_base")), keys
-
-
-def key_id(key: Column, keys: Keys) -> Column:
-    """The id of a key; null for rows without an id."""
-    if keys.factor == 1:
-        return key
-    base = F.floor(key / F.lit(keys.factor)).cast("long")
-    return F.when(base != keys.missing, base)
+        return df.withColumn("_key", F.col(id_col).cast("long")), True
+    by_id = F.col(id_col).asc_nulls_last()
+    dealt = df.repartitionByRange(by_id).sortWithinPartitions(by_id, *tie)
+    return Scratch(df.sparkSession, "keys").keep(dealt.withColumn("_key", F.monotonically_increasing_id())), False
+
+
+def component_ids(found: DataFrame, rows: DataFrame, id_col: str, own: bool) -> DataFrame:
+    """``found`` with component_id, the id of the row of ``rows`` whose key its component is; null if that has none."""
+    if own:
+        return found.withColumn("component_id", F.col("component"))
+    ids = rows.select(F.col("_key").alias("component"), F.col(id_col).cast("long").alias("component_id"))
+    return found.join(ids, "component")

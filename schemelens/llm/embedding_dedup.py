@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemelens.llm.common import Scratch, key_id, keyed
+from schemelens.llm.common import Scratch, component_ids, keyed
 from schemelens.llm.components import components, forest
 
 THRESHOLD = 0.95
@@ -169,7 +169,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                     threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_links, component_id, kept) of each row."""
     scratch = Scratch(df.sparkSession, "embeddings")
-    rows, keys = keyed(df.select(F.col(id_col), F.col(vector_col).cast("array<double>").alias("vector")),
+    rows, own = keyed(df.select(F.col(id_col), F.col(vector_col).cast("array<double>").alias("vector")),
                          id_col, ["vector"])
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     top = F.array_max(F.transform("vector", F.abs))  # scaled by it first, so that squares neither overflow nor vanish
@@ -194,7 +194,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         classes.join(links, "rep", "left").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
             "unit", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("component", "rep").alias("component")))
-    out = rows.join(per_class, "unit", "left")
-    component = F.coalesce("component", "_key")
-    return out.select(F.col(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      key_id(component, keys).alias("component_id"), (component == F.col("_key")).alias("kept"))
+    out = rows.join(per_class, "unit", "left").select(
+        "_key", id_col, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component", "_key").alias("component"))
+    return component_ids(out, rows, id_col, own).select(
+        id_col, "n_links", "component_id", (F.col("component") == F.col("_key")).alias("kept"))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemelens.llm.common import Scratch, key_id, keyed, map_batches
+from schemelens.llm.common import Scratch, component_ids, keyed, map_batches
 from schemelens.llm.components import components, forest
 from schemelens.llm.shingles import shingle_set, words
 
@@ -283,13 +283,13 @@ def _classify(rows: DataFrame, percent: int, width: int) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """(id, n_shingles, component_id, kept) of each row."""
-    rows, keys = keyed(df.select(F.col(id_col), F.col(text_col).cast("string").alias("text")), id_col, ["text"])
+    rows, own = keyed(df.select(F.col(id_col), F.col(text_col).cast("string").alias("text")), id_col, ["text"])
     found = _classify(rows.select("_key", "text"), percent, width)
-    result = found.select("_key", "n_shingles", key_id(F.col("component"), keys).alias("component_id"),
-                          (F.col("component") == F.col("_key")).alias("kept"))
-    if keys.factor == 1:
+    result = component_ids(found, rows, id_col, own).select(
+        "_key", "n_shingles", "component_id", (F.col("component") == F.col("_key")).alias("kept"))
+    if own:
         return result.withColumnRenamed("_key", id_col)
-    return result.join(rows.select("_key", id_col), "_key").drop("_key")
+    return result.join(rows.select("_key", id_col), "_key").select(id_col, "n_shingles", "component_id", "kept")
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = THRESHOLD,

@@ -225,6 +225,32 @@ def test_minhash_odd_ids(odd):
     assert minhash_dedup.deduplicate(odd).count() == 6
 
 
+@pytest.mark.parametrize("top", [2**60, 2**63 - 10])
+def test_large_repeated_and_missing_ids(spark, top):
+    """Ids too large for a double, one of them repeated, one missing, some negative."""
+    rng = random.Random(2)
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    rows = [(top + 1, a), (top + 3, a), (top + 5, b), (top + 5, c), (None, b), (None, d), (-top + 1, c), (-top + 3, d),
+            (-top + 3, d), (7, words(rng, 60)), (None, words(rng, 60))]
+    component = {a: top + 1, b: top + 5, c: -top + 1, d: -top + 3}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash_dedup.near_duplicates(df)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    got = got.collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((i, component.get(t, i)) for i, t in rows)
+    assert sum(r.kept for r in got) == len({t for _, t in rows})
+    assert Counter(r.text for r in minhash_dedup.deduplicate(df).collect()) == Counter({t for _, t in rows})
+    unit = {t: [float(x == i) for x in range(9)] for i, t in enumerate(dict.fromkeys(t for _, t in rows))}
+    vectors = spark.createDataFrame([(i, unit[t]) for i, t in rows], "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_duplicates(vectors).collect()
+    assert Counter((r.vec_id, r.component_id) for r in got) == Counter((i, component.get(t, i)) for i, t in rows)
+    assert sum(r.kept for r in got) == len(unit)
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    want = Counter((i, sum(z - a for a, z in cut)) for (i, _), cut in zip(ordered, brute_repeats(ordered)))
+    found = suffix_dedup.deduplicate(df).collect()
+    assert Counter((r.doc_id, sum(s.end - s.start for s in r.spans)) for r in found) == want
+
+
 # 5
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
