@@ -3,13 +3,13 @@
 1. Every whole text becomes the set of its distinct shingles of ``width`` words (four
    in the operator's own query, five in the pipeline's stage), and
    copies (same words in order) form classes with one representative each.
-2. ``BANDS * ROWS`` minima are taken per set.  The full minima of a band, hashed,
+2. ``MINIMA`` minima are taken per set, in bands (``tuned``).  The full minima of a band, hashed,
    are its bucket; only the low ``BITS`` bits of each minimum are kept, packed, as
    the signature.
 3. All members of a bucket are compared with its smallest member, the centre.
    A pair is tested further if its similarity, estimated from the number of
    equal signature values less the share 2**-BITS that agree by chance, is at
-   least ``LEAST_ESTIMATE`` (five standard deviations below the threshold), and linked
+   least five standard deviations below the threshold, and linked
    if the full shingle sets say so.
 4. Members that met the same centre and are still of different components are
    compared in pairs of blocks: those outside the centre's component with all
@@ -18,8 +18,9 @@
    pair of blocks.  So no bucket is cut, no link between components is left
    out, and no pairs of members are ever rows.
 
-A pair at the threshold shares no bucket with probability
-(1 - 0.8**ROWS)**BANDS, below 1e-6 here; more similar pairs far less often.
+A pair at the threshold p shares no bucket with probability
+(1 - p**rows)**bands, below 1e-6; more similar pairs far less often.  Bands and
+the estimate's bound follow the threshold: 48 bands of 6 minima and 0.68 at 0.8.
 
 Results on odd input: null texts and texts without words have no shingles and
 link with nothing; fewer than ``width`` words are one shingle; texts of any length
@@ -30,6 +31,8 @@ a null component_id; an empty table gives an empty table; extra columns are not
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,22 +43,40 @@ from schemelens.llm.common import Scratch, component_ids, keyed, map_batches
 from schemelens.llm.components import components, forest
 from schemelens.llm.shingles import shingle_set, words
 
-BANDS, ROWS = 48, 6
+MINIMA = 288
+#: Share of the pairs at the threshold that may meet in no bucket.
+MISSED = 1e-6
 #: Bits kept of each minimum.
 BITS = 8
 THRESHOLD = 80  # percent
 #: Words in a shingle unless a caller says otherwise.
 WIDTH = 4
-LEAST_ESTIMATE = 0.68
 #: Members in one block of signatures, and shingles in one block of full sets.
 BLOCK_MEMBERS = 512
 BLOCK_SHINGLES = 1 << 17
 
-_MUL = np.random.default_rng(2024).integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
-_ADD = np.random.default_rng(2025).integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+_MUL = np.random.default_rng(2024).integers(0, 2**32, MINIMA, dtype=np.uint32) | np.uint32(1)
+_ADD = np.random.default_rng(2025).integers(0, 2**32, MINIMA, dtype=np.uint32)
 _STEP = 2048
 
 
+class Tuning(NamedTuple):
+    percent: int
+    bands: int
+    rows: int  # minima in a band
+    least: float  # estimated similarity from which pairs are tested further
+
+
+def tuned(percent: int) -> Tuning:
+    """The longest bands that miss at most ``MISSED`` of the pairs at the threshold, and the estimate's bound."""
+    p = percent / 100
+    fit = [r for r in range(1, MINIMA + 1) if MINIMA % r == 0 and (1 - p**r) ** (MINIMA // r) <= MISSED]
+    if not fit or p > 1:
+        raise ValueError(f"no {MINIMA} minima find the pairs at {percent} percent")
+    least = np.floor(100 * (p - 5 * np.sqrt(p * (1 - p) / MINIMA))) / 100
+    return Tuning(percent, MINIMA // fit[-1], fit[-1], float(least))
+
+
 def minima(hashes: np.ndarray) -> np.ndarray:
     """The smallest value of each hash function over a non-empty set."""
     x = (hashes >> np.uint64(32)).astype(np.uint32)
@@ -67,14 +88,14 @@ def minima(hashes: np.ndarray) -> np.ndarray:
     return low
 
 
-def band_keys(low: np.ndarray) -> list[int]:
+def band_keys(low: np.ndarray, tuning: Tuning) -> list[int]:
     """One 64-bit bucket number a band."""
     raw = low.tobytes()
-    size = 4 * ROWS
-    return [xxhash.xxh3_64_intdigest(raw[i * size:(i + 1) * size], seed=i) - (1 << 63) for i in range(BANDS)]
+    size = 4 * tuning.rows
+    return [xxhash.xxh3_64_intdigest(raw[i * size:(i + 1) * size], seed=i) - (1 << 63) for i in range(tuning.bands)]
 
 
-def describe(rows: DataFrame, width: int) -> DataFrame:
+def describe(rows: DataFrame, width: int, tuning: Tuning) -> DataFrame:
     """(_key, n_shingles, words_hash, buckets, signature); the last three are null for empty sets."""
     def run(batch):
         n, whole, bands, sigs = [], [], [], []
@@ -86,7 +107,7 @@ def describe(rows: DataFrame, width: int) -> DataFrame:
             s = shingle_set(w, width)
             low = minima(s)
             n.append(len(s)), whole.append(xxhash.xxh3_128_digest(b" ".join(w)))
-            bands.append(band_keys(low)), sigs.append(low.astype(np.uint8).tobytes())
+            bands.append(band_keys(low, tuning)), sigs.append(low.astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(whole, pa.binary()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
@@ -107,7 +128,7 @@ def shingle_rows(rows: DataFrame, width: int) -> DataFrame:
     return map_batches(rows, run, "_key long, shingles array<long>")
 
 
-def estimate(pairs: DataFrame) -> DataFrame:
+def estimate(pairs: DataFrame, least: float) -> DataFrame:
     """Rows of ``pairs`` (a, b, sig_a, sig_b) whose collision-corrected similarity may reach the threshold."""
     chance = 2.0 ** -BITS
 
@@ -118,7 +139,7 @@ def estimate(pairs: DataFrame) -> DataFrame:
                   for i in (2, 3))
         differ = sa ^ sb
         share = 1.0 - np.count_nonzero(differ, axis=1) / differ.shape[1]
-        keep = (share - chance) / (1 - chance) >= LEAST_ESTIMATE
+        keep = (share - chance) / (1 - chance) >= least
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
 
     return map_batches(pairs, run, "a long, b long")
@@ -162,10 +183,10 @@ def _columns(rows: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return values.field(0).to_numpy(), values.field(1).to_numpy(), values.field(2)
 
 
-def likely_members(pairs: DataFrame) -> DataFrame:
+def likely_members(pairs: DataFrame, least_estimate: float) -> DataFrame:
     """(centre, _key) of the members that have a likely partner of another component, by signatures."""
     chance = 2.0 ** -BITS
-    least = int(np.ceil((LEAST_ESTIMATE * (1 - chance) + chance) * BANDS * ROWS))
+    least = int(np.ceil((least_estimate * (1 - chance) + chance) * MINIMA))
 
     def run(batches):
         for batch in batches:
@@ -222,7 +243,7 @@ def exact_links(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, width: int) -> DataFrame:
+def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, tuning: Tuning, width: int) -> DataFrame:
     """(node, component) of the representatives ``described`` that are linked with another one."""
     bands = described.select("_key", F.explode("buckets").alias("bucket"))
     crowd = scratch.keep(bands.groupBy("bucket").agg(F.min("_key").alias("centre"), F.count("*").alias("n"))
@@ -236,9 +257,10 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, perce
     sig_a = signatures.select(F.col("_key").alias("a"), F.col("signature").alias("sig_a"))
     sig_b = signatures.select(F.col("_key").alias("b"), F.col("signature").alias("sig_b"))
     pairs = met.select(F.col("centre").alias("a"), F.col("_key").alias("b"))
-    near = scratch.keep(estimate(pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b")))
+    near = scratch.keep(estimate(pairs.join(sig_a, "a").join(sig_b, "b").select("a", "b", "sig_a", "sig_b"),
+                                 tuning.least))
     near_sets = _sets(texts, near.select(F.explode(F.array("a", "b")).alias("_key")), scratch, width)
-    linked = scratch.keep(confirm(near, near_sets, percent))
+    linked = scratch.keep(confirm(near, near_sets, tuning.percent))
     scratch.release()
     comps = scratch.keep(components(linked, scratch))
     # members of several components that met one centre, in blocks
@@ -248,12 +270,13 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, perce
         "centre", "_key", F.coalesce("component", "_key").alias("component"), F.coalesce("own", "centre").alias("own"))
     members = scratch.keep(members.withColumn("outside", F.col("component") != F.col("own")).drop("own"))
     signed = members.join(signatures, "_key")
-    likely = scratch.keep(likely_members(_block_pairs(signed, "signature", BLOCK_MEMBERS, F.lit(1), scratch)))
+    likely = scratch.keep(likely_members(_block_pairs(signed, "signature", BLOCK_MEMBERS, F.lit(1), scratch),
+                                         tuning.least))
     scratch.release()
     sets = _sets(texts, likely.select("_key"), scratch, width)
     whole = members.join(likely, ["centre", "_key"]).join(sets, "_key")
     more = scratch.keep(exact_links(
-        _block_pairs(whole, "shingles", BLOCK_SHINGLES, F.size("shingles"), scratch), percent))
+        _block_pairs(whole, "shingles", BLOCK_SHINGLES, F.size("shingles"), scratch), tuning.percent))
     scratch.release()
     star = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
     return comps if more.isEmpty() else scratch.keep(components(star.unionByName(more), scratch))
@@ -265,13 +288,13 @@ def _sets(texts: DataFrame, keys: DataFrame, scratch: Scratch, width: int) -> Da
 
 def _classify(rows: DataFrame, percent: int, width: int) -> DataFrame:
     """(_key, n_shingles, component) of each row (_key, text)."""
-    scratch = Scratch(rows.sparkSession, "minhash")
-    described = scratch.keep(describe(rows, width))
+    scratch, tuning = Scratch(rows.sparkSession, "minhash"), tuned(percent)
+    described = scratch.keep(describe(rows, width, tuning))
     classes = scratch.keep(described.where("words_hash is not null").groupBy("words_hash").agg(
         F.min("_key").alias("rep"), F.count("*").alias("copies")))
     reps = described.join(classes.select(F.col("rep").alias("_key")), "_key", "left_semi").select(
         "_key", "buckets", "signature")
-    comps = link_classes(reps, rows, scratch, percent, width)
+    comps = link_classes(reps, rows, scratch, tuning, width)
     of_class = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "words_hash", F.coalesce("component", "rep").alias("component"), "rep", "copies")
     # only classes that say more than the row itself does

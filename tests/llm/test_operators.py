@@ -225,6 +225,28 @@ def test_minhash_odd_ids(odd):
     assert minhash_dedup.deduplicate(odd).count() == 6
 
 
+def test_minhash_other_thresholds(spark):
+    """Pairs just above 60 percent are linked at that threshold; bands and bound at 80 percent are the tuned ones."""
+    assert minhash_dedup.tuned(80) == (80, 48, 6, 0.68)
+    rng = random.Random(21)
+    rows = []
+    for i in range(40):
+        w = words(rng, 150).split()
+        rows.append(" ".join(w))
+        for k in range(8 + i % 3):
+            w[7 + 15 * k % 150] = words(rng, 2).replace(" ", "")
+        rows.append(" ".join(w))
+    sets = {i: shingles(t) for i, t in enumerate(rows)}
+    linked = [(a, b) for a in sets for b in sets
+              if a < b and 100 * len(sets[a] & sets[b]) >= 60 * len(sets[a] | sets[b])]
+    assert sum(100 * len(sets[a] & sets[b]) < 66 * len(sets[a] | sets[b]) for a, b in linked) > 10
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(df, percent=60).collect()}
+    assert got == component_of(sets, linked)
+    with pytest.raises(ValueError):
+        minhash_dedup.tuned(4)
+
+
 @pytest.mark.parametrize("top", [2**60, 2**63 - 10])
 def test_large_repeated_and_missing_ids(spark, top):
     """Ids too large for a double, one of them repeated, one missing, some negative."""
