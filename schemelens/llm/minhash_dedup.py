@@ -248,6 +248,7 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, tunin
     bands = described.select("_key", F.explode("buckets").alias("bucket"))
     crowd = scratch.keep(bands.groupBy("bucket").agg(F.min("_key").alias("centre"), F.count("*").alias("n"))
                          .where("n > 1").drop("n"))
+    scratch.release()
     met = scratch.keep(bands.join(crowd, "bucket").where("_key <> centre").select("centre", "_key").distinct())
     scratch.drop(crowd)
     scratch.release()
