@@ -6,9 +6,10 @@ block.  A document longer than a window is cut into full windows, which need
 no packing, and a rest.  The rests of a block are dealt to k windows by
 differencing: every rest starts as a partition of its own (one filled window,
 k-1 empty ones); the two partitions with the largest imbalance are merged,
-fullest window onto emptiest, until one partition is left.  k starts at the
-fewest windows that could hold the block and rises by one whenever the fullest
-window would exceed the capacity.
+fullest window onto emptiest, until one partition is left.  k is the fewest
+windows that can hold the block; where a window would exceed the capacity, a
+rest is cut at its edge and what is over fills the room of other windows, so a
+block pads less than one window whatever the sizes are.
 
 Results on odd input: a null or empty text is the closing id alone; texts of
 any length are cut, never shortened; repeated rows are packed once each; an
@@ -166,6 +167,34 @@ def pack_block(sizes: list[int], capacity: int) -> tuple[list[int], int]:
         k += 1
 
 
+def cut_block(sizes: list[int], capacity: int) -> tuple[list[list[tuple[int, int]]], int]:
+    """((window, length) of the parts of each size, number of windows): the fewest windows that hold the sum."""
+    k = -(-sum(sizes) // capacity)
+    window, fullest = differencing(sizes, k)
+    parts = [[(w, s)] for s, w in zip(sizes, window)]
+    if fullest <= capacity:
+        return parts, k
+    room = [capacity] * k
+    for s, w in zip(sizes, window):
+        room[w] -= s
+    free = [w for w in range(k) if room[w] > 0]
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):  # the largest first, so that few are cut
+        w = window[i]
+        over = min(sizes[i], -room[w])
+        if over <= 0:
+            continue
+        room[w] += over
+        parts[i] = [(w, sizes[i] - over)] if over < sizes[i] else []
+        while over:
+            n = min(over, room[free[-1]])
+            parts[i].append((free[-1], n))
+            room[free[-1]] -= n
+            over -= n
+            if not room[free[-1]]:
+                free.pop()
+    return parts, k
+
+
 class _Block:
     def __init__(self, capacity: int):
         self.capacity = capacity
@@ -190,13 +219,16 @@ class _Block:
                 seq += 1
             if total % cap:
                 rests.append((d, total % cap))
-        window, k = pack_block([r for _, r in rests], cap)
+        parts, k = cut_block([r for _, r in rests], cap)
         filled = [0] * k
-        for (d, size), w in zip(rests, window):
+        for (d, size), own in zip(rests, parts):
             doc_id, ids = self.docs[d]
             total = len(ids) // 4
-            out.append((doc_id, total - size, size, total, seq + w, filled[w], ids[4 * (total - size):]))
-            filled[w] += size
+            start = total - size
+            for w, n in own:
+                out.append((doc_id, start, n, total, seq + w, filled[w], ids[4 * start:4 * (start + n)]))
+                filled[w] += n
+                start += n
         return out, seq + k
 
 

@@ -162,6 +162,27 @@ def test_differencing_is_near_equal():
     assert packing.pack_block([3000, 3000, 2000], 4096)[1] == 3  # two windows would hold the sum but not the pieces
 
 
+@pytest.mark.parametrize("sizes", [[2100] * 998, [1400] * 700, [3000, 3000, 2000], [4095] * 50, [2049, 4000, 9] * 99,
+                                   [4096, 4096, 1], [5], []])
+def test_rests_are_cut_before_windows_stay_empty(sizes):
+    """No block pads a whole window, and every token is in one piece."""
+    ids = [np.arange(n, dtype="<u4").tobytes() for n in sizes]
+    block = packing._Block(4096)
+    for i, x in enumerate(ids):
+        block.add(i, x)
+    out, end = block.pieces(0)
+    assert end == -(-sum(sizes) // 4096)
+    got, filled = defaultdict(list), defaultdict(list)
+    for doc, start, n, total, seq, offset, x in out:
+        assert len(x) == 4 * n > 0 and total == sizes[doc]
+        got[doc].append((start, x))
+        filled[seq].append((offset, n))
+    assert all(b"".join(x for _, x in sorted(got[i])) == whole for i, whole in enumerate(ids))
+    for own in filled.values():
+        own.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip([(0, 0)] + own, own)) and sum(own[-1]) <= 4096
+
+
 # 4
 def shingles(t):
     w = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
