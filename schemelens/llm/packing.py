@@ -4,12 +4,13 @@ Every task reads its rows in blocks of about ``BLOCK_WINDOWS`` windows of
 tokens and packs each block on its own: no shuffle, and memory bounded by the
 block.  A document longer than a window is cut into full windows, which need
 no packing, and a rest.  The rests of a block are dealt to k windows by
-differencing: every rest starts as a partition of its own (one filled window,
-k-1 empty ones); the two partitions with the largest imbalance are merged,
-fullest window onto emptiest, until one partition is left.  k is the fewest
-windows that can hold the block; where a window would exceed the capacity, a
-rest is cut at its edge and what is over fills the room of other windows, so a
-block pads less than one window whatever the sizes are.
+differencing: rests are cut into parts of at most ``PART`` tokens; every part
+starts as a partition of its own (one filled window, k-1 empty ones); the two
+partitions with the largest imbalance are merged, fullest window onto emptiest,
+until one partition is left.  k starts at the fewest windows that can hold the
+block.  While a window exceeds the capacity, parts are cut at window edges and
+dealt anew, and after ``ROUNDS`` of that the number of windows rises until all
+fit.
 
 Results on odd input: a null or empty text is the closing id alone; texts of
 any length are cut, never shortened; repeated rows are packed once each; an
@@ -29,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,76 +42,127 @@ CLOSING_ID = 2
 BLOCK_WINDOWS = 512
 #: Rests that one block holds at most, so that a block of tiny documents stays quick to pack.
 BLOCK_RESTS = 4096
-#: Distinct words that one task remembers; a worker process gives them up after the task.
-CACHE = 250_000
+#: Longest part into which a rest is cut before packing.
+PART = 512
+#: How often parts are cut at window edges before a block takes one more window.
+ROUNDS = 8
+#: Bytes of words that a worker process remembers.
+MEMORY = 192 << 20
 
 SCHEMA = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-class _Parts(dict):
-    """ids of lower-case letters or of plain punctuation by the BPE model, remembered."""
+class Remembered:
+    """Values by key, of at most about twice ``most_bytes`` of keys and values.
 
-    def __init__(self, model, spelled: dict[int, str]):
-        super().__init__({"": b""})
-        self.model, self.spelled = model, spelled
+    New entries go to ``now``.  When that is full it becomes ``before``, whose
+    entries are taken over as they are met again, so frequent ones stay.
+    """
 
-    def __missing__(self, part: str) -> bytes:
-        found = self.model.tokenize(part.translate(self.spelled))
-        self[part] = ids = array("I", [t.id for t in found]).tobytes()
-        return ids
+    #: Bytes that an entry costs besides the characters of its key and value.
+    ENTRY = 160
+
+    def __init__(self, most_bytes: int):
+        self.most_bytes = most_bytes
+        self.now: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+        self.size = 0
+
+    def put(self, key: bytes, value: bytes) -> None:
+        self.now[key] = value
+        self.size += len(key) + len(value) + self.ENTRY
+
+    def again(self, key: bytes) -> bytes | None:
+        """The value of a key that is not in ``now``, or None."""
+        value = self.before.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def trim(self) -> None:
+        if self.size > self.most_bytes:
+            self.before, self.now, self.size = self.now, {}, 0
 
 
 class WordTokens:
     """ids of a text by the tokenizer file, looked up by space-separated word.
 
     The tokenizer drops white space and never merges across it, so a text's
-    ids are those of its words.  Words of plain letters followed by plain
-    punctuation skip the normaliser and go to the tokenizer's own BPE model.
+    ids are those of its words.  A word of plain letters followed by plain
+    punctuation is looked up in two parts, which go to the tokenizer's own BPE
+    model when they are new and skip the normaliser.  Parts are remembered across
+    the tasks of a worker process, within ``memory`` bytes.
     """
 
     LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-    SIMPLE = re.compile(f"([{LETTERS}]*)([!-&(-/:-@[-`{{-~]*)")
+    PLAIN = re.compile(f"[{LETTERS}]*")
+    MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         low = [c for c in map(chr, range(33, 256)) if c.lower() == c and re.match(f"[{self.LETTERS}!-~]", c)]
-        self.parts = _Parts(self.tokenizer.model, {ord(c): spell(c)[0][0] for c in low})
-        self.words: dict[bytes, bytes] = {}
+        self.spelled = {ord(c): spell(c)[0][0] for c in low}
+        self.parts = Remembered(memory // 2)
         # added tokens stand for themselves; one that could lie inside a simple word rules that path out
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.simple = (lambda word: None) if any(map(self.SIMPLE.fullmatch, added)) else self.SIMPLE.fullmatch
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [(t or "").encode().split() for t in texts]
-        known, parts, simple = self.words, self.parts, self.simple
-        if len(known) > CACHE or len(parts) > CACHE // 2:
-            self.forget()
-        odd = []
-        for w in {w for row in split for w in row if w not in known}:
-            word = w.decode()
-            m = simple(word)
-            if m:
-                letters, marks = m.groups()
-                known[w] = parts[letters.lower()] + parts[marks]
-            else:
-                odd.append(word)
-        for word, e in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            known[word.encode()] = array("I", e.ids).tobytes()
-        return [b"".join([known[w] for w in row]) for row in split]
-
-    def forget(self) -> None:
-        self.words.clear()
-        self.parts.clear()
-        self.parts[""] = b""
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.simple = not any(self._letters(t) is not None for t in added)
+
+    def _letters(self, word: bytes) -> bytes | None:
+        """The plain letters that begin a word of them and plain punctuation; None for other words."""
+        letters = word.rstrip(self.MARKS)
+        return letters if self.PLAIN.fullmatch(letters.decode()) else None
+
+    def _part(self, part: bytes) -> bytes:
+        if not part:
+            return b""
+        found = self.tokenizer.model.tokenize(part.decode().lower().translate(self.spelled))
+        ids = array("I", [t.id for t in found]).tobytes()
+        self.parts.put(part, ids)
+        return ids
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        self.parts.trim()
+        known, out, odd = self.parts.now, [], []
+        for i, w in enumerate(words):
+            letters = w.rstrip(self.MARKS)
+            ids = known.get(letters) or self.parts.again(letters)
+            if ids is None:
+                if not self.simple or not self.PLAIN.fullmatch(letters.decode()):
+                    odd.append(i)
+                    out.append(b"")
+                    continue
+                ids = self._part(letters)
+            if len(letters) < len(w):
+                marks = w[len(letters):]
+                ids += known.get(marks) or self.parts.again(marks) or self._part(marks)
+            out.append(ids)
+        for i, e in zip(odd, self.tokenizer.encode_batch([words[i].decode() for i in odd], add_special_tokens=False)):
+            out[i] = array("I", e.ids).tobytes()
+        return out
+
+    def ids(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text; every distinct word of ``texts`` is looked up once."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()).fill_null(""))
+        coded = split.flatten().dictionary_encode()
+        found = self._ids_of(coded.dictionary.cast(pa.binary()).to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy()
+        per = sizes[word]
+        ends = np.concatenate(([0], np.cumsum(per)))
+        at = np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], per)
+        raw = np.frombuffer(b"".join(found), "<u4")[at].tobytes()
+        first = split.offsets[0].as_py()
+        cut = 4 * ends[split.offsets.to_numpy() - first]
+        return [raw[a:b] for a, b in zip(cut.tolist(), cut[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
-def word_tokens(path: str) -> WordTokens:
-    return WordTokens(path)
+def word_tokens(path: str, memory: int = MEMORY) -> WordTokens:
+    return WordTokens(path, memory)
 
 
 def differencing(sizes: list[int], k: int) -> tuple[list[int], int]:
@@ -158,7 +211,10 @@ def differencing(sizes: list[int], k: int) -> tuple[list[int], int]:
 
 
 def pack_block(sizes: list[int], capacity: int) -> tuple[list[int], int]:
-    """(window of each size, number of windows); sizes are at most ``capacity``."""
+    """(window of each size, number of windows): the windows' number rises while one exceeds the capacity.
+
+    Sizes are at most ``capacity`` and stay whole.
+    """
     k = -(-sum(sizes) // capacity)
     while True:
         window, fullest = differencing(sizes, k)
@@ -168,31 +224,44 @@ def pack_block(sizes: list[int], capacity: int) -> tuple[list[int], int]:
 
 
 def cut_block(sizes: list[int], capacity: int) -> tuple[list[list[tuple[int, int]]], int]:
-    """((window, length) of the parts of each size, number of windows): the fewest windows that hold the sum."""
+    """((window, length) of the parts of each size, number of windows).
+
+    Sizes are first cut into parts of ``PART``, which differencing deals to as
+    few windows as can hold the sum.  While a window exceeds the capacity, a
+    part of it is cut at its edge and all parts are dealt anew; if ``ROUNDS``
+    such cuts do not do, the number of windows rises.
+    """
+    parts = [(i, min(PART, s - at)) for i, s in enumerate(sizes) for at in range(0, s, PART)]
     k = -(-sum(sizes) // capacity)
-    window, fullest = differencing(sizes, k)
-    parts = [[(w, s)] for s, w in zip(sizes, window)]
-    if fullest <= capacity:
-        return parts, k
-    room = [capacity] * k
-    for s, w in zip(sizes, window):
-        room[w] -= s
-    free = [w for w in range(k) if room[w] > 0]
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):  # the largest first, so that few are cut
-        w = window[i]
-        over = min(sizes[i], -room[w])
-        if over <= 0:
-            continue
-        room[w] += over
-        parts[i] = [(w, sizes[i] - over)] if over < sizes[i] else []
-        while over:
-            n = min(over, room[free[-1]])
-            parts[i].append((free[-1], n))
-            room[free[-1]] -= n
-            over -= n
-            if not room[free[-1]]:
-                free.pop()
-    return parts, k
+    for _ in range(ROUNDS):
+        window, fullest = differencing([n for _, n in parts], k)
+        if fullest <= capacity:
+            break
+        parts = _cut_at_edges(parts, window, k, capacity)
+    else:
+        window, k = pack_block([n for _, n in parts], capacity)
+    out: list[list[tuple[int, int]]] = [[] for _ in sizes]
+    for (i, n), w in zip(parts, window):
+        if out[i] and out[i][-1][0] == w:  # neighbours in one window are one piece
+            n += out[i].pop()[1]
+        out[i].append((w, n))
+    return out, k
+
+
+def _cut_at_edges(parts: list[tuple[int, int]], window: list[int], k: int, capacity: int) -> list[tuple[int, int]]:
+    """The parts, of each window that is too full one cut in two where the window ends."""
+    load = [0] * k
+    for (_, n), w in zip(parts, window):
+        load[w] += n
+    out = []
+    for (i, n), w in zip(parts, window):
+        over = load[w] - capacity
+        if 0 < over < n:
+            out += [(i, n - over), (i, over)]
+            load[w] = 0
+        else:
+            out.append((i, n))
+    return out
 
 
 class _Block:
@@ -247,8 +316,8 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
         block = _Block(capacity)
         for batch in batches:
             arrow_id = batch.schema.field(0).type
-            for part in slices(batch, [1], 1 << 20):
-                for doc_id, ids in zip(part.column(0).to_pylist(), tokens.ids(part.column(1).to_pylist())):
+            for part in slices(batch, [1], 1 << 22):
+                for doc_id, ids in zip(part.column(0).to_pylist(), tokens.ids(part.column(1))):
                     block.add(doc_id, ids + closing)
                     if block.full():
                         out, seq = block.pieces(seq)
@@ -257,7 +326,6 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
         if block.docs:
             out, seq = block.pieces(seq)
             yield _to_arrow(out, arrow_id, id_col)
-        tokens.forget()
 
     return rows.mapInArrow(run, f"`{id_col}` {id_type}, {SCHEMA}")
 

@@ -255,3 +255,39 @@ def test_host_reputation(spark):
         assert abs(got[h].share - share) < 1e-9
     assert {h for h in got if got[h].blocked} >= {"bad.com", "spam.biz", "new.spam.biz"}
     assert not {h for h in got if got[h].blocked} & {"good.com", "mixed.org", "other.co.uk", "localhost"}
+
+
+# 3, changed in this round
+def test_packing_words_survive_a_small_memory():
+    """Parts forgotten and learned again, odd words and white space of all kinds give the tokenizer's own ids."""
+    import numpy as np
+    import pyarrow as pa
+    import public_tokenizers
+    from schemelens.llm.packing import WordTokens
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng = random.Random(2)
+    texts = [None, "", " \t\x0b\x0c\r\n", "a\x1cb\x85c d e", "don't DON'T 3.14", "<|endoftext|> x<|startoftext|>", "É𝄞ß İ ǅ ×÷"]
+    texts += [" ".join("".join(rng.choice("abcXYZé.,'1") for _ in range(rng.randrange(1, 9))) for _ in range(300))
+              for _ in range(40)]
+    own = WordTokens(path, memory=20_000)
+    tok = Tokenizer.from_file(path)
+    for again in range(2):
+        for at in range(0, len(texts), 5):
+            for t, ids in zip(texts[at:at + 5], own.ids(pa.array(texts, pa.string()).slice(at, 5))):
+                assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t or "", add_special_tokens=False).ids, t
+
+
+def test_packing_raises_the_window_count(monkeypatch):
+    """Where cuts at the edges may not help, windows are added until all fit."""
+    from schemelens.llm import packing
+    monkeypatch.setattr(packing, "ROUNDS", 0)
+    for sizes in ([2100] * 40, [3000, 3000, 2000], [513] * 7):
+        parts, k = packing.cut_block(sizes, 4096)
+        load = Counter()
+        for own, size in zip(parts, sizes):
+            assert sum(n for _, n in own) == size
+            for w, n in own:
+                load[w] += n
+        assert max(load.values()) <= 4096 and max(load) < k
+        assert -(-sum(sizes) // 4096) <= k <= -(-sum(sizes) // 4096) + 4
