@@ -45,7 +45,7 @@ BLOCK_RESTS = 4096
 #: Longest part into which a rest is cut before packing.
 PART = 512
 #: How often parts are cut at window edges before a block takes one more window.
-ROUNDS = 8
+ROUNDS = 4
 #: Bytes of words that a worker process remembers.
 MEMORY = 192 << 20
 
@@ -175,6 +175,7 @@ def differencing(sizes: list[int], k: int) -> tuple[list[int], int]:
     # a partition: its loads, largest first; only filled windows are kept, the rest are empty
     loads: list[np.ndarray] = [np.array([s]) for s in sizes]
     origin: list[tuple] = [()] * n  # of a merge: the two partitions and where their windows went
+    first, second = np.zeros(1, np.int32), np.ones(1, np.int32)
     heap = [(-s, i) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
     while len(heap) > 1:
@@ -182,6 +183,12 @@ def differencing(sizes: list[int], k: int) -> tuple[list[int], int]:
         _, b = heapq.heappop(heap)
         la, lb = loads[a], loads[b]
         na, nb = len(la), len(lb)
+        if na == nb == 1:  # two sizes, the larger first
+            loads[a] = loads[b] = None
+            loads.append(np.concatenate((la, lb)))
+            origin.append((a, b, first, second))
+            heapq.heappush(heap, (int(lb[0] - la[0]) if k == 2 else -int(la[0]), len(loads) - 1))
+            continue
         width = min(k, na + nb)
         merged = np.zeros(width, np.int64)
         merged[:na] += la
