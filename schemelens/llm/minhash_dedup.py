@@ -4,13 +4,13 @@
    in the operator's own query, five in the pipeline's stage), and
    copies (same words in order) form classes with one representative each.
 2. ``MINIMA`` minima are taken per set, in bands (``tuned``).  The full minima of a band, hashed,
-   are its bucket; only the low ``BITS`` bits of each minimum are kept, packed, as
-   the signature.
+   are its bucket; only the low ``BITS`` bits of each minimum are kept, packed into 64-bit
+   words, as the signature.  Buckets are given up as soon as their members are known.
 3. All members of a bucket are compared with its smallest member, the centre.
-   A pair is tested further if its similarity, estimated from the number of
-   equal signature values less the share 2**-BITS that agree by chance, is at
-   least five standard deviations below the threshold, and linked
-   if the full shingle sets say so.
+   Two signatures are compared by exclusive or and a count of bits.  A pair is
+   tested further if its similarity, estimated from the number of equal values
+   less the share 2**-BITS that agree by chance, is not 4.9 standard deviations
+   or more below the threshold, and linked if the full shingle sets say so.
 4. Members that met the same centre and are still of different components are
    compared in pairs of blocks: those outside the centre's component with all
    others.  Signatures go first and hand on only the members that have a
@@ -46,8 +46,13 @@ from schemelens.llm.shingles import shingle_set, words
 MINIMA = 288
 #: Share of the pairs at the threshold that may meet in no bucket.
 MISSED = 1e-6
-#: Bits kept of each minimum.
-BITS = 8
+#: Bits kept of each minimum, and minima in a 64-bit word of the signature.
+BITS = 4
+A_WORD = 64 // BITS
+#: One bit of each minimum in a word.
+ONES = np.uint64(sum(1 << BITS * i for i in range(A_WORD)))
+#: 64-bit words of the filter of buckets with several members (one bit a bucket; 2 MB when it is broadcast).
+FILTER_WORDS = 1 << 17
 THRESHOLD = 80  # percent
 #: Words in a shingle unless a caller says otherwise.
 WIDTH = 4
@@ -95,6 +100,27 @@ def band_keys(low: np.ndarray, tuning: Tuning) -> list[int]:
     return [xxhash.xxh3_64_intdigest(raw[i * size:(i + 1) * size], seed=i) - (1 << 63) for i in range(tuning.bands)]
 
 
+def pack_bits(low: np.ndarray) -> bytes:
+    """The low BITS bits of each minimum, A_WORD of them in one 64-bit word."""
+    kept = (low & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(-1, A_WORD)
+    return np.bitwise_or.reduce(kept << (np.arange(A_WORD, dtype=np.uint64) * np.uint64(BITS)), axis=1).tobytes()
+
+
+def unpack(signatures: list[bytes]) -> np.ndarray:
+    """Signatures as rows of 64-bit words."""
+    return np.frombuffer(b"".join(signatures), np.uint64).reshape(len(signatures), -1)
+
+
+def unequal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of the packed minima differ, by the bits that exclusive or leaves."""
+    differ = a ^ b
+    shift = 1
+    while shift < BITS:  # any bit of a minimum to its lowest one
+        differ = differ | differ >> np.uint64(shift)
+        shift *= 2
+    return np.bitwise_count(differ & ONES).sum(axis=-1, dtype=np.int64)
+
+
 def describe(rows: DataFrame, width: int, tuning: Tuning) -> DataFrame:
     """(_key, n_shingles, words_hash, buckets, signature); the last three are null for empty sets."""
     def run(batch):
@@ -107,7 +133,7 @@ def describe(rows: DataFrame, width: int, tuning: Tuning) -> DataFrame:
             s = shingle_set(w, width)
             low = minima(s)
             n.append(len(s)), whole.append(xxhash.xxh3_128_digest(b" ".join(w)))
-            bands.append(band_keys(low, tuning)), sigs.append(low.astype(np.uint8).tobytes())
+            bands.append(band_keys(low, tuning)), sigs.append(pack_bits(low))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(whole, pa.binary()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
@@ -135,10 +161,8 @@ def estimate(pairs: DataFrame, least: float) -> DataFrame:
     def run(batch):
         if not batch.num_rows:
             return
-        sa, sb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                  for i in (2, 3))
-        differ = sa ^ sb
-        share = 1.0 - np.count_nonzero(differ, axis=1) / differ.shape[1]
+        sa, sb = (unpack(batch.column(i).to_pylist()) for i in (2, 3))
+        share = 1.0 - unequal(sa, sb) / MINIMA
         keep = (share - chance) / (1 - chance) >= least
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
 
@@ -192,10 +216,10 @@ def likely_members(pairs: DataFrame, least_estimate: float) -> DataFrame:
         for batch in batches:
             for centre, a, b in zip(*batch.columns):
                 (ka, ca, sa), (kb, cb, sb) = _columns(a), _columns(b)
-                sa, sb = (np.frombuffer(b"".join(s.to_pylist()), np.uint8).reshape(len(s), -1) for s in (sa, sb))
+                sa, sb = unpack(sa.to_pylist()), unpack(sb.to_pylist())
                 in_a, in_b = np.zeros(len(ka), bool), np.zeros(len(kb), bool)
                 for i in range(len(ka)):
-                    near = (np.count_nonzero(sb == sa[i], axis=1) >= least) & (cb != ca[i])
+                    near = (MINIMA - unequal(sb, sa[i]) >= least) & (cb != ca[i])
                     in_a[i] = near.any()
                     in_b |= near
                 keys = np.unique(np.concatenate((ka[in_a], kb[in_b])))
@@ -243,18 +267,32 @@ def exact_links(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, tuning: Tuning, width: int) -> DataFrame:
-    """(node, component) of the representatives ``described`` that are linked with another one."""
-    bands = described.select("_key", F.explode("buckets").alias("bucket"))
+def crowded(bands: DataFrame, crowd: DataFrame) -> DataFrame:
+    """The rows of ``bands`` whose bucket may be one of ``crowd``: a filter of FILTER_WORDS words, whatever the data."""
+    word = F.pmod(F.col("bucket"), F.lit(FILTER_WORDS)).cast("int").alias("word")
+    bit = F.shiftrightunsigned("bucket", 58).cast("int").alias("bit")
+    filled = crowd.select(word, bit).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    return (bands.select("*", word, bit).join(F.broadcast(filled), "word").where(F.getbit("bits", F.col("bit")) == 1)
+            .drop("word", "bit", "bits"))
+
+
+def members_of_buckets(buckets: DataFrame, scratch: Scratch) -> DataFrame:
+    """(centre, _key): each other member of a bucket with its smallest one."""
+    bands = buckets.select("_key", F.explode("buckets").alias("bucket"))
     crowd = scratch.keep(bands.groupBy("bucket").agg(F.min("_key").alias("centre"), F.count("*").alias("n"))
                          .where("n > 1").drop("n"))
-    scratch.release()
-    met = scratch.keep(bands.join(crowd, "bucket").where("_key <> centre").select("centre", "_key").distinct())
+    met = scratch.keep(crowded(bands, crowd).join(crowd, "bucket").where("_key <> centre")
+                       .select("centre", "_key").distinct())
     scratch.drop(crowd)
-    scratch.release()
+    return met
+
+
+def link_classes(met: DataFrame, signed: DataFrame, texts: DataFrame, scratch: Scratch, tuning: Tuning,
+                 width: int) -> DataFrame:
+    """(node, component) of the representatives ``signed`` (_key, signature) that are linked with another one."""
     # the centres of all buckets against the members they met
     known = met.select("_key").union(met.select("centre")).distinct()
-    signatures = scratch.keep(described.join(known, "_key", "left_semi").select("_key", "signature"))
+    signatures = scratch.keep(signed.join(known, "_key", "left_semi"))
     sig_a = signatures.select(F.col("_key").alias("a"), F.col("signature").alias("sig_a"))
     sig_b = signatures.select(F.col("_key").alias("b"), F.col("signature").alias("sig_b"))
     pairs = met.select(F.col("centre").alias("a"), F.col("_key").alias("b"))
@@ -262,7 +300,6 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, tunin
                                  tuning.least))
     near_sets = _sets(texts, near.select(F.explode(F.array("a", "b")).alias("_key")), scratch, width)
     linked = scratch.keep(confirm(near, near_sets, tuning.percent))
-    scratch.release()
     comps = scratch.keep(components(linked, scratch))
     # members of several components that met one centre, in blocks
     of_member = comps.select(F.col("node").alias("_key"), "component")
@@ -270,15 +307,12 @@ def link_classes(described: DataFrame, texts: DataFrame, scratch: Scratch, tunin
     members = met.join(of_member, "_key", "left").join(of_centre, "centre", "left").select(
         "centre", "_key", F.coalesce("component", "_key").alias("component"), F.coalesce("own", "centre").alias("own"))
     members = scratch.keep(members.withColumn("outside", F.col("component") != F.col("own")).drop("own"))
-    signed = members.join(signatures, "_key")
-    likely = scratch.keep(likely_members(_block_pairs(signed, "signature", BLOCK_MEMBERS, F.lit(1), scratch),
+    likely = scratch.keep(likely_members(_block_pairs(members.join(signatures, "_key"), "signature", BLOCK_MEMBERS, F.lit(1), scratch),
                                          tuning.least))
-    scratch.release()
     sets = _sets(texts, likely.select("_key"), scratch, width)
     whole = members.join(likely, ["centre", "_key"]).join(sets, "_key")
     more = scratch.keep(exact_links(
         _block_pairs(whole, "shingles", BLOCK_SHINGLES, F.size("shingles"), scratch), tuning.percent))
-    scratch.release()
     star = comps.select(F.col("node").alias("u"), F.col("component").alias("v")).where("u <> v")
     return comps if more.isEmpty() else scratch.keep(components(star.unionByName(more), scratch))
 
@@ -293,14 +327,19 @@ def _classify(rows: DataFrame, percent: int, width: int) -> DataFrame:
     described = scratch.keep(describe(rows, width, tuning))
     classes = scratch.keep(described.where("words_hash is not null").groupBy("words_hash").agg(
         F.min("_key").alias("rep"), F.count("*").alias("copies")))
-    reps = described.join(classes.select(F.col("rep").alias("_key")), "_key", "left_semi").select(
-        "_key", "buckets", "signature")
-    comps = link_classes(reps, rows, scratch, tuning, width)
+    reps = scratch.keep(described.join(classes.select(F.col("rep").alias("_key")), "_key", "left_semi").select(
+        "_key", "buckets", "signature"))
+    found = scratch.keep(described.select("_key", "n_shingles", "words_hash"))
+    scratch.drop(described)
+    met = members_of_buckets(reps, scratch)
+    signed = scratch.keep(reps.select("_key", "signature"))
+    scratch.drop(reps)
+    comps = link_classes(met, signed, rows, scratch, tuning, width)
     of_class = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
         "words_hash", F.coalesce("component", "rep").alias("component"), "rep", "copies")
     # only classes that say more than the row itself does
     of_class = scratch.keep(of_class.where("copies > 1 or component <> rep").select("words_hash", "component"))
-    out = described.select("_key", "n_shingles", "words_hash").join(of_class, "words_hash", "left")
+    out = found.join(of_class, "words_hash", "left")
     return out.select("_key", "n_shingles", F.coalesce("component", "_key").alias("component"))
 
 
