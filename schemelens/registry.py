@@ -45,15 +45,12 @@ def load_all() -> dict[str, Job]:
     # importing the modules fills JOBS
     import schemelens.plans.views  # noqa: F401
     import schemelens.plans.reports  # noqa: F401
-    for mod in ("schemelens.sources.jobs", "schemelens.plans.rule_jobs", "schemelens.operators.quality", "schemelens.operators.cohorts",
+    for mod in ("schemelens.sources.jobs", "schemelens.plans.rule_jobs", "schemelens.plans.population",
+                "schemelens.operators.quality", "schemelens.operators.cohorts",
                 "schemelens.operators.payments", "schemelens.operators.intake",
                 "schemelens.operators.allocation", "schemelens.operators.decisions",
                 "schemelens.operators.triggers", "schemelens.streaming.jobs"):
-        try:
-            __import__(mod)
-        except ModuleNotFoundError as e:
-            if e.name != mod:
-                raise
+        __import__(mod)
     return JOBS
 
 
