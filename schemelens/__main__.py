@@ -2,6 +2,7 @@
 
     python -m schemelens load --source /data/driver --warehouse /shared/wh [--buckets N]
     python -m schemelens run q24_officer_dashboard --warehouse /shared/wh --out /shared/reports/q24
+    python -m schemelens pay --warehouse /shared/wh --batch 2001-08-15
     python -m schemelens list
 
 On a cluster submit the same module (``spark-submit --py-files schemelens.zip``);
@@ -26,6 +27,9 @@ def main(argv: list[str] | None = None) -> int:
     rn.add_argument("--warehouse", help="stored tables (from `load`)")
     rn.add_argument("--source", help="driver parquet folder (tables derived on the fly; also the stream source)")
     rn.add_argument("--out", required=True)
+    py = sub.add_parser("pay", help="append the payment run's rows to the stored payments and bring the pools up to date")
+    py.add_argument("--warehouse", required=True)
+    py.add_argument("--batch", required=True, help="id of the run; a run that was stored already is not made again")
     sub.add_parser("list", help="list the registered jobs")
     args = ap.parse_args(argv)
 
@@ -43,6 +47,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "load":
         Catalog.from_testdata(spark, args.source).materialize(args.warehouse, buckets=args.buckets or None)
         return 0
+    if args.cmd == "pay":
+        from schemelens.operators.ledger import run_payments
+        print(run_payments(Catalog.from_warehouse(spark, args.warehouse), args.batch))
+        return 0
     if args.job not in jobs:
         print(f"unknown job {args.job}; see `list`", file=sys.stderr)
         return 2

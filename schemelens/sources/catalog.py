@@ -14,12 +14,14 @@ count the rows once (memoised) and hint a broadcast only if the count is under
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemelens.sources import fixtures
+from schemelens.sources import fixtures, manifest, sinks
 from schemelens.sources.schemas import SCHEMAS, SOURCE_SCHEMAS, SOURCE_TABLES
 
 BROADCAST_MAX_ROWS = 200_000
@@ -44,6 +46,7 @@ class Catalog:
         self.label = label
         self.source_dir = source_dir  # driver parquet folder (change-event sources for streams)
         self.broadcast_max_rows = BROADCAST_MAX_ROWS
+        self.warehouse: str | None = None  # folder of the stored tables
         self.shared: list[DataFrame] = []
         self._counts: dict[str, int] = {}
 
@@ -93,12 +96,32 @@ class Catalog:
 
     @classmethod
     def from_warehouse(cls, spark: SparkSession, path: str, source_dir: str | None = None) -> "Catalog":
-        frames = {}
-        for name in sorted(os.listdir(path)):
-            full = os.path.join(path, name)
-            if os.path.isdir(full) and not name.startswith((".", "_")):
-                frames[name] = spark.read.parquet(full)
-        return cls(spark, frames, label=path, source_dir=source_dir)
+        """Open stored tables: every folder with a manifest, on any file system that Spark reads.
+
+        Tables are read with their declared schemas (others with the one they
+        were stored with).
+        """
+        cat = cls(spark, {}, label=path, source_dir=source_dir)
+        cat.warehouse = path.rstrip("/")
+        for name in manifest.Folder(spark, path).names(folders=True):
+            if not name.startswith((".", "_")):
+                cat.refresh(name)
+        return cat
+
+    def refresh(self, name: str) -> None:
+        """Read the stored table ``name`` as it is now."""
+        at = f"{self.warehouse}/{name}"
+        now = manifest.current(self.spark, at)
+        if now is not None:
+            self.frames[name] = manifest.read(self.spark, at, now, SCHEMAS.get(name))
+            self._counts.clear()
+
+    def append(self, name: str, rows: DataFrame, batch_id: str) -> None:
+        """Insert ``rows`` into the stored table as one batch, once whatever the number of tries; later jobs see them."""
+        if self.warehouse is None:
+            raise ValueError("rows are appended to stored tables: open the catalog with from_warehouse")
+        sinks.append_rows(_conform(rows, name), f"{self.warehouse}/{name}", batch_id)
+        self.refresh(name)
 
     def materialize(self, path: str, tables: list[str] | None = None, buckets: int | None = None) -> "Catalog":
         """Write tables as parquet under ``path`` (a shared folder) and reopen.
@@ -112,6 +135,8 @@ class Catalog:
         """
         from concurrent.futures import ThreadPoolExecutor
 
+        from schemelens.operators import ledger
+
         names = tables or self.names()
         db = None
         if buckets:
@@ -121,13 +146,16 @@ class Catalog:
         def write(name: str) -> None:
             df = self.frames[name]
             key = CLUSTER_KEYS.get(name)
+            at = f"{path.rstrip('/')}/{name}"
             if buckets and key:
-                (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-                 .option("path", os.path.join(path, name)).saveAsTable(f"{db}.{name}"))
+                folder = f"load-{uuid.uuid4().hex}"
+                (df.write.bucketBy(buckets, key).sortBy(key).option("path", f"{at}/batches/{folder}")
+                 .mode("overwrite").saveAsTable(f"{db}.{name}"))
+                manifest.commit(self.spark, at, lambda now: manifest.Manifest(0, json.loads(df.schema.json()), {"load": folder}))
                 return
             if key:
                 df = df.sortWithinPartitions(key)
-            df.write.mode("overwrite").parquet(os.path.join(path, name))
+            sinks.load_rows(df, at)
 
         # intermediates read by several tables are cached for the duration of the
         # writes (the cache matches plan subtrees, so every dependent reuses them);
@@ -141,6 +169,8 @@ class Catalog:
         finally:
             for df in self.shared:
                 df.unpersist()
+        if {"pool", "disbursement"} <= set(names):
+            ledger.mark_applied(self.spark, path)  # the stored pool totals include the stored payments
         cat = Catalog.from_warehouse(self.spark, path, source_dir=self.source_dir)
         if buckets:
             for name in names:
