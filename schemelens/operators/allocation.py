@@ -7,21 +7,22 @@ is one cumulative window per scheme.
 
 ``a01`` is the modelled behaviour: each claim is checked against the budget
 left at its turn, granted if it fits, otherwise skipped; a smaller later claim
-may still fit.  Exact set-based algorithm in rounds:
-
-  running total over the undecided claims; every claim before the first
-  overflow is granted; with ``rest`` = budget left at the first overflowing
-  claim, that claim and every later claim larger than ``rest`` are refused
-  (the budget only shrinks); the remaining later claims (all <= rest) form the
-  next round with budget ``rest``.
-
-Each round decides at least the first overflowing claim of every scheme that
-has one and every claim of its amount, so the rounds end when no claim is left
-undecided (at most one round per distinct amount); a round without progress is
-an error, never a cut.  The undecided residue is checkpointed to the shared
-checkpoint folder every round (lineage stays short; a lost executor recomputes
-from the last checkpoint).  The running totals are per scheme, and few schemes
-hold all claims, so they use the skew-safe ``ordered.running_sum``.
+may still fit.  So a queue goes through phases: while all claims not above the
+budget at the phase's start fit, all of those are granted; the first that does
+not fit (an overflow) ends the phase.
+
+Overflows are found from totals instead of rows.  The queue of all schemes is
+cut into ordered pieces (``ordered.in_pieces``); their totals per (scheme, piece,
+amount), summed along the pieces, are a prefix-sum table in which the piece of
+the next overflow is a binary search.  The pieces before it need no more than the
+budget at their start.  Only the piece with the overflow is read, and walked
+claim by claim to the budget at its end; then the search goes on behind it.  A
+scheme has at most one overflow for each distinct amount, so the rounds end.  In
+the end every claim is decided by the budget at its piece's start, in one pass.
+
+The totals of one scheme are one group: at most pieces x distinct amounts rows,
+whatever the number of claims.  A walked piece is one group too, a range
+partition's size.  Nothing else depends on how claims are spread over schemes.
 """
 
 from __future__ import annotations
@@ -29,65 +30,123 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import checkpoint_table
 from schemelens.operators import ordered
+from schemelens.operators.ordered import PIECE
 from schemelens.plans.views import PENDING
 from schemelens.registry import register
 from schemelens.sources.catalog import BROADCAST_MAX_ROWS
 
 
+#: Stands for the budget of a key that has none (NULL refuses no claim).
+UNBOUNDED = 1 << 62
+
+
 def allocate(claims: DataFrame, budgets: DataFrame, key: str, id_col: str, amount: str,
              order: Sequence[Column], catalog=None) -> DataFrame:
     """Greedy skip-if-it-does-not-fit allocation per ``key``.
 
-    claims  : id_col, key, amount, and the columns used by ``order``
+    claims  : id_col, key, amount (not negative), and the columns used by ``order``
     budgets : key, _rem (budget available before the first claim)
     order   : ascending column expressions defining the queue (must be unique)
-    Returns (id_col, key, amount, granted boolean, alloc_round int).
+    Returns (id_col, key, amount, granted boolean, alloc_round int); the round is
+    the phase of the queue in which the claim was decided, 0 without an amount.
     """
-    order = list(order)
-    ok = struct_of(order)
-    # the per-round "first overflow" table has at most one row per budget key:
-    # its size bound is the budget table's row count, checked once here
-    small_first = budgets.count() <= getattr(catalog, "broadcast_max_rows", BROADCAST_MAX_ROWS)
-    base = claims.withColumn("_ok", ok).join(F.broadcast(budgets) if small_first else budgets, key)
+    small = budgets.count() <= getattr(catalog, "broadcast_max_rows", BROADCAST_MAX_ROWS)
+    own = [id_col, key, amount]
+    base = claims.join(F.broadcast(budgets) if small else budgets, key)
     unfundable = base.filter(F.col(amount).isNull()).select(
-        id_col, key, amount, F.lit(False).alias("granted"), F.lit(0).alias("alloc_round"))
-    # dealt out once; the claims of later rounds are subsets and stay in their pieces
-    residue = ordered.in_pieces(base.filter(F.col(amount).isNotNull()), key, order)
-    decided: list[DataFrame] = [unfundable]
-    rnd, left = 0, None
+        *own, F.lit(False).alias("granted"), F.lit(0).alias("alloc_round"))
+    exact = claims.schema[amount].dataType
+    unit = 10 ** getattr(exact, "scale", 0)
+    units = lambda c: (F.col(c) * F.lit(unit)).cast("long")
+    rows = ordered.in_pieces(base.filter(F.col(amount).isNotNull()).withColumn("_a", units(amount)), key, order,
+                             position="_pos").select(*own, "_a", "_pos", PIECE)
+    totals = checkpoint_table(rows.groupBy(key, PIECE, "_a").agg(F.sum("_a").alias("_total")))
+    state = budgets.select(key, F.lit(-1).alias("_done"), F.lit(1).alias("_phase"), F.coalesce(
+        F.floor(F.col("_rem") * unit).cast("long"), F.lit(UNBOUNDED)).alias("_left"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    entry = f"`{key}` {kinds[key]}, {PIECE} int, _left long, _phase int, _over boolean"
+    walked_as = ", ".join(f"`{c}` {kinds[c]}" for c in own) + f", granted boolean, alloc_round int, {PIECE} int, _left long, _phase int"
+    decided = [unfundable]
+    entries = []
     while True:
-        rnd += 1
-        x = ordered.running_sum(residue, key, order, amount, "_cum")
-        first = (x.filter(F.col("_cum") > F.col("_rem")).groupBy(key)
-                 .agg(F.min(F.struct(F.col("_ok").alias("o"), F.col("_cum").alias("c"), F.col(amount).alias("a"),
-                                     F.col("_rem").alias("r"))).alias("_f"))
-                 .select(key, F.col("_f.o").alias("_fo"),
-                         (F.col("_f.r") - (F.col("_f.c") - F.col("_f.a"))).alias("_rest")))
-        y = x.join(F.broadcast(first) if small_first else first, key, "left")
-        granted = F.col("_fo").isNull() | (F.col("_ok") < F.col("_fo"))
-        refused = (F.col("_ok") == F.col("_fo")) | (F.col(amount) > F.col("_rest"))
-        y = y.withColumn("_state", F.when(granted, "G").when(refused, "R").otherwise("U"))
-        y = checkpoint_table(y.drop("_cum"))
-        decided.append(y.filter(F.col("_state") != "U").select(
-            id_col, key, amount, (F.col("_state") == "G").alias("granted"), F.lit(rnd).alias("alloc_round")))
-        residue = y.filter(F.col("_state") == "U").withColumn("_rem", F.col("_rest")).drop(
-            "_fo", "_rest", "_state")
-        before, left = left, residue.count()
-        if not left:
+        ahead = totals.join(state, key).where(F.col(PIECE) > F.col("_done"))
+        found = checkpoint_table(ahead.groupBy(key).applyInArrow(_entries(key), entry))
+        entries.append(found.where(~F.col("_over")))
+        over = found.where("_over")
+        # numbers of pieces that hold an overflow: at most one a partition
+        pieces = [r[0] for r in over.select(PIECE).distinct().collect()]
+        if not pieces:
             break
-        if before is not None and left >= before:
-            raise RuntimeError(f"allocation made no progress: {left} claims undecided after round {rnd}")
+        at = rows.where(F.col(PIECE).isin(pieces)).join(F.broadcast(over) if small else over, [key, PIECE])
+        walked = checkpoint_table(at.groupBy(key, PIECE).applyInArrow(_walk(own), walked_as))
+        decided.append(walked.select(*own, "granted", "alloc_round"))
+        state = walked.groupBy(key).agg(F.max(PIECE).alias("_done"), F.max("_left").alias("_left"),
+                                        F.max("_phase").alias("_phase"))
+    plain = reduce(lambda a, b: a.unionByName(b), entries)
+    # fewer rows than budgets and pieces together
+    plain = rows.join(F.broadcast(plain) if small else plain, [key, PIECE])
+    decided.append(plain.select(*own, (F.col("_a") <= F.col("_left")).alias("granted"), F.col("_phase").alias("alloc_round")))
     return reduce(lambda a, b: a.unionByName(b), decided)
 
 
-def struct_of(cols: Sequence[Column]) -> Column:
-    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)])
+def _entries(key: str):
+    """From the totals of one key, the budget at the start of each piece up to the next one with an overflow."""
+    def run(table: pa.Table) -> pa.Table:
+        piece, amount, total = (table[c].to_numpy() for c in (PIECE, "_a", "_total"))
+        left, phase = table["_left"][0].as_py(), table["_phase"][0].as_py()
+        if (amount < 0).any():
+            raise ValueError("negative amounts cannot be allocated")
+        pieces, at = np.unique(piece, return_inverse=True)
+        fits = amount <= left
+        spent = np.cumsum(_sums(at[fits], total[fits], len(pieces)))
+        stop = int(np.searchsorted(spent, left, side="right"))  # the first piece whose running total exceeds the budget
+        if left < 0:
+            stop = len(pieces)  # nothing fits, nothing overflows
+        n = min(stop + 1, len(pieces))
+        start = left - np.concatenate(([0], spent[:n - 1]))
+        return pa.table({key: table[key].slice(0, 1).take(pa.array([0] * n)), PIECE: pa.array(pieces[:n], pa.int32()),
+                         "_left": pa.array(start, pa.int64()), "_phase": pa.array([phase] * n, pa.int32()),
+                         "_over": pa.array(np.arange(n) == stop)})
+    return run
+
+
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Exact sums of 64-bit ``values`` by position."""
+    out = np.zeros(n, np.int64)
+    np.add.at(out, at, values)
+    return out
+
+
+def _walk(own: list[str]):
+    """Decide the claims of one piece in order, phase by phase."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_pos")
+        amount = table["_a"].to_numpy()
+        left, phase = table["_left"][0].as_py(), table["_phase"][0].as_py()
+        granted, phases = np.zeros(len(amount), bool), np.zeros(len(amount), np.int32)
+        at = 0
+        while at < len(amount):
+            fits = amount[at:] <= left
+            spent = np.cumsum(np.where(fits, amount[at:], 0))
+            n = int(np.searchsorted(spent, left, side="right")) if fits.any() else len(spent)
+            granted[at:at + n] = fits[:n]
+            phases[at:] = phase
+            left -= int(spent[n - 1]) if n else 0
+            at += n
+            phase += at < len(amount)
+        size = len(amount)
+        return pa.table({c: table[c] for c in own} | {
+            "granted": pa.array(granted), "alloc_round": pa.array(phases), PIECE: table[PIECE],
+            "_left": pa.array([left] * size, pa.int64()), "_phase": pa.array([phase] * size, pa.int32())})
+    return run
 
 
 def queue_claims(cat) -> tuple[DataFrame, DataFrame]:

@@ -35,11 +35,16 @@ def _ordcols(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def in_pieces(df: DataFrame, key: str, order: Sequence, pieces: int | None = None) -> DataFrame:
-    """``df`` with its piece number, written once; pieces follow one another in (key, order)."""
+def in_pieces(df: DataFrame, key: str, order: Sequence, pieces: int | None = None, position: str | None = None) -> DataFrame:
+    """``df`` with its piece number, written once; pieces follow one another in (key, order).
+
+    ``position`` names a column for numbers that rise along (key, order).
+    """
     n = PIECES if pieces is None else pieces
     by = [F.col(key), *_ordcols(order)]
     dealt = df.repartitionByRange(n, *by) if n else df.repartitionByRange(*by)
+    if position:
+        dealt = dealt.sortWithinPartitions(*by).withColumn(position, F.monotonically_increasing_id())
     return checkpoint_table(dealt.withColumn(PIECE, F.spark_partition_id()))
 
 

@@ -41,6 +41,27 @@ def test_allocate_random_many_rounds(spark):
     assert max(r.alloc_round for r in rows) > 2  # several rounds exercised
 
 
+def test_allocate_hot_queue_in_many_pieces(spark, monkeypatch):
+    """One key with most claims, cut into pieces; overflows in several of them, negative, huge and missing budgets."""
+    from schemelens.operators import ordered
+    monkeypatch.setattr(ordered, "PIECES", 40)
+    rnd = random.Random(11)
+    budgets = {"hot": D("9000.50"), "none": D("-5"), "rich": D("1000000000"), "even": D("30"), "open": None}
+    amounts = [D(x) for x in ("0.01", "0.50", "3", "17.25", "400", "2500.75", "0")]
+    claims = []
+    for i in range(4000):
+        k = rnd.choice(["hot"] * 12 + ["none", "rich", "even", "open", "unknown"])
+        # large claims come late, so that the budget runs short again and again
+        claims.append((i, k, None if rnd.random() < 0.01 else rnd.choice(amounts[:3 + i * 5 // 4000])))
+    got = allocate(spark.createDataFrame(claims, "id long, k string, amount decimal(12,2)"),
+                   spark.createDataFrame(list(budgets.items()), "k string, _rem decimal(15,2)"),
+                   "k", "id", "amount", [F.col("id")]).collect()
+    exp = greedy([c for c in claims if c[1] != "open"], {k: b for k, b in budgets.items() if b is not None})
+    exp |= {i: a is not None for i, k, a in claims if k == "open"}
+    assert {r.id: r.granted for r in got} == exp and len(got) == len(exp)
+    assert max(r.alloc_round for r in got if r.k == "hot") > 2
+
+
 def test_a01_matches_greedy_on_fixture(cat01):
     claims, budgets = queue_claims(cat01)
     rem = {r.scheme_id: r._rem for r in budgets.collect()}
