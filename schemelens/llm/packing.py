@@ -309,9 +309,10 @@ class _Block:
 
 
 def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-         capacity: int = CAPACITY, closing_id: int = CLOSING_ID) -> DataFrame:
+         capacity: int = CAPACITY, closing_id: int = CLOSING_ID, memory: int = MEMORY) -> DataFrame:
     """One row per piece: id, start, length, doc_tokens, sequence_id, offset and ids
-    (the piece's token ids as little-endian unsigned 32-bit numbers)."""
+    (the piece's token ids as little-endian unsigned 32-bit numbers).  ``memory`` bounds
+    the bytes of word parts that a worker process remembers."""
     rows = df.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema[0].dataType.simpleString()
     closing = np.array([closing_id], "<u4").tobytes()
@@ -319,7 +320,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
     def run(batches):
         task = TaskContext.get()
         seq = (task.partitionId() if task else 0) << 33
-        tokens = word_tokens(tokenizer)
+        tokens = word_tokens(tokenizer, memory)
         block = _Block(capacity)
         for batch in batches:
             arrow_id = batch.schema.field(0).type
