@@ -2,6 +2,12 @@
 
 Every stage takes all rows that its predecessor left and returns the columns
 of ``documents``; the last returns pieces of packed sequences.
+
+Results on odd input: null and empty texts fail the rules and go; a null source
+belongs to no host; of rows that repeat a text one stays, also where they repeat
+an id or have none, and distinct texts under one id stay distinct; texts of any
+length are read whole; columns beside those of ``documents`` are left out; empty
+tables pass through every stage and give no pieces.
 """
 
 from __future__ import annotations
@@ -13,6 +19,8 @@ from pyspark.sql import functions as F
 from schemelens.llm import minhash_dedup, packing, pii, quality_rules, suffix_dedup
 from schemelens.llm.common import Scratch
 
+#: Bytes of word parts that a worker keeps while it packs; earlier stages leave less room than packing alone has.
+WORD_MEMORY = 48 << 20
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -42,7 +50,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), memory=WORD_MEMORY)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("repeats", repeats), ("private", private),
