@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -50,8 +51,18 @@ class Scratch:
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Let the system have the memory that Arrow and the C library hold free: worker processes serve many tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim:  # glibc
+        _trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with ``fn`` called per bounded slice of rows; workers give Arrow's free memory back after each batch."""
+    """``mapInArrow`` with ``fn`` called per bounded slice of rows; workers give free memory back after each batch."""
     text_at = [i for i, f in enumerate(df.schema.fields) if f.dataType.typeName() in ("string", "binary", "array")]
 
     def run(batches):
@@ -59,7 +70,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
             for part in slices(batch, text_at):
                 yield from fn(part)
             batch = part = None
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemelens.llm.common import slices
+from schemelens.llm.common import give_back, slices
 
 CAPACITY = 4096
 CLOSING_ID = 2
@@ -322,15 +322,18 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
         seq = (task.partitionId() if task else 0) << 33
         tokens = word_tokens(tokenizer, memory)
         block = _Block(capacity)
+        give_back()
         for batch in batches:
             arrow_id = batch.schema.field(0).type
-            for part in slices(batch, [1], 1 << 22):
+            for part in slices(batch, [1], 1 << 20):
                 for doc_id, ids in zip(part.column(0).to_pylist(), tokens.ids(part.column(1))):
                     block.add(doc_id, ids + closing)
                     if block.full():
                         out, seq = block.pieces(seq)
                         yield _to_arrow(out, arrow_id, id_col)
-                        block = _Block(capacity)
+                        block, out = _Block(capacity), None
+            batch = part = None
+            give_back()
         if block.docs:
             out, seq = block.pieces(seq)
             yield _to_arrow(out, arrow_id, id_col)
