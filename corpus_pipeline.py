@@ -20,7 +20,7 @@ from schemelens.llm import minhash_dedup, packing, pii, quality_rules, suffix_de
 from schemelens.llm.common import Scratch
 
 #: Bytes of word parts that a worker keeps while it packs; earlier stages leave less room than packing alone has.
-WORD_MEMORY = 48 << 20
+WORD_MEMORY = 16 << 20
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
