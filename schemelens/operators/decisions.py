@@ -9,10 +9,13 @@ returns each request's outcome without a sequential loop:
 1. Static checks per request: application exists, initial status pending,
    officer NULL or known, action APPROVE / REJECT (case-insensitive), and for
    APPROVE a pool row, a positive benefit and no stored payment.
-2. Per application the first valid REJECT (tR) and first valid APPROVE (tA).
-   tR before tA: the rejection is terminal.  Otherwise tA is a claim on the
-   scheme pool; repeated approvals cannot succeed later (the budget only
-   shrinks and the benefit is the same), so tA is the only claim.
+2. An application is a state machine that starts open: a valid REJECT takes it
+   to rejected, a valid APPROVE to claimed, and it stays there.  The state
+   before each request is a running state over pieces of the requests
+   (``ordered.running_state``), so an application with most of the requests is
+   many pieces.  A valid APPROVE that finds its application open is a claim on
+   the scheme pool; repeated approvals cannot succeed later (the budget only
+   shrinks and the benefit is the same), so it is the application's only claim.
 3. Claims are allocated per scheme in request order with the exact greedy
    allocation of ``allocation.allocate``.  A granted claim is terminal;
    a refused one leaves tR (if any) as terminal.
@@ -35,76 +38,67 @@ from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import cat as ocat
-from schemelens.functions.semantics import checkpoint_table, oracle_num, padded_id, time_id_key
+from schemelens.functions.semantics import oracle_num, padded_id
 from schemelens.operators import ordered
 from schemelens.operators.allocation import allocate
+from schemelens.operators.intake import join_pairs
 from schemelens.plans.views import PENDING
 from schemelens.registry import register
 
 REJECT_REASON = "Rejected during officer review"
+REJECTED, DISBURSED = "REJECTED", "DISBURSED"  # the states a decision leads to
 
 
 def _ord() -> list:
     return [F.col("requested_at"), F.col("request_id")]
 
 
-def decide_batch(decisions: DataFrame, cat) -> DataFrame:
+def requested_applications(decisions: DataFrame, cat) -> DataFrame:
+    """One row per requested application that is stored: what the checks need of it, its pool and its benefit."""
     app = cat["application"].select("application_id", "citizen_id", "scheme_id",
                                     F.col("status").alias("init_status"), F.lit(True).alias("_app"))
-    officers = cat.dim("officer").select("officer_id", F.lit(True).alias("_off"))
     pool = cat.dim("pool").select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem0"),
                                   F.lit(True).alias("_pool"))
     paid = cat["disbursement"].select("application_id").distinct().withColumn("_paid", F.lit(True))
-    r = (decisions.select("request_id", "application_id", "officer_id", "action", "requested_at",
-                          F.nullif(F.col("remarks"), F.lit("")).alias("_remarks"))
-         .join(app, "application_id", "left").join(officers, "officer_id", "left")
-         .join(paid, "application_id", "left").join(pool, "scheme_id", "left"))
-    r = R.rule_inputs(r, cat, need_rules=False).withColumn("benefit", R.benefit_amount())
+    asked = decisions.select("application_id").distinct()
+    apps = app.join(asked, "application_id").join(paid, "application_id", "left").join(pool, "scheme_id", "left")
+    return R.rule_inputs(apps, cat, need_rules=False).select(
+        "application_id", "scheme_id", "init_status", "_app", "_paid", "_rem0", "_pool", R.benefit_amount().alias("benefit"))
+
+
+def decide_batch(decisions: DataFrame, cat) -> DataFrame:
+    officers = cat.dim("officer").select("officer_id", F.lit(True).alias("_off"))
     act = F.upper(F.col("action"))
+    r = decisions.select("request_id", "application_id", "officer_id", "action", "requested_at",
+                         F.nullif(F.col("remarks"), F.lit("")).alias("_remarks"))
+    r = join_pairs(r, requested_applications(decisions, cat), ("application_id",)).join(officers, "officer_id", "left")
     r = (r.withColumn("_act", act)
          .withColumn("_pend", F.coalesce(F.col("init_status").isin(*PENDING), F.lit(True)))
          .withColumn("_officer_ok", F.col("officer_id").isNull() | F.col("_off").isNotNull())
          .withColumn("_base_ok", F.col("_app").isNotNull() & F.col("_pend") & F.col("_officer_ok")
                      & F.coalesce(act.isin("APPROVE", "REJECT"), F.lit(False)))
-         .withColumn("_valid_reject", F.col("_base_ok") & (act == "REJECT"))
-         .withColumn("_valid_approve", F.col("_base_ok") & (act == "APPROVE") & F.col("_pool").isNotNull()
-                     & F.coalesce(F.col("benefit") > 0, F.lit(False)) & F.col("_paid").isNull())
-         .withColumn("_key", time_id_key("requested_at", "request_id")))
-    # the enriched requests feed four branches below: write them once (only the
-    # columns used later) to the shared checkpoint folder instead of re-running the joins
-    r = checkpoint_table(r.select(
+         .withColumn("_asks", F.when(~F.col("_base_ok"), None).when(act == "REJECT", F.lit(REJECTED))
+                     .when(F.col("_pool").isNotNull() & (F.col("benefit") > 0) & F.col("_paid").isNull(),
+                           F.lit(DISBURSED))))
+    # the enriched requests feed the branches below: they are written once, in pieces, to the
+    # shared checkpoint folder (only the columns used later)
+    r = ordered.in_pieces(r.select(
         "request_id", "application_id", "officer_id", "action", "requested_at", "scheme_id", "init_status", "_app",
-        "_rem0", "_pool", "benefit", "_act", "_pend", "_officer_ok", "_valid_reject", "_valid_approve", "_key",
-        "_remarks"))
-
-    # first valid REJECT / APPROVE per application (partial aggregation)
-    firsts = (r.filter(F.col("_valid_reject") | F.col("_valid_approve")).groupBy("application_id")
-              .agg(F.min(F.when(F.col("_valid_reject"), F.col("_key"))).alias("_tR"),
-                   F.min(F.when(F.col("_valid_approve"), F.col("_key"))).alias("_tA")))
-    claims = (r.join(firsts, "application_id")
-              .filter(F.col("_valid_approve") & (F.col("_key") == F.col("_tA"))
-                      & (F.col("_tR").isNull() | (F.col("_tA") < F.col("_tR"))))
-              .select("request_id", "application_id", "scheme_id", "requested_at", F.col("benefit").alias("amount")))
+        "_rem0", "_pool", "benefit", "_act", "_pend", "_officer_ok", "_asks", "_remarks"), "application_id", _ord())
+
+    claims = (ordered.running_state(r, "application_id", _ord(), "_asks", "_before")
+              .filter((F.col("_asks") == DISBURSED) & F.col("_before").isNull())
+              .select("request_id", "scheme_id", "requested_at", F.col("benefit").alias("amount")))
     budgets = cat.dim("pool").select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem"))
     alloc = allocate(claims, budgets, "scheme_id", "request_id", "amount", _ord(), catalog=cat)
     grants = alloc.filter("granted").select("request_id", F.lit(True).alias("_granted"))
 
-    # terminal request per application
-    g = claims.join(grants, "request_id").select("application_id", F.lit(True).alias("_tA_ok"))
-    term = (firsts.join(g, "application_id", "left")
-            .select("application_id",
-                    F.when(F.col("_tR").isNotNull() & (F.col("_tA").isNull() | (F.col("_tR") < F.col("_tA"))),
-                           F.col("_tR"))
-                    .when(F.col("_tA_ok").isNotNull(), F.col("_tA"))
-                    .otherwise(F.col("_tR")).alias("_term"),
-                    F.when(F.col("_tR").isNotNull() & (F.col("_tA").isNull() | (F.col("_tR") < F.col("_tA"))),
-                           F.lit("REJECTED"))
-                    .when(F.col("_tA_ok").isNotNull(), F.lit("DISBURSED"))
-                    .when(F.col("_tR").isNotNull(), F.lit("REJECTED")).alias("_term_status")))
-    r = r.join(term, "application_id", "left")
-
-    late = F.col("_term").isNotNull() & (F.col("_key") > F.col("_term"))
-    is_term = F.col("_term").isNotNull() & (F.col("_key") == F.col("_term"))
+    r = r.join(grants, "request_id", "left")
+    move = F.when((F.col("_asks") == REJECTED) | F.col("_granted"), F.col("_asks"))
+    r = ordered.running_state(r.withColumn("_move", move), "application_id", _ord(), "_move", "_before").drop(ordered.PIECE)
+
+    late = F.col("_before").isNotNull()
+    is_term = F.col("_before").isNull() & F.col("_move").isNotNull()
     reach6 = (F.col("_app").isNotNull() & F.col("_pend") & ~late & ~is_term & F.col("_officer_ok")
               & (F.col("_act") == "APPROVE") & F.col("_pool").isNotNull())
 
@@ -131,7 +125,7 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
             .when(F.col("benefit") <= 0, F.lit(-2290))
             .otherwise(F.lit(-1)))
     r = r.withColumn("outcome_code", code)
-    status_now = F.when(~F.col("_pend"), F.col("init_status")).otherwise(F.col("_term_status"))
+    status_now = F.when(~F.col("_pend"), F.col("init_status")).otherwise(F.col("_before"))
     c = F.col("outcome_code")
     msg = (F.when(c == 0, F.when(F.col("_act") == "APPROVE", ocat("Approved. Disbursed Rs.", oracle_num("benefit")))
                   .otherwise(ocat("Application ", F.col("application_id").cast("string"), " rejected.")))
@@ -146,7 +140,7 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
     ok = c == 0
     return r.select(
         "request_id", "application_id", "officer_id", "action", "requested_at", "outcome_code", msg.alias("message"),
-        F.when(ok, F.col("_term_status")).alias("new_status"),
+        F.when(ok, F.col("_move")).alias("new_status"),
         F.when(ok & (F.col("_act") == "APPROVE"), F.col("benefit")).alias("paid_amount"),
         F.when(ok & (F.col("_act") == "REJECT"), F.coalesce("_remarks", F.lit(REJECT_REASON)))
         .alias("rejection_reason"), F.col("_remarks").alias("remarks"))

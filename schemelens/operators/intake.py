@@ -51,15 +51,15 @@ def requested_pairs(requests: DataFrame, application: DataFrame, time_col="reque
             .filter(F.col("_first").isNotNull()))
 
 
-def join_pairs(rows: DataFrame, per_pair: DataFrame) -> DataFrame:
-    """Attach the columns of ``per_pair`` (unique per pair) to all ``rows`` of the pair.
+def join_pairs(rows: DataFrame, per_pair: DataFrame, keys: tuple = PAIR) -> DataFrame:
+    """Attach the columns of ``per_pair`` (unique per pair, or per other ``keys``) to all ``rows`` of the pair.
 
     A NULL-safe join shuffles on its own expressions, so the aggregated side is
     shuffled anew instead of lying in its aggregate's partitions: both sides are
     then plain shuffles, which AQE needs to split a skewed pair."""
-    side = per_pair.withColumnsRenamed({c: f"_pair_{c}" for c in PAIR})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_pair_{c}")) for c in PAIR])
-    return rows.join(side, same, "left").drop(*[f"_pair_{c}" for c in PAIR])
+    side = per_pair.withColumnsRenamed({c: f"_pair_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_pair_{c}")) for c in keys])
+    return rows.join(side, same, "left").drop(*[f"_pair_{c}" for c in keys])
 
 
 def apply_batch(requests: DataFrame, cat) -> DataFrame:

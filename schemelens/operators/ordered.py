@@ -1,4 +1,4 @@
-"""Skew-safe keyed order statistics: running sums and lags per key.
+"""Skew-safe keyed order statistics: running sums, states and lags per key.
 
 ``Window.partitionBy(key)`` puts every row of a key into one task.  When one
 key holds a large share of the rows (a scheme with a third of all claims, one
@@ -95,3 +95,28 @@ def lag(df: DataFrame, key: str, order: Sequence, col: str, out: str, default=No
     value = (F.when(~F.col("_first"), F.col("_lag")).when(F.col("_prev").isNotNull(), F.col("_prev.x"))
              .otherwise(dflt))
     return res.withColumn(out, value).drop("_lag", "_first", "_prev", PIECE)
+
+
+def running_state(df: DataFrame, key: str, order: Sequence, move: str | Column, out: str, pieces: int | None = None) -> DataFrame:
+    """Per key, the state that the strictly earlier rows have led to; NULL while the key is still open.
+
+    The machine starts open and stays where it first goes: ``move`` is the state a
+    row takes an open key to, NULL where the row leaves it open.  Such a row is a
+    map of states (open -> move, any other state -> itself), and maps of this
+    kind compose to one of the same kind: the first move that is not NULL.  So a
+    piece, like a row, is one map, and the carry-in of a piece is the composition
+    of the maps of the pieces before it.  Keys, pieces and ties as in ``running_sum``.
+    """
+    order = list(order)
+    given = PIECE in df.columns
+    base = df.withColumn("_m", F.col(move) if isinstance(move, str) else move)
+    p = base if given else in_pieces(base, key, order, pieces)
+    w = Window.partitionBy(key, PIECE).orderBy(*_ordcols(order)).rowsBetween(Window.unboundedPreceding, -1)
+    local = p.withColumn("_local", F.first("_m", ignorenulls=True).over(w))
+    maps = p.groupBy(key, PIECE).agg(
+        F.min_by(F.col("_m"), F.when(F.col("_m").isNotNull(), F.struct(*_ordcols(order)))).alias("_map"))
+    wk = Window.partitionBy(key).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = maps.withColumn("_in", F.first("_map", ignorenulls=True).over(wk)).filter(F.col("_in").isNotNull())
+    res = _with_carry(local, carry, key, "_in")
+    res = res.withColumn(out, F.coalesce("_in", "_local")).drop("_m", "_local", "_in")
+    return res if given else res.drop(PIECE)

@@ -162,9 +162,9 @@ for _n in ("t02_pool_ledger", "t02b_running_balance"):
 
 
 # ----------------------------------------------------------------- t03b
-def _merged_guard_events(status_event: DataFrame, requests: DataFrame, cat) -> tuple[DataFrame, DataFrame]:
-    """Status changes of stored applications (as +1 / -1 changes of the pair's
-    active count) and insert requests, on one per-pair time line."""
+def _merged_guard_events(status_event: DataFrame, requests: DataFrame, cat) -> DataFrame:
+    """One time line per pair: its stored active applications (kind -1, one row before all others), status
+    changes of stored applications (0; both as changes of the pair's active count) and insert requests (1)."""
     app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("_stored"))
     st = status_event.join(app, "application_id")
     st = ordered.lag(st, "application_id", ["change_date", "event_id"], "new_status", "_old")
@@ -173,13 +173,22 @@ def _merged_guard_events(status_event: DataFrame, requests: DataFrame, cat) -> t
     def act(c):
         return F.when(c != "REJECTED", 1).otherwise(0)
 
-    st = st.select("citizen_id", "scheme_id", F.col("change_date").alias("t"), F.lit(0).alias("kind"),
-                   "event_id", (act(F.col("new_status")) - act(old)).alias("delta"))
-    rq = requests.select("citizen_id", "scheme_id", F.col("requested_at").alias("t"), F.lit(1).alias("kind"),
-                         F.col("request_id").alias("event_id"), F.lit(0).alias("delta"))
-    base = (cat["application"].filter(F.col("status") != "REJECTED").groupBy("citizen_id", "scheme_id")
-            .agg(F.count(F.lit(1)).alias("_base")))
-    return st.unionByName(rq), base
+    def line(df, t, kind, event_id, delta, refs_ok, scheme_name):
+        return df.select("citizen_id", "scheme_id", t.cast("timestamp_ntz").alias("t"), F.lit(kind).alias("kind"),
+                         event_id.cast("bigint").alias("event_id"), delta.cast("bigint").alias("delta"),
+                         refs_ok.cast("boolean").alias("_refs_ok"), scheme_name.cast("string").alias("scheme_name"))
+
+    none = F.lit(None)
+    cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
+    sc = cat.dim("scheme").select("scheme_id", "scheme_name")
+    # a NULL id equals nothing: such applications hold nobody's pair
+    held = (cat["application"].filter(F.col("status") != "REJECTED").dropna(subset=["citizen_id", "scheme_id"])
+            .groupBy("citizen_id", "scheme_id").agg(F.count(F.lit(1)).alias("_n")))
+    rq = requests.join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
+    return (line(held, none, -1, none, F.col("_n"), none, none)
+            .unionByName(line(st, F.col("change_date"), 0, F.col("event_id"), act(F.col("new_status")) - act(old), none, none))
+            .unionByName(line(rq, F.col("requested_at"), 1, F.col("request_id"), F.lit(0),
+                              F.col("_c").isNotNull() & F.col("scheme_name").isNotNull(), F.col("scheme_name"))))
 
 
 def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) -> DataFrame:
@@ -191,29 +200,27 @@ def duplicate_guard_reopen(status_event: DataFrame, requests: DataFrame, cat) ->
     stored (the new SUBMITTED row keeps the pair active from then on: status
     changes refer to stored applications); other inserts fail -20030 while
     the pair is active, or -2291 for unknown references.
+
+    Count and "stored before" are a running sum and a running state over the same
+    pieces of the pairs' time lines; nothing is joined by pair, so a pair with
+    most of the rows is just many pieces.
     """
-    u, base = _merged_guard_events(status_event, requests, cat)
+    order = ["t", "kind", "event_id"]
+    u = _merged_guard_events(status_event, requests, cat)
     u = u.withColumn("_pair", F.concat(*(F.concat(F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit(":")) for c in ("citizen_id", "scheme_id"))))
-    u = ordered.running_sum(u, "_pair", ["t", "kind", "event_id"], "delta", "_seen", inclusive=False)
-    cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
-    sc = cat.dim("scheme").select("scheme_id", "scheme_name")
-    r = (u.filter(F.col("kind") == 1).join(base, ["citizen_id", "scheme_id"], "left")
-         .withColumn("_active", F.coalesce("_base", F.lit(0)) + F.col("_seen"))
-         .join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
-         .withColumn("_refs_ok", F.col("_c").isNotNull() & F.col("scheme_name").isNotNull())
-         .withColumnRenamed("event_id", "request_id").withColumnRenamed("t", "requested_at"))
-    key = time_id_key("requested_at", "request_id")
-    ok = r.filter((F.col("_active") == 0) & F.col("_refs_ok"))
-    first = ok.groupBy("citizen_id", "scheme_id").agg(F.min(key).alias("_first"))
-    r = r.join(first, ["citizen_id", "scheme_id"], "left")
-    code = (F.when(F.col("_first").isNotNull() & (key > F.col("_first")), F.lit(-20030))
-            .when(F.col("_first").isNotNull() & (key == F.col("_first")), F.lit(0))
+    u = ordered.in_pieces(u, "_pair", order)
+    r = ordered.running_sum(u, "_pair", order, "delta", "_active", inclusive=False).filter(F.col("kind") == 1)
+    r = r.withColumn("_move", F.when((F.col("_active") == 0) & F.col("_refs_ok"), F.lit(True)))
+    r = ordered.running_state(r, "_pair", order, "_move", "_stored")
+    code = (F.when(F.col("_stored"), F.lit(-20030))
+            .when(F.col("_move"), F.lit(0))
             .when(F.col("_active") > 0, F.lit(-20030))
             .otherwise(F.lit(-2291)))
     msg = (F.when(code == -20030, F.concat(F.lit(DUPLICATE_MESSAGE), F.col("scheme_name")))
            .when(code == -2291, F.lit("integrity constraint violated - parent key not found"))
            .otherwise(F.lit("INSERTED")))
-    return r.select("request_id", "citizen_id", "scheme_id", code.alias("outcome_code"), msg.alias("message"))
+    return r.select(F.col("event_id").alias("request_id"), "citizen_id", "scheme_id", code.alias("outcome_code"),
+                    msg.alias("message"))
 
 
 GUARD_REOPEN_SQL = """select request_id, citizen_id, scheme_id, code as outcome_code,

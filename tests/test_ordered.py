@@ -81,3 +81,25 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "id long, k long, t long, v long, s string")
     assert ordered.running_sum(df, "k", ["t", "id"], "v", "cum").collect() == []
     assert ordered.lag(df, "k", ["t", "id"], "s", "prev").collect() == []
+
+
+def test_running_state_matches_a_walk(spark):
+    rnd = random.Random(9)
+    rows = [(i, None if i % 50 == 49 else 0 if rnd.random() < 0.6 else rnd.randint(1, 40), rnd.randint(0, 500),
+             rnd.choice("XY") if rnd.random() < (0.0015 if i % 3 else 0.1) else None) for i in range(4000)]
+    rows += [(10_000 + i, 99, i, None) for i in range(300)] + [(11_000, 99, 299, "X"), (11_001, 99, 500, "Y")]  # open over many pieces
+    df = spark.createDataFrame(rows, "id long, k long, t long, s string")
+    exp, state = {}, {}
+    for i, k, t, s in sorted(rows, key=lambda r: (r[2], r[0])):
+        exp[i] = state.get(k)
+        if state.get(k) is None:
+            state[k] = s
+    got = ordered.running_state(df, "k", ["t", "id"], "s", "before", pieces=60)
+    assert got.columns == ["id", "k", "t", "s", "before"]
+    assert {r.id: r.before for r in got.collect()} == exp and len(exp) == len(rows)
+    assert exp[11_001] == "X" and exp[11_000] is None
+    # on given pieces, for some of their rows
+    some = ordered.in_pieces(df, "k", ["t", "id"], 60).filter("id % 2 = 0 or s is not null")
+    got = {r.id: r.before for r in ordered.running_state(some, "k", ["t", "id"], "s", "before").collect()}
+    assert got == {i: b for i, b in exp.items() if i in got} and len(got) < len(exp)
+    assert ordered.running_state(df.limit(0), "k", ["t", "id"], "s", "before").collect() == []
