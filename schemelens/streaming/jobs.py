@@ -2,8 +2,8 @@
 
 Each job reads its change events with ``readStream`` from the driver's files,
 enriches them with stream-static joins against the catalog tables and keeps
-per-key state with ``applyInPandasWithState`` (Arrow batches, one pandas
-frame per key and micro-batch).  State is keyed by the entity that the
+per-key state with ``applyInPandasWithState`` or ``transformWithStateInPandas``
+(Arrow batches, one pandas frame per key and micro-batch).  State is keyed by the entity that the
 modelled trigger serialises on (the application; the (citizen, scheme)
 pair; the scheme), so it is partitioned across the cluster by key and
 checkpointed in the shared checkpoint folder.
@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from schemelens.operators.triggers import CHANGED_BY, DUPLICATE_MESSAGE
 from schemelens.registry import JOBS, register
@@ -98,46 +99,51 @@ def audit_trail_stream(cat, folder: str | None = None) -> DataFrame:
         _audit_step, AUDIT_OUT, "last_status string", "append", GroupStateTimeout.NoTimeout)
 
 
-try:  # transformWithState API (Spark 4): ValueState per application
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+class AuditProcessor(StatefulProcessor):
+    """Keeps the application's last status in a ValueState; emits one audit
+    row per status change in arrival order (event time, then event id).
+    The stored statuses are the initial state, read in the first micro-batch
+    only; a key without state is no stored application and leaves no row."""
 
-    class AuditProcessor(StatefulProcessor):
-        """Keeps the application's last status in a ValueState; emits one audit
-        row per status change in arrival order (event time, then event id)."""
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last_status", "status string")
 
-        def init(self, handle) -> None:
-            self.last = handle.getValueState("last_status", "status string")
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        status = initialState["stored_status"].iloc[0]
+        self.last.update((None if pd.isna(status) else status,))
 
-        def handleInputRows(self, key, rows, timerValues):
-            pdf = pd.concat(list(rows))
-            if pdf.empty:
-                return
-            pdf = pdf.sort_values(["change_date", "event_id"], kind="stable")
-            prev = pdf["new_status"].shift(1)
-            prev.iloc[0] = self.last.get()[0] if self.last.exists() else pdf["stored_status"].iloc[0]
-            self.last.update((str(pdf["new_status"].iloc[-1]),))
-            yield pd.DataFrame({"audit_id": pdf["event_id"].to_numpy(),
-                                "application_id": pdf["application_id"].to_numpy(),
-                                "old_status": prev.to_numpy(), "new_status": pdf["new_status"].to_numpy(),
-                                "changed_by": CHANGED_BY, "change_date": pdf["change_date"].to_numpy()})
+    def handleInputRows(self, key, rows, timerValues):
+        parts = [p for p in rows if len(p)]  # a key with initial state only comes with an empty frame
+        if not parts or not self.last.exists():
+            return
+        pdf = pd.concat(parts).sort_values(["change_date", "event_id"], kind="stable")
+        new = [None if pd.isna(s) else s for s in pdf["new_status"]]
+        old = [self.last.get()[0], *new[:-1]]
+        self.last.update((new[-1],))
+        yield pd.DataFrame({"audit_id": pdf["event_id"].to_numpy(),
+                            "application_id": pdf["application_id"].to_numpy(),
+                            "old_status": pd.Series(old, dtype=object), "new_status": pd.Series(new, dtype=object),
+                            "changed_by": CHANGED_BY, "change_date": pdf["change_date"].to_numpy()})
+
+    def close(self) -> None:
+        pass
 
-        def close(self) -> None:
-            pass
-except ImportError:  # pragma: no cover
-    AuditProcessor = None
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _rocksdb(spark: SparkSession) -> None:
+    """transformWithState needs the RocksDB state store: set only when the session names no such provider."""
+    if "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def audit_trail_stream_tws(cat, folder: str | None = None) -> DataFrame:
-    """t01 with ``transformWithStateInPandas`` (needs the RocksDB state store;
-    set here only when the session names no provider)."""
-    conf = cat.spark.conf
-    if "RocksDB" not in (conf.get("spark.sql.streaming.stateStore.providerClass", "") or ""):
-        conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    ev = status_event_stream(cat, folder).join(_stored(cat), "application_id")
-    return ev.groupBy("application_id").transformWithStateInPandas(
-        AuditProcessor(), AUDIT_OUT, "Append", "None")
+    """t01 with ``transformWithStateInPandas``; the stored statuses are its initial state, so
+    no micro-batch after the first reads the applications."""
+    _rocksdb(cat.spark)
+    return status_event_stream(cat, folder).groupBy("application_id").transformWithStateInPandas(
+        AuditProcessor(), AUDIT_OUT, "Append", "None", initialState=_stored(cat).groupBy("application_id"))
 
 
 def drain(df: DataFrame, name: str) -> DataFrame:
@@ -212,86 +218,96 @@ def s03_duplicate_guard_stream(cat) -> DataFrame:
 
 
 # ----------------------------------------------------------------- t03b
-REOPEN_STATE = "active long, stored boolean, statuses string"
-
-
-def _reopen_step(key, frames, state):
-    import json
-    parts = [p for p in frames]
-    if not parts:
-        return
-    pdf = parts[0] if len(parts) == 1 else pd.concat(parts)
-    if len(pdf) > 1:
-        pdf = pdf.sort_values(["t", "kind", "event_id"], kind="stable")
-    if state.exists:
-        active0, stored, statuses = int(state.get[0]), bool(state.get[1]), state.get[2]
-    else:
-        active0, stored, statuses = int(pdf["_base"].iat[0]), False, ""
-    kind = pdf["kind"].to_numpy()
-    is_st = kind == 0
-    n = len(pdf)
-    delta = np.zeros(n, dtype=np.int64)
-    if is_st.any():
-        known = json.loads(statuses) if statuses else {}
-        st = pdf[is_st]
-        prev = st.groupby("application_id")["new_status"].shift(1)
-        init = st["application_id"].astype(str).map(known).fillna(st["_stored"])
-        old = prev.where(prev.notna(), init)
-        delta[is_st] = ((st["new_status"] != "REJECTED").to_numpy(dtype=np.int64)
-                        - (old != "REJECTED").to_numpy(dtype=np.int64))
-        known.update({str(k): v for k, v in st.groupby("application_id")["new_status"].last().items()})
-        statuses = json.dumps(known)
-    rq = ~is_st
-    if not rq.any():
-        state.update((int(active0 + delta.sum()), stored, statuses))
-        return
-    active_before = active0 + np.concatenate([[0], np.cumsum(delta)[:-1]])
-    codes = np.full(n, -20030, dtype=np.int32)
-    if not stored:
-        ok = rq & (active_before == 0) & pdf["_refs_ok"].to_numpy(dtype=bool)
-        idx = int(np.argmax(ok)) if ok.any() else n
-        codes[(np.arange(n) < idx) & (active_before == 0)] = -2291
-        if idx < n:
-            codes[idx] = 0
-            stored = True
-    state.update((int(active0 + delta.sum()), stored, statuses))
-    c = codes[rq]
-    name = pdf["scheme_name"].to_numpy()[rq]
-    msgs = np.where(c == 0, "INSERTED", np.where(c == -2291, "integrity constraint violated - parent key not found",
-                                                 np.array([DUPLICATE_MESSAGE + str(x) for x in name], dtype=object)))
-    yield pd.DataFrame({"request_id": pdf["event_id"].to_numpy()[rq], "citizen_id": pdf["citizen_id"].to_numpy()[rq],
-                        "scheme_id": pdf["scheme_id"].to_numpy()[rq], "outcome_code": c, "message": msgs})
+class ReopenGuard(StatefulProcessor):
+    """A (citizen, scheme) pair's time line of status changes and inserts.
+
+    ``pair`` holds the count of active stored applications and whether an insert
+    was stored; its initial state comes from the stored applications.  ``statuses``
+    maps an application of the pair to the last status a change gave it, so a
+    change reads and writes its own entry, however many applications the pair has.
+    (Columns of the rows have no leading underscore: later micro-batches would rename them.)
+    """
+
+    def init(self, handle) -> None:
+        self.pair = handle.getValueState("pair", "active long, stored boolean")
+        self.statuses = handle.getMapState("statuses", "application_id long", "status string")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.pair.update((int(initialState["active"].iloc[0]), False))
+
+    def _deltas(self, st):
+        """Changes of the active count by the status changes ``st`` of one micro-batch, in order."""
+        apps, known = st["application_id"].astype("int64").tolist(), {}
+        for a, stored in zip(apps, st["stored_status"]):
+            if a not in known:
+                known[a] = self.statuses.getValue((a,))[0] if self.statuses.containsKey((a,)) else stored
+        out = np.zeros(len(st), dtype=np.int64)
+        for i, (a, new) in enumerate(zip(apps, st["new_status"])):
+            out[i] = int(new != "REJECTED") - int(known[a] != "REJECTED")
+            known[a] = new
+        for a, status in known.items():
+            self.statuses.updateValue((a,), (status,))
+        return out
+
+    def handleInputRows(self, key, rows, timerValues):
+        parts = [p for p in rows if len(p)]  # a key with initial state only comes with an empty frame
+        if not parts:
+            return
+        pdf = pd.concat(parts).sort_values(["t", "kind", "event_id"], kind="stable")
+        active0, stored = self.pair.get() if self.pair.exists() else (0, False)
+        n, rq = len(pdf), pdf["kind"].to_numpy() == 1
+        delta = np.zeros(n, dtype=np.int64)
+        if not rq.all():
+            delta[~rq] = self._deltas(pdf[~rq])
+        active_before = active0 + np.concatenate([[0], np.cumsum(delta)[:-1]])
+        codes = np.full(n, -20030, dtype=np.int32)
+        if not stored:
+            ok = rq & (active_before == 0) & pdf["refs_ok"].to_numpy(dtype=bool)
+            idx = int(np.argmax(ok)) if ok.any() else n
+            codes[(np.arange(n) < idx) & (active_before == 0)] = -2291
+            if idx < n:
+                codes[idx], stored = 0, True
+        self.pair.update((int(active0 + delta.sum()), bool(stored)))
+        if rq.any():
+            c = codes[rq]
+            msgs = np.where(c == 0, "INSERTED",
+                            np.where(c == -2291, "integrity constraint violated - parent key not found",
+                                     np.array([DUPLICATE_MESSAGE + str(x) for x in pdf["scheme_name"].to_numpy()[rq]], dtype=object)))
+            yield pd.DataFrame({"request_id": pdf["event_id"].to_numpy()[rq], "citizen_id": pdf["citizen_id"].to_numpy()[rq],
+                                "scheme_id": pdf["scheme_id"].to_numpy()[rq], "outcome_code": c, "message": msgs})
+
+    def close(self) -> None:
+        pass
 
 
 def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
     """One change stream (the events files) seen both as status changes of
     stored applications and as insert requests, keyed by (citizen, scheme)."""
-    from schemelens.functions import rules as R
     customers = cat.spark.read.parquet(os.path.join(cat.source_dir, "customer.parquet")).count()
     src = _source(cat, "events", folder)
     text = fixtures.TEMPLATES["status_event"]
     status_expr = F.expr(text.split("user_id as application_id, ")[1].split(" as new_status")[0])
-    app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("_stored"))
+    app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("stored_status"))
     st = (src.select("event_id", F.col("user_id").alias("application_id"), status_expr.alias("new_status"),
                      F.col("ts").alias("t"))
           .join(app, "application_id")
           .select("citizen_id", "scheme_id", "t", F.lit(0).alias("kind"), "event_id", "application_id",
-                  "new_status", "_stored"))
+                  "new_status", "stored_status"))
     rq = src.select(((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
                     _requested_scheme(cat).alias("scheme_id"), F.col("ts").alias("t"), F.lit(1).alias("kind"),
                     "event_id", F.lit(None).cast("long").alias("application_id"),
-                    F.lit(None).cast("string").alias("new_status"), F.lit(None).cast("string").alias("_stored"))
-    base = (cat["application"].filter(F.col("status") != "REJECTED").groupBy("citizen_id", "scheme_id")
-            .agg(F.count(F.lit(1)).alias("_base")))
+                    F.lit(None).cast("string").alias("new_status"), F.lit(None).cast("string").alias("stored_status"))
+    held = (cat["application"].filter(F.col("status") != "REJECTED").dropna(subset=["citizen_id", "scheme_id"])
+            .groupBy("citizen_id", "scheme_id").agg(F.count(F.lit(1)).alias("active")))
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
     sc = cat.dim("scheme").select("scheme_id", "scheme_name")
-    u = (st.unionByName(rq).join(base, ["citizen_id", "scheme_id"], "left").join(cz, "citizen_id", "left")
-         .join(sc, "scheme_id", "left")
-         .select("citizen_id", "scheme_id", "t", "kind", "event_id", "application_id", "new_status", "_stored",
-                 F.coalesce("_base", F.lit(0)).alias("_base"), "scheme_name",
-                 (F.col("_c").isNotNull() & F.col("scheme_name").isNotNull()).alias("_refs_ok")))
-    return u.groupBy("citizen_id", "scheme_id").applyInPandasWithState(
-        _reopen_step, GUARD_OUT, REOPEN_STATE, "append", GroupStateTimeout.NoTimeout)
+    u = (st.unionByName(rq).join(cz, "citizen_id", "left").join(sc, "scheme_id", "left")
+         .select("citizen_id", "scheme_id", "t", "kind", "event_id", "application_id", "new_status", "stored_status",
+                 "scheme_name",
+                 (F.col("_c").isNotNull() & F.col("scheme_name").isNotNull()).alias("refs_ok")))
+    _rocksdb(cat.spark)
+    return u.groupBy("citizen_id", "scheme_id").transformWithStateInPandas(
+        ReopenGuard(), GUARD_OUT, "Append", "None", initialState=held.groupBy("citizen_id", "scheme_id"))
 
 
 @register("s03b_duplicate_guard_reopen_stream")
