@@ -6,8 +6,15 @@ time.  Here they become set-based jobs that report violations as rows
 ``(table_name, rule, row_key, value)``.  A CHECK passes on NULL, so only a
 condition that is false is a violation.
 
-Constraint jobs read the catalog with ``citizen`` replaced by
-``citizen_dirty`` (the same rows with injected breaches).
+Where the catalog has ``<table>_dirty`` (the same rows with planted breaches),
+the constraint jobs read it in place of ``<table>``; the parents that foreign
+keys point to are the registered rows.
+
+Keys are checked by reduction.  d02 shuffles eight bytes a key (the number
+itself, or a 64-bit fingerprint of a text), summed in the tasks first; only
+texts whose fingerprint occurs twice are then counted as texts.  d03 shuffles
+distinct references, so a parent named by a third of all rows is one row a
+task; only references without a parent go back to the child rows.
 """
 
 from __future__ import annotations
@@ -17,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from schemelens.functions.semantics import checkpoint_table
 from schemelens.registry import register
 
 # The declared constraints of the modelled schema, restricted to
@@ -95,10 +103,13 @@ DEFAULTS = {
 VIOLATION_COLS = ["table_name", "rule", "row_key", "value"]
 
 
+def _dirty(table: str) -> str:
+    from schemelens.sources.schemas import SCHEMAS
+    return f"{table}_dirty" if f"{table}_dirty" in SCHEMAS else table
+
+
 def _tables(cat) -> dict[str, DataFrame]:
-    t = {n: cat[n] for n in PRIMARY_KEYS}
-    t["citizen"] = cat["citizen_dirty"]
-    return t
+    return {n: cat[f"{n}_dirty"] if f"{n}_dirty" in cat else cat[n] for n in PRIMARY_KEYS}
 
 
 def _explode(table: str, df: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
@@ -137,7 +148,7 @@ def _d01_sql() -> str:
     from schemelens.sources.schemas import SCHEMAS
     parts = []
     for t, cols in NOT_NULL.items():
-        tab = "citizen_dirty" if t == "citizen" else t
+        tab = _dirty(t)
         have = [f.split(" ")[0] for f in SCHEMAS[tab].split(", ")]
         for c in cols:
             if c in have:
@@ -146,33 +157,55 @@ def _d01_sql() -> str:
     return "\nunion all\n".join(parts)
 
 
-@register("d02_unique_keys", oracle=None)
-def d02_unique_keys(cat) -> DataFrame:
-    """Duplicate values of primary keys and UNIQUE columns (NULLs exempt).
+def _key_rule(table: str, col: str) -> str:
+    return ("PRIMARY KEY " if col == PRIMARY_KEYS[table] else "UNIQUE ") + col
+
 
-    Every table contributes its key values as (table, rule, value) rows; one
-    partially aggregated count over the union checks all keys in a single
-    shuffle (a value repeated on a third of the rows is combined map-side).
+def _few(cat, df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it is counted as small; otherwise joined by shuffle."""
+    return F.broadcast(df) if df.count() <= cat.broadcast_max_rows else df
+
+
+def repeated_keys(cat, tables: dict[str, DataFrame]) -> DataFrame:
+    """Values of primary keys and UNIQUE columns that occur on several rows, and how many (NULLs exempt).
+
+    Fingerprints decide only which texts are counted, so texts that share one
+    by chance are told apart by the exact count.
     """
-    parts = []
-    for t, df in _tables(cat).items():
-        cols = _declared(t, df, UNIQUE.get(t, []))
-        if not cols:
-            continue
-        arr = F.array(*[F.struct(F.lit(("PRIMARY KEY " if c == PRIMARY_KEYS[t] else "UNIQUE ") + c).alias("rule"),
-                                 F.col(c).cast("string").alias("v")) for c in cols])
-        parts.append(df.select(F.lit(t).alias("table_name"), F.explode(arr).alias("k"))
-                     .select("table_name", "k.rule", "k.v"))
-    keys = _union(parts).filter(F.col("v").isNotNull())
-    return (keys.groupBy("table_name", "rule", "v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-            .select("table_name", "rule", F.col("v").alias("row_key"), F.col("n").cast("string").alias("value")))
+    keys = [(t, c) for t in tables for c in _declared(t, tables[t], UNIQUE.get(t, []))]
+    text = {(t, c) for t, c in keys if tables[t].schema[c].dataType.simpleString() == "string"}
+    rules = F.create_map(*[x for i, (t, c) in enumerate(keys)
+                           for x in (F.lit(i), F.struct(F.lit(t).alias("t"), F.lit(_key_rule(t, c)).alias("r")))])
+
+    def rows(t: str, cols: list[str]) -> DataFrame:
+        arr = F.array(*[F.struct(F.lit(keys.index((t, c))).alias("k"),
+                                 F.when(F.col(c).isNotNull(), F.xxhash64(c) if (t, c) in text else F.col(c).cast("bigint")).alias("h"),
+                                 (F.col(c) if (t, c) in text else F.lit(None)).cast("string").alias("v")) for c in cols])
+        return tables[t].select(F.explode(arr).alias("x")).select("x.k", "x.h", "x.v").filter(F.col("h").isNotNull())
+
+    every = _union([rows(t, UNIQUE[t]) for t in tables if UNIQUE.get(t)]).select("k", "h")
+    again = checkpoint_table(every.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    numbers = (again.filter(~F.col("k").isin([i for i, kc in enumerate(keys) if kc in text]))
+               .select("k", F.col("h").cast("string").alias("v"), "n"))
+    texts = _union([rows(t, cols) for t in tables if (cols := [c for c in UNIQUE.get(t, []) if (t, c) in text])])
+    texts = (texts.join(_few(cat, again.select("k", "h")), ["k", "h"], "left_semi")
+             .groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return (numbers.unionByName(texts).withColumn("rule", rules[F.col("k")])
+            .select(F.col("rule.t").alias("table_name"), F.col("rule.r").alias("rule"), F.col("v").alias("row_key"),
+                    F.col("n").cast("string").alias("value")))
+
+
+@register("d02_unique_keys", oracle=None)
+def d02_unique_keys(cat) -> DataFrame:
+    """Duplicate values of primary keys and UNIQUE columns (NULLs exempt)."""
+    return repeated_keys(cat, _tables(cat))
 
 
 def _d02_sql() -> str:
     from schemelens.sources.schemas import SCHEMAS
     parts = []
     for t, cols in UNIQUE.items():
-        tab = "citizen_dirty" if t == "citizen" else t
+        tab = _dirty(t)
         have = [f.split(" ")[0] for f in SCHEMAS[tab].split(", ")]
         for c in cols:
             if c not in have:
@@ -183,38 +216,47 @@ def _d02_sql() -> str:
     return "\nunion all\n".join(parts)
 
 
-@register("d03_foreign_keys", oracle=None)
-def d03_foreign_keys(cat) -> DataFrame:
-    """Child rows whose non-NULL reference has no parent row.
+def dangling_references(cat, tables: dict[str, DataFrame]) -> DataFrame:
+    """Child rows whose non-NULL reference names no row of the parent table.
 
-    References are grouped by parent table: the children's references to one
-    parent are unioned and anti-joined once against the parent's distinct keys
-    (broadcast only for size-checked dimensions).
+    Distinct references of all children of one parent are anti-joined once with
+    the parent's keys; child rows are read again only to meet the references
+    found to dangle (broadcast if counted as few, else by a join that AQE splits).
     """
-    tabs = _tables(cat)
-    tabs["citizen"] = cat["citizen"]  # parent side: the registered citizens
-    frames = []
+    lost = []
     for parent in dict.fromkeys(p for _, _, p, _ in FOREIGN_KEYS):
-        refs = [(c, col, pcol) for c, col, p, pcol in FOREIGN_KEYS if p == parent]
-        pcol = refs[0][2]
-        children = _union([
-            tabs[child].filter(F.col(col).isNotNull())
-            .select(F.lit(child).alias("table_name"), F.lit(f"FOREIGN KEY {col} -> {parent}").alias("rule"),
-                    F.col(PRIMARY_KEYS[child]).cast("string").alias("row_key"), F.col(col).cast("bigint").alias("_k"))
-            for child, col, _ in refs])
-        keys = tabs[parent].select(F.col(pcol).cast("bigint").alias("_k")).distinct()
+        refs = [(i, c, col) for i, (c, col, p, _) in enumerate(FOREIGN_KEYS) if p == parent]
+        pcol = next(pc for _, _, p, pc in FOREIGN_KEYS if p == parent)
+        named = _union([tables[c].select(F.lit(i).alias("fk"), F.col(col).cast("bigint").alias("ref")) for i, c, col in refs])
+        parents = cat[parent].select(F.col(pcol).cast("bigint").alias("ref"))
         if parent in ("department", "scheme", "officer"):
-            keys = cat.small(keys, f"fk_{parent}")
-        frames.append(children.join(keys, "_k", "left_anti")
-                      .select("table_name", "rule", "row_key", F.col("_k").cast("string").alias("value")))
+            parents = cat.small(parents, f"fk_{parent}")
+        lost.append(named.filter("ref is not null").distinct().join(parents, "ref", "left_anti").select("fk", "ref"))
+    lost = _few(cat, checkpoint_table(_union(lost)))
+    frames = []
+    for child in dict.fromkeys(c for c, _, _, _ in FOREIGN_KEYS):
+        own = [(i, col, p) for i, (c, col, p, _) in enumerate(FOREIGN_KEYS) if c == child]
+        arr = F.array(*[F.struct(F.lit(i).alias("fk"), F.col(col).cast("bigint").alias("ref"),
+                                 F.lit(f"FOREIGN KEY {col} -> {p}").alias("rule")) for i, col, p in own])
+        rows = (tables[child].select(F.col(PRIMARY_KEYS[child]).alias("id"), F.explode(arr).alias("x"))
+                .select("id", "x.fk", "x.ref", "x.rule").filter("ref is not null"))
+        frames.append(rows.join(lost, ["fk", "ref"], "left_semi").select(
+            F.lit(child).alias("table_name"), "rule", F.col("id").cast("string").alias("row_key"),
+            F.col("ref").cast("string").alias("value")))
     return _union(frames)
 
 
+@register("d03_foreign_keys", oracle=None)
+def d03_foreign_keys(cat) -> DataFrame:
+    """Child rows whose non-NULL reference has no parent row."""
+    return dangling_references(cat, _tables(cat))
+
+
 def _d03_sql() -> str:
     parts = []
     for child, col, parent, pcol in FOREIGN_KEYS:
         parts.append(f"select '{child}' as table_name, 'FOREIGN KEY {col} -> {parent}' as rule, "
-                     f"cast(x.{PRIMARY_KEYS[child]} as varchar) as row_key, cast(x.{col} as varchar) as value from {child} x "
+                     f"cast(x.{PRIMARY_KEYS[child]} as varchar) as row_key, cast(x.{col} as varchar) as value from {_dirty(child)} x "
                      f"where x.{col} is not null and not exists (select 1 from {parent} p where p.{pcol} = x.{col})")
     return "\nunion all\n".join(parts)
 
@@ -269,7 +311,7 @@ def _checks_sql(kind: str) -> str:
     from schemelens.sources.schemas import SCHEMAS
     parts = []
     for t in PRIMARY_KEYS:
-        tab = "citizen_dirty" if t == "citizen" else t
+        tab = _dirty(t)
         have = [f.split(" ")[0] for f in SCHEMAS[tab].split(", ")]
         key = f"cast({PRIMARY_KEYS[t]} as varchar)"
         if kind == "domain":

@@ -104,6 +104,38 @@ select citizen_id, case when citizen_id % 50 = 49 then substr(aadhaar_number,1,1
  cast(case when citizen_id % 53 = 52 then -1 else annual_income end as decimal(12,2)) as annual_income, category, state,
  case when citizen_id % 59 = 58 then null else full_name end as full_name, case when citizen_id % 61 = 60 then 'HILLS' else location_type end as location_type, land_holding_acres, occupation,
  case when citizen_id % 67 = 66 then null when citizen_id % 71 = 70 then 'ACCT000000000000' else bank_account end as bank_account, case when citizen_id % 73 = 72 then '?' else is_verified end as is_verified from {citizen}
+""",
+    "scheme_dirty": """
+select scheme_id, case when scheme_id % 61 = 60 then 'SCHEME_01' else scheme_name end as scheme_name, case when scheme_id % 71 = 70 then null else scheme_code end as scheme_code,
+ case when scheme_id % 41 = 40 then 77 else department_id end as department_id, case when scheme_id % 37 = 36 then 'MICRO' else scheme_type end as scheme_type, base_benefit_amount,
+ cast(case when scheme_id % 43 = 42 then base_benefit_amount - 1 when scheme_id % 47 = 46 then -5 else max_benefit_amount end as decimal(12,2)) as max_benefit_amount,
+ case when scheme_id % 53 = 52 then 'X' else is_active end as is_active from {scheme}
+""",
+    "rules_dirty": """
+select case when scheme_id % 59 = 58 then scheme_id + 1000000000000 when scheme_id % 67 = 66 then null else scheme_id end as scheme_id, min_age, max_age, max_income, min_income, allowed_categories,
+ case when scheme_id % 41 = 40 then 'HILLS' else location_type end as location_type, case when scheme_id % 43 = 42 then '?' else gender_restriction end as gender_restriction, min_land_acres from {rules}
+""",
+    "pool_dirty": """
+select case when scheme_id % 67 = 66 then 3 when scheme_id % 71 = 70 then scheme_id + 1000000000000 else scheme_id end as scheme_id, case when scheme_id % 73 = 72 then null else financial_year end as financial_year,
+ cast(case when scheme_id % 41 = 40 then 0 else total_budget end as decimal(15,2)) as total_budget, cast(case when scheme_id % 43 = 42 then -1 else disbursed_amount end as decimal(15,2)) as disbursed_amount from {pool}
+""",
+    "officer_dirty": """
+select officer_id, case when officer_id % 7 = 6 then null else officer_name end as officer_name, case when officer_id % 5 = 4 then 77 else department_id end as department_id, assigned_state from {officer}
+""",
+    "citizen_document_dirty": """
+select doc_id - case when doc_id % 101 = 100 then 1 else 0 end as doc_id, case when doc_id % 97 = 96 then citizen_id + 1000000000000 when doc_id % 103 = 102 then null else citizen_id end as citizen_id,
+ case when doc_id % 89 = 88 then 'PAN' else doc_type end as doc_type, case when doc_id % 83 = 82 then 'LOST' else status end as status, upload_date from {citizen_document}
+""",
+    "application_dirty": """
+select application_id - case when application_id % 211 = 210 then 1 else 0 end as application_id,
+ case when application_id % 97 = 96 then citizen_id + 1000000000000 when application_id % 127 = 126 then null else citizen_id end as citizen_id,
+ case when application_id % 101 = 100 then 999999999999 else scheme_id end as scheme_id, case when application_id % 107 = 106 then 1000000000000 + application_id else officer_id end as officer_id,
+ case when application_id % 131 = 130 then null else apply_date end as apply_date, case when application_id % 113 = 112 then 'LOST' else status end as status, approval_date, priority_score, rejection_reason, remarks from {application}
+""",
+    "disbursement_dirty": """
+select disbursement_id, case when application_id % 83 = 82 then application_id + 1000000000000 when application_id % 109 = 108 then application_id - 1 else application_id end as application_id,
+ cast(case when application_id % 79 = 78 then 0 when application_id % 103 = 102 then null else amount end as decimal(12,2)) as amount, disbursement_date, case when application_id % 73 = 72 then 'CASH' else payment_mode end as payment_mode,
+ case when application_id % 89 = 88 then 'LOST' else status end as status, case when application_id % 61 = 60 then 'TXN0' else transaction_ref end as transaction_ref from {disbursement}
 """,
 }
 
@@ -119,4 +151,5 @@ def dependencies(name: str) -> list[str]:
 # Derivation order (each table only reads earlier ones or driver tables).
 ORDER = ["department", "scheme", "rules", "officer", "citizen", "application0", "application_base",
          "benefit", "application", "disbursement", "pool", "citizen_document", "status_event",
-         "application_request", "decision_request", "citizen_dirty"]
+         "application_request", "decision_request", "citizen_dirty", "scheme_dirty", "rules_dirty", "pool_dirty",
+         "officer_dirty", "citizen_document_dirty", "application_dirty", "disbursement_dirty"]

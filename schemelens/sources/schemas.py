@@ -37,6 +37,10 @@ SCHEMAS = {
                       "is_verified string"),
 }
 
+# the same tables with planted breaches
+SCHEMAS |= {f"{t}_dirty": SCHEMAS[t] for t in ("scheme", "rules", "pool", "officer", "citizen_document", "application",
+                                               "disbursement")}
+
 # Base tables of the modelled system (the ones the constraint jobs police).
 BASE_TABLES = ["department", "scheme", "rules", "pool", "officer", "citizen", "citizen_document",
                "application", "disbursement"]
