@@ -22,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     ld.add_argument("--source", required=True)
     ld.add_argument("--warehouse", required=True)
     ld.add_argument("--buckets", type=int, default=0)
+    ld.add_argument("--check", action="store_true", help="count rows that break NOT NULL and CHECK rules in the same pass")
     rn = sub.add_parser("run", help="run one registered job and write its result as parquet")
     rn.add_argument("job")
     rn.add_argument("--warehouse", help="stored tables (from `load`)")
@@ -45,7 +46,10 @@ def main(argv: list[str] | None = None) -> int:
     from schemelens.sources.sinks import write_result
     spark = build_session()
     if args.cmd == "load":
-        Catalog.from_testdata(spark, args.source).materialize(args.warehouse, buckets=args.buckets or None)
+        cat = Catalog.from_testdata(spark, args.source).materialize(args.warehouse, buckets=args.buckets or None, check=args.check)
+        for (table, rule), n in sorted(cat.failed_rules.items()):
+            if n:
+                print(f"{table}: {n} rows break {rule}")
         return 0
     if args.cmd == "pay":
         from schemelens.operators.ledger import run_payments

@@ -46,10 +46,10 @@ def load_all() -> dict[str, Job]:
     import schemelens.plans.views  # noqa: F401
     import schemelens.plans.reports  # noqa: F401
     for mod in ("schemelens.sources.jobs", "schemelens.plans.rule_jobs", "schemelens.plans.population",
-                "schemelens.operators.quality", "schemelens.operators.cohorts",
+                "schemelens.operators.quality", "schemelens.operators.loading", "schemelens.operators.cohorts",
                 "schemelens.operators.payments", "schemelens.operators.intake",
                 "schemelens.operators.allocation", "schemelens.operators.decisions",
-                "schemelens.operators.triggers", "schemelens.streaming.jobs"):
+                "schemelens.operators.triggers", "schemelens.operators.requests", "schemelens.streaming.jobs"):
         __import__(mod)
     return JOBS
 

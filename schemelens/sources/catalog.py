@@ -48,6 +48,8 @@ class Catalog:
         self.broadcast_max_rows = BROADCAST_MAX_ROWS
         self.warehouse: str | None = None  # folder of the stored tables
         self.shared: list[DataFrame] = []
+        #: (table, rule) -> rows that broke it, of a load with ``check``
+        self.failed_rules: dict[tuple[str, str], int] = {}
         self._counts: dict[str, int] = {}
 
     # ------------------------------------------------------------ access
@@ -117,13 +119,20 @@ class Catalog:
             self._counts.clear()
 
     def append(self, name: str, rows: DataFrame, batch_id: str) -> None:
-        """Insert ``rows`` into the stored table as one batch, once whatever the number of tries; later jobs see them."""
+        """Insert ``rows`` into the stored table as one batch, once whatever the number of tries; later jobs see them.
+
+        Empty strings are stored as NULL, as the modelled database does.
+        """
         if self.warehouse is None:
             raise ValueError("rows are appended to stored tables: open the catalog with from_warehouse")
-        sinks.append_rows(_conform(rows, name), f"{self.warehouse}/{name}", batch_id)
+        rows = _conform(rows, name)
+        rows = rows.select(*[F.nullif(f.name, F.lit("")).alias(f.name) if f.dataType.simpleString() == "string"
+                             else F.col(f.name) for f in rows.schema.fields])
+        sinks.append_rows(rows, f"{self.warehouse}/{name}", batch_id)
         self.refresh(name)
 
-    def materialize(self, path: str, tables: list[str] | None = None, buckets: int | None = None) -> "Catalog":
+    def materialize(self, path: str, tables: list[str] | None = None, buckets: int | None = None,
+                    check: bool = False) -> "Catalog":
         """Write tables as parquet under ``path`` (a shared folder) and reopen.
 
         Facts are clustered by their main join key inside the files (sorted
@@ -131,11 +140,13 @@ class Catalog:
         key filters.  With ``buckets`` the facts and the citizen table are
         stored as bucketed tables (same bucket count on the same key), so the
         application x citizen joins and per-citizen aggregates of the reports
-        read co-partitioned data and skip the shuffle.
+        read co-partitioned data and skip the shuffle.  With ``check`` the rows
+        that break each NOT NULL and CHECK rule are counted in the same pass
+        (``failed_rules`` of the result).
         """
         from concurrent.futures import ThreadPoolExecutor
 
-        from schemelens.operators import ledger
+        from schemelens.operators import ledger, loading
 
         names = tables or self.names()
         db = None
@@ -143,8 +154,18 @@ class Catalog:
             db = "wh_" + os.path.basename(path.rstrip("/")).replace("-", "_")
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{path}'")
 
+        failed: dict[tuple[str, str], int] = {}
+
         def write(name: str) -> None:
             df = self.frames[name]
+            if not check:
+                store(name, df)
+                return
+            watched = loading.Watched(name, df)
+            store(name, watched.rows)
+            failed.update({(t, rule): n for t, rule, n in watched.failures()})
+
+        def store(name: str, df: DataFrame) -> None:
             key = CLUSTER_KEYS.get(name)
             at = f"{path.rstrip('/')}/{name}"
             if buckets and key:
@@ -172,6 +193,7 @@ class Catalog:
         if {"pool", "disbursement"} <= set(names):
             ledger.mark_applied(self.spark, path)  # the stored pool totals include the stored payments
         cat = Catalog.from_warehouse(self.spark, path, source_dir=self.source_dir)
+        cat.failed_rules = failed
         if buckets:
             for name in names:
                 if CLUSTER_KEYS.get(name):
