@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from schemelens.functions import rules as R
 from schemelens.functions.semantics import cat as ocat
-from schemelens.functions.semantics import oracle_num, padded_id
+from schemelens.functions.semantics import checkpoint_table, oracle_num, padded_id
 from schemelens.operators import ordered
 from schemelens.operators.allocation import allocate
 from schemelens.operators.intake import join_pairs
@@ -215,6 +215,13 @@ def p04_decide_batch(cat) -> DataFrame:
 
 
 # ------------------------------------------------------------ side effects
+def stored_outcomes(cat) -> DataFrame:
+    """Outcomes of the decision batch, written once to the shared folder and read by each of its effects."""
+    if "outcomes" not in cat.memo:
+        cat.memo["outcomes"] = checkpoint_table(p04_decide_batch(cat))
+    return cat.memo["outcomes"]
+
+
 def decision_effects(outcomes: DataFrame, cat) -> dict[str, DataFrame]:
     """What the successful decisions write: payment rows (approvals), the
     application updates, the audit rows of the status trigger and the pool
@@ -261,17 +268,18 @@ def _payments_sql() -> str:
  disbursement_date, payment_mode, transaction_ref, bank_account, status from {_payments_sql()} t""")
 def p04b_decision_payments(cat) -> DataFrame:
     """Payment rows written by the granted approvals of the decision batch."""
-    return decision_effects(p04_decide_batch(cat), cat)["payments"]
+    return decision_effects(stored_outcomes(cat), cat)["payments"]
 
 
 @register("p04c_pools_after_decisions", oracle=f"""select p.scheme_id, cast(p.total_budget as double) as total_budget,
  cast(p.disbursed_amount as double) as opening_disbursed, cast(coalesce(x.n, 0) as bigint) as payments,
- cast(coalesce(x.amt, 0) as double) as added_amount, cast(p.disbursed_amount + coalesce(x.amt, 0) as double) as closing_disbursed
-from pool p left join (select scheme_id, sum(amount) as amt, count(*) as n from {_payments_sql()} t group by scheme_id) x
+ cast(coalesce(x.amt, 0) as double) as added_amount, cast(p.disbursed_amount + coalesce(x.amt, 0) as double) as closing_disbursed, x.last_updated
+from pool p left join (select scheme_id, sum(amount) as amt, count(*) as n, max(disbursement_date) as last_updated
+ from {_payments_sql()} t group by scheme_id) x
  on p.scheme_id = x.scheme_id""")
 def p04c_pools_after_decisions(cat) -> DataFrame:
     """Pool balances after the decision batch's payments fire the ledger trigger."""
-    return decision_effects(p04_decide_batch(cat), cat)["pools"]
+    return decision_effects(stored_outcomes(cat), cat)["pools"]
 
 
 @register("p04d_application_updates", oracle=f"""select r.application_id, r.new_status as status, r.officer_id, r.requested_at as approval_date,
@@ -280,7 +288,7 @@ def p04c_pools_after_decisions(cat) -> DataFrame:
 from ({_p04_sql()}) r join application a on r.application_id = a.application_id where r.outcome_code = 0""")
 def p04d_application_updates(cat) -> DataFrame:
     """Application rows as the successful decisions leave them."""
-    return decision_effects(p04_decide_batch(cat), cat)["updates"]
+    return decision_effects(stored_outcomes(cat), cat)["updates"]
 
 
 @register("p04e_decision_audit", oracle=f"""select r.request_id as audit_id, r.application_id, a.status as old_status, r.new_status,
@@ -288,4 +296,4 @@ def p04d_application_updates(cat) -> DataFrame:
 from ({_p04_sql()}) r join application a on r.application_id = a.application_id where r.outcome_code = 0""")
 def p04e_decision_audit(cat) -> DataFrame:
     """Audit rows that the status trigger writes for the successful decisions."""
-    return decision_effects(p04_decide_batch(cat), cat)["audit"]
+    return decision_effects(stored_outcomes(cat), cat)["audit"]

@@ -49,22 +49,33 @@ def t01_audit_trail(cat) -> DataFrame:
 
 # ------------------------------------------------------------------ t02
 def pool_ledger(pool: DataFrame, payments: DataFrame, application: DataFrame) -> DataFrame:
-    """Pools after applying payment inserts: disbursed += amount per scheme.
+    """Pools after applying payment inserts: disbursed += amount per scheme, last_updated = date of the latest of them.
 
+    A payment's date is its insert time by default, so it stands for the clock of the modelled trigger; pools
+    without new payments have no ``last_updated`` here.
     Every inserted payment counts (FAILED too); a payment whose application
     is unknown updates nothing.  Payments are aggregated per scheme before the
     join (map-side partial sums), so a scheme holding most payments costs one
     row of shuffle per partition.
     """
-    pay = (payments.select("application_id", "amount")
-           .join(application.select("application_id", "scheme_id"), "application_id")
-           .groupBy("scheme_id").agg(F.sum("amount").alias("added_amount"), F.count(F.lit(1)).alias("payments")))
-    return (pool.join(pay, "scheme_id", "left")
+    return closing_pools(pool, payment_totals(payments, application))
+
+
+def payment_totals(payments: DataFrame, application: DataFrame) -> DataFrame:
+    """Sum, number and latest date of payments per scheme; also over a stream of payments."""
+    return (payments.select("application_id", "amount", "disbursement_date")
+            .join(application.select("application_id", "scheme_id"), "application_id")
+            .groupBy("scheme_id").agg(F.sum("amount").alias("added_amount"), F.count(F.lit(1)).alias("payments"),
+                                      F.max("disbursement_date").alias("last_updated")))
+
+
+def closing_pools(pool: DataFrame, totals: DataFrame) -> DataFrame:
+    return (pool.join(totals, "scheme_id", "left")
             .select("scheme_id", "total_budget", F.col("disbursed_amount").alias("opening_disbursed"),
                     F.coalesce("payments", F.lit(0)).cast("bigint").alias("payments"),
                     F.coalesce("added_amount", F.lit(0)).cast("decimal(25,2)").alias("added_amount"),
                     (F.col("disbursed_amount") + F.coalesce("added_amount", F.lit(0))).cast("decimal(25,2)")
-                    .alias("closing_disbursed")))
+                    .alias("closing_disbursed"), "last_updated"))
 
 
 def _new_payments(cat) -> DataFrame:
@@ -79,8 +90,8 @@ def _new_payments_sql() -> str:
 
 @register("t02_pool_ledger", oracle="""select p.scheme_id, cast(p.total_budget as double) as total_budget,
  cast(p.disbursed_amount as double) as opening_disbursed, cast(coalesce(x.n, 0) as bigint) as payments,
- cast(coalesce(x.amt, 0) as double) as added_amount, cast(p.disbursed_amount + coalesce(x.amt, 0) as double) as closing_disbursed
-from pool p left join (select a.scheme_id, sum(np.amount) as amt, count(*) as n from """ + "{NEW_PAYMENTS}" + """ np
+ cast(coalesce(x.amt, 0) as double) as added_amount, cast(p.disbursed_amount + coalesce(x.amt, 0) as double) as closing_disbursed, x.last_updated
+from pool p left join (select a.scheme_id, sum(np.amount) as amt, count(*) as n, max(np.disbursement_date) as last_updated from """ + "{NEW_PAYMENTS}" + """ np
  join application0 a on np.application_id = a.application_id group by a.scheme_id) x on p.scheme_id = x.scheme_id""")
 def t02_pool_ledger(cat) -> DataFrame:
     """Pool balances after the payment run's inserts fire the ledger trigger."""

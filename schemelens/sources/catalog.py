@@ -51,6 +51,7 @@ class Catalog:
         #: (table, rule) -> rows that broke it, of a load with ``check``
         self.failed_rules: dict[tuple[str, str], int] = {}
         self._counts: dict[str, int] = {}
+        self.memo: dict[str, DataFrame] = {}  # written results that several jobs read; gone when a table changes
 
     # ------------------------------------------------------------ access
     def __getitem__(self, name: str) -> DataFrame:
@@ -117,6 +118,7 @@ class Catalog:
         if now is not None:
             self.frames[name] = manifest.read(self.spark, at, now, SCHEMAS.get(name))
             self._counts.clear()
+            self.memo.clear()
 
     def append(self, name: str, rows: DataFrame, batch_id: str) -> None:
         """Insert ``rows`` into the stored table as one batch, once whatever the number of tries; later jobs see them.

@@ -16,6 +16,7 @@ their oracles.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import uuid
@@ -30,7 +31,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from schemelens.operators.triggers import CHANGED_BY, DUPLICATE_MESSAGE
 from schemelens.registry import JOBS, register
 from schemelens.session import checkpoint_dir
-from schemelens.sources import fixtures
+from schemelens.sources import fixtures, manifest
 
 try:  # ship the per-key step functions by value: executors need only pandas
     from pyspark import cloudpickle as _cp
@@ -317,40 +318,67 @@ def s03b_duplicate_guard_reopen_stream(cat) -> DataFrame:
 
 
 # ----------------------------------------------------------------- t02
+LEDGER = "scheme_id bigint, added_amount decimal(25,2), payments bigint, last_updated timestamp_ntz"
+
+
 def pool_ledger_stream(cat, payments_path: str) -> DataFrame:
+    """Totals of each scheme's payments so far; an update holds the schemes that changed."""
+    from schemelens.operators.triggers import payment_totals
     spark = cat.spark
     static = spark.read.parquet(payments_path)
     pay = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(payments_path)
-    return (pay.select("application_id", "amount")
-            .join(cat["application"].select("application_id", "scheme_id"), "application_id")
-            .groupBy("scheme_id").agg(F.sum("amount").alias("added_amount"), F.count(F.lit(1)).alias("payments")))
+    return payment_totals(pay, cat["application"])
+
+
+def publish_totals(changed: DataFrame, epoch: int, table_path: str, stream: str) -> None:
+    """Put the totals of one micro-batch in place of the schemes' earlier ones, once however often it is replayed.
+
+    The whole table (one row a scheme) is written to a folder named by the epoch, then the next manifest names that
+    folder and the epoch together.  A failure before that leaves the former totals, and the replayed epoch writes them
+    again; an epoch that the manifest has already is left out.  A table belongs to one stream (its checkpoint): another
+    one would count its epochs from 0 and be left out wrongly, so it is refused.
+    """
+    spark = changed.sparkSession
+    now = manifest.current(spark, table_path)
+    done = now.applied.get("stream", {}) if now else {}
+    if done and done["name"] != stream:
+        raise ValueError(f"{table_path} holds the totals of stream {done['name']}, not of {stream}")
+    if done and int(done["epoch"]) >= epoch:
+        changed.write.format("noop").mode("overwrite").save()  # the stream's state of this epoch must be written all the same
+        return
+    totals = changed.select([F.col(f.split(" ")[0]).cast(f.split(" ", 1)[1]) for f in LEDGER.split(", ")])
+    if now:
+        totals = manifest.read(spark, table_path, now, LEDGER).join(totals, "scheme_id", "left_anti").unionByName(totals)
+    folder = manifest.write_batch(totals, table_path, f"epoch-{epoch}")
+
+    def change(latest):
+        if (latest.number if latest else 0) != (now.number if now else 0):
+            raise RuntimeError(f"{table_path} was changed by another writer during epoch {epoch}")
+        return manifest.Manifest(0, json.loads(totals.schema.json()), {"totals": folder},
+                                 {"stream": {"name": stream, "epoch": str(epoch)}})
+
+    manifest.commit(spark, table_path, change)
+
+
+def run_ledger(cat, payments_path: str, table_path: str, checkpoint: str) -> DataFrame:
+    """Drain the payments into the stored totals at ``table_path``; the pools with these totals added."""
+    from schemelens.operators.triggers import closing_pools
+    q = (pool_ledger_stream(cat, payments_path).writeStream.outputMode("update")
+         .foreachBatch(lambda batch, epoch: publish_totals(batch, epoch, table_path, checkpoint))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    now = manifest.current(cat.spark, table_path)
+    totals = manifest.read(cat.spark, table_path, now, LEDGER) if now else cat.spark.createDataFrame([], LEDGER)
+    return closing_pools(cat["pool"], totals)
 
 
 @register("s02_pool_ledger_stream")
 def s02_pool_ledger_stream(cat) -> DataFrame:
-    """t02 as a streaming aggregation: payment inserts summed per scheme (complete mode)."""
+    """t02 as a streaming aggregation: changed totals of each micro-batch published as one epoch (update mode)."""
     from schemelens.operators.payments import payment_run
-    spark = cat.spark
-    base = _stream_folder(spark, "ledger")
+    base = _stream_folder(cat.spark, "ledger")
     payment_run(cat)[0].write.parquet(os.path.join(base, "payments"))
-    agg = pool_ledger_stream(cat, os.path.join(base, "payments"))
-    out = os.path.join(base, "totals")
-
-    def publish(batch: DataFrame, epoch: int):
-        # complete-mode totals: overwrite the published snapshot each epoch
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(publish)
-         .option("checkpointLocation", os.path.join(base, "checkpoint")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    totals = spark.read.parquet(out)
-    pool = cat["pool"]
-    return (pool.join(totals, "scheme_id", "left")
-            .select("scheme_id", "total_budget", F.col("disbursed_amount").alias("opening_disbursed"),
-                    F.coalesce("payments", F.lit(0)).cast("bigint").alias("payments"),
-                    F.coalesce("added_amount", F.lit(0)).cast("decimal(25,2)").alias("added_amount"),
-                    (F.col("disbursed_amount") + F.coalesce("added_amount", F.lit(0))).cast("decimal(25,2)")
-                    .alias("closing_disbursed")))
+    return run_ledger(cat, os.path.join(base, "payments"), os.path.join(base, "totals"), os.path.join(base, "checkpoint"))
 
 
 @register("s01b_audit_trail_value_state")

@@ -138,3 +138,43 @@ def test_reopen_changes_outcomes(cat01):
     reopen = {r.request_id: r.outcome_code for r in t03b_duplicate_guard_reopen(cat01).collect()}
     changed = [k for k in plain if plain[k] != reopen[k]]
     assert changed, "status changes in the stream should reopen some pairs"
+
+
+def test_ledger_epochs_survive_failures_between_two_writes(spark, cat001, tmp_path, monkeypatch):
+    """A micro-batch that fails before or after the totals are published is replayed: nothing lost, nothing doubled."""
+    import pytest
+
+    from schemelens.operators.payments import payment_run
+    from schemelens.operators.triggers import pool_ledger
+    from schemelens.sources import manifest
+    from schemelens.streaming import jobs
+    rows = payment_run(cat001)[0]
+    pay, totals, checkpoint = (str(tmp_path / n) for n in ("payments", "totals", "checkpoint"))
+    rows.repartition(3, "disbursement_id").write.parquet(pay)
+    real, calls = manifest.commit, []
+
+    def commit(spark, path, change):
+        calls.append(path)
+        if len(calls) == 2:
+            raise OSError("before the pointer moves")
+        out = real(spark, path, change)
+        if len(calls) == 4:
+            raise OSError("after the pointer moved")
+        return out
+
+    monkeypatch.setattr(manifest, "commit", commit)
+    seen = []
+    for _ in range(2):
+        with pytest.raises(Exception):
+            jobs.run_ledger(cat001, pay, totals, checkpoint)
+        seen.append(manifest.current(spark, totals).applied["stream"]["epoch"])
+    got = jobs.run_ledger(cat001, pay, totals, checkpoint)
+    exp = pool_ledger(cat001["pool"], rows, cat001["application"])
+    assert sorted(got.collect()) == sorted(exp.select(got.columns).collect())
+    assert exp.filter("payments > 0 and last_updated is not null").count() == exp.filter("payments > 0").count() > 1
+    assert seen == ["0", "2"] and len(calls) == 4  # the epoch published before its failure was not published again
+    before = manifest.current(spark, totals)
+    jobs.publish_totals(manifest.read(spark, totals, before, jobs.LEDGER), 1, totals, checkpoint)  # an old epoch again
+    assert manifest.current(spark, totals) == before
+    with pytest.raises(ValueError):
+        jobs.publish_totals(manifest.read(spark, totals, before, jobs.LEDGER), 9, totals, "another")
