@@ -120,7 +120,10 @@ def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shuffled; only the rejected hosts are joined."""
     scratch = Scratch(df.sparkSession, "quality-rules")
     measured = scratch.keep(measure(df, id_col, text_col, host_col))
-    bad = scratch.keep(hosts(measured).where("rejected").select(F.col("host").alias("_bad_host")))
+    name = "_bad_host"  # a name that no column of the rows has
+    while name in {c.lower() for c in df.columns}:
+        name += "_"
+    bad = scratch.keep(hosts(measured).where("rejected").select(F.col("host").alias(name)))
 
     @F.pandas_udf("boolean")
     def passes(texts: pd.Series) -> pd.Series:
@@ -128,4 +131,4 @@ def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pd.Series([g[0] >= MIN_WORDS and 100 * g[-1] <= 50 * g[0] for g in got], dtype=bool)
 
     return df.where(passes(F.col(text_col).cast("string"))).join(
-        bad, F.col(host_col).cast("string") == F.col("_bad_host"), "left_anti")
+        bad, F.col(host_col).cast("string") == F.col(name), "left_anti")

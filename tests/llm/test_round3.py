@@ -291,3 +291,17 @@ def test_packing_raises_the_window_count(monkeypatch):
                 load[w] += n
         assert max(load.values()) <= 4096 and max(load) < k
         assert -(-sum(sizes) // 4096) <= k <= -(-sum(sizes) // 4096) + 4
+
+
+def test_quality_rules_reject_a_host_and_take_any_column_name(spark):
+    """A host whose documents mostly fail is rejected with its good ones; columns may have the names used inside."""
+    from schemelens.llm import quality_rules as Q
+    good = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, "bad" if i < 60 else f"host{i % 9}", good if i >= 60 or i % 20 == 0 else "too short", i, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, _bad_host long, _Bad_Host_ long")
+    got = Q.filter_documents(df)
+    assert got.columns == df.columns
+    kept = {r.doc_id for r in got.collect()}
+    assert kept == set(range(60, 300)) == {r.doc_id for r in Q.judge(df).where("kept").collect()}
+    verdicts = {r.host: r.rejected for r in Q.hosts(Q.measure(df)).collect()}
+    assert verdicts.pop("bad") and not any(verdicts.values())
