@@ -6,7 +6,10 @@ per-key state with ``applyInPandasWithState`` or ``transformWithStateInPandas``
 (Arrow batches, one pandas frame per key and micro-batch).  State is keyed by the entity that the
 modelled trigger serialises on (the application; the (citizen, scheme)
 pair; the scheme), so it is partitioned across the cluster by key and
-checkpointed in the shared checkpoint folder.
+checkpointed in the shared checkpoint folder.  A Python call costs some
+milliseconds, so the guards and s01b get the keys in groups
+(``KEY_GROUPS``): one call handles the rows of all keys of a group with array
+operations, and one state holds an entry for each of them.
 
 The registered ``sNN`` jobs drain the whole source with
 ``trigger(availableNow=True)`` into a parquet sink and return the sink as a
@@ -23,11 +26,13 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from schemelens.functions.semantics import checkpoint_table
 from schemelens.operators.triggers import CHANGED_BY, DUPLICATE_MESSAGE
 from schemelens.registry import JOBS, register
 from schemelens.session import checkpoint_dir
@@ -45,15 +50,58 @@ def _stream_folder(spark: SparkSession, name: str) -> str:
 
 
 def _source(cat, table: str, folder: str | None = None) -> DataFrame:
-    """Streaming read of change events: the driver's table file, or a landing
-    folder of parquet files with the same schema (one file per micro-batch)."""
+    """Streaming read of change events: the driver's table, or a landing
+    folder of parquet files with the same schema (one file per micro-batch).
+
+    The files of a landing folder arrive one after another.  Those of a table lie in no
+    order, and a key's events may be in any of them, so all that there are form one micro-batch."""
     spark = cat.spark
     from schemelens.sources.schemas import SOURCE_SCHEMAS
     path = os.path.join(cat.source_dir, f"{table}.parquet")
     static = spark.read.schema(SOURCE_SCHEMAS[table]).parquet(path)
     # a file stream source lists a directory or glob: the glob matches exactly this file
-    src = folder if folder is not None else path[:-1] + "[t]"
-    return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    reader = spark.readStream.schema(static.schema)
+    if folder is not None:
+        return reader.option("maxFilesPerTrigger", 1).parquet(folder)
+    return reader.parquet(path[:-1] + "[t]")
+
+
+def stored_applications(cat) -> DataFrame:
+    """What the streams need of the applications, as a stored table: micro-batches read it again and are planned
+    without AQE, so they are spared its derivation."""
+    if cat.warehouse is not None:
+        return cat["application"]
+    if "applications" not in cat.memo:
+        cat.memo["applications"] = checkpoint_table(
+            cat["application"].select("application_id", "citizen_id", "scheme_id", "status"))
+    return cat.memo["applications"]
+
+
+# ------------------------------------------------------- groups of keys
+#: Groups that the keys of a stream are dealt into; a checkpoint belongs to the number that it was made with.
+KEY_GROUPS = 4096
+
+
+def _key_group(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(KEY_GROUPS)).cast("int")
+
+
+def _packed(entries: pd.DataFrame) -> bytes:
+    """The entries of a group's keys as one state value (an Arrow stream)."""
+    table, sink = pa.Table.from_pandas(entries, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(value)).read_all().to_pandas()
+
+
+def _numbered(rows: pd.DataFrame, known: pd.DataFrame, by: list[str]) -> tuple[np.ndarray, pd.DataFrame]:
+    """The number of each row's key and the keys by number; ``known`` holds each of its keys once, they come first."""
+    keys = pd.concat([known[by], rows[by]], ignore_index=True) if len(known) else rows[by]
+    return keys.groupby(by, sort=False).ngroup().to_numpy()[len(known):], keys.drop_duplicates(ignore_index=True)
 
 
 def status_event_stream(cat, folder: str | None = None) -> DataFrame:
@@ -91,7 +139,7 @@ def _requested_scheme(cat):
 
 
 def _stored(cat) -> DataFrame:
-    return cat["application"].select("application_id", F.col("status").alias("stored_status"))
+    return stored_applications(cat).select("application_id", F.col("status").alias("stored_status"))
 
 
 def audit_trail_stream(cat, folder: str | None = None) -> DataFrame:
@@ -101,26 +149,39 @@ def audit_trail_stream(cat, folder: str | None = None) -> DataFrame:
 
 
 class AuditProcessor(StatefulProcessor):
-    """Keeps the application's last status in a ValueState; emits one audit
-    row per status change in arrival order (event time, then event id).
+    """Keeps the last status of each application of a group in a ValueState; emits
+    one audit row per status change in arrival order (event time, then event id).
     The stored statuses are the initial state, read in the first micro-batch
-    only; a key without state is no stored application and leaves no row."""
+    only; an application without an entry is not stored and leaves no row."""
 
     def init(self, handle) -> None:
-        self.last = handle.getValueState("last_status", "status string")
+        self.last = handle.getValueState("last_status", "applications binary")
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        status = initialState["stored_status"].iloc[0]
-        self.last.update((None if pd.isna(status) else status,))
+        stored = initialState[["application_id", "stored_status"]].rename(columns={"stored_status": "status"})
+        if self.last.exists():  # a group may come in several frames
+            stored = pd.concat([_unpacked(self.last.get()[0]), stored])
+        self.last.update((_packed(stored.drop_duplicates("application_id")),))
 
     def handleInputRows(self, key, rows, timerValues):
         parts = [p for p in rows if len(p)]  # a key with initial state only comes with an empty frame
         if not parts or not self.last.exists():
             return
-        pdf = pd.concat(parts).sort_values(["change_date", "event_id"], kind="stable")
-        new = [None if pd.isna(s) else s for s in pdf["new_status"]]
-        old = [self.last.get()[0], *new[:-1]]
-        self.last.update((new[-1],))
+        last = _unpacked(self.last.get()[0])
+        pdf = pd.concat(parts)
+        pdf = pdf[pdf["application_id"].isin(last["application_id"])]
+        if not len(pdf):
+            return
+        pdf = pdf.sort_values(["change_date", "event_id"], kind="stable")
+        entry = pd.Index(last["application_id"]).get_indexer(pdf["application_id"])
+        new, status = (c.astype(object).where(c.notna(), None).to_numpy() for c in (pdf["new_status"], last["status"]))
+        by_app = np.argsort(entry, kind="stable")
+        first = np.concatenate(([True], np.diff(entry[by_app]) != 0))
+        old = np.empty(len(pdf), dtype=object)
+        old[by_app] = np.where(first, status[entry[by_app]], np.roll(new[by_app], 1))
+        ends = by_app[np.roll(first, -1)]  # the last change of each application
+        status[entry[ends]] = new[ends]
+        self.last.update((_packed(last.assign(status=status)),))
         yield pd.DataFrame({"audit_id": pdf["event_id"].to_numpy(),
                             "application_id": pdf["application_id"].to_numpy(),
                             "old_status": pd.Series(old, dtype=object), "new_status": pd.Series(new, dtype=object),
@@ -143,8 +204,10 @@ def audit_trail_stream_tws(cat, folder: str | None = None) -> DataFrame:
     """t01 with ``transformWithStateInPandas``; the stored statuses are its initial state, so
     no micro-batch after the first reads the applications."""
     _rocksdb(cat.spark)
-    return status_event_stream(cat, folder).groupBy("application_id").transformWithStateInPandas(
-        AuditProcessor(), AUDIT_OUT, "Append", "None", initialState=_stored(cat).groupBy("application_id"))
+    events, stored = (df.filter(F.col("application_id").isNotNull()).withColumn("key_group", _key_group("application_id"))
+                      for df in (status_event_stream(cat, folder), _stored(cat)))
+    return events.groupBy("key_group").transformWithStateInPandas(
+        AuditProcessor(), AUDIT_OUT, "Append", "None", initialState=stored.groupBy("key_group"))
 
 
 def drain(df: DataFrame, name: str) -> DataFrame:

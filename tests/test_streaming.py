@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from schemelens.operators.triggers import t01_audit_trail, t03_duplicate_guard
@@ -178,3 +179,61 @@ def test_ledger_epochs_survive_failures_between_two_writes(spark, cat001, tmp_pa
     assert manifest.current(spark, totals) == before
     with pytest.raises(ValueError):
         jobs.publish_totals(manifest.read(spark, totals, before, jobs.LEDGER), 9, totals, "another")
+
+
+# ------------------------------------------------------- keys in groups
+def _unordered_events(spark, cat, folder):
+    """A catalog whose events table is three files in no order; requests and changes of a pair are in all of them."""
+    import datetime as dt
+
+    from schemelens.sources.catalog import Catalog
+    folder.mkdir()
+    for f in os.listdir(cat.source_dir):
+        if f != "events.parquet":
+            os.symlink(os.path.join(cat.source_dir, f), folder / f)
+    customers = spark.read.parquet(os.path.join(cat.source_dir, "customer.parquet")).count() + 5
+    apps = cat["application"].select("application_id", "citizen_id", "scheme_id").orderBy("application_id").limit(40).collect()
+    kinds = ["error", "purchase", "error", "error", "view"]
+    rows = []
+    for i, a in enumerate(apps):  # a change of the application is a request of its pair too
+        first = next(e for e in range(customers * 21) if e * 11 % customers == a.citizen_id and e % 21 == a.scheme_id)
+        for j in range(6):
+            at = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(i * 7 + j * 31) % 97)
+            rows.append((first + customers * 21 * (j * 40 + i), at, a.application_id, kinds[(i + j) % 5]))
+    ev = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string")
+    ev.repartition(3, "event_id").write.parquet(str(folder / "events.parquet"))
+    return Catalog.from_testdata(spark, str(folder))
+
+
+STREAMS = [("audit_trail_stream_tws", "t01_audit_trail")]
+
+
+@pytest.mark.parametrize("stream, batch", STREAMS)
+def test_keys_are_handled_in_groups(spark, cat001, tmp_path, monkeypatch, stream, batch):
+    """A Python call and a state a group, not a key; part files of a table, in no order, make one micro-batch."""
+    from collections import Counter
+
+    from schemelens.operators import triggers
+    from schemelens.streaming import jobs
+    monkeypatch.setattr(jobs, "KEY_GROUPS", 3, raising=False)
+    frame = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")  # a group comes in several frames
+    try:
+        cat = _unordered_events(spark, cat001, tmp_path / "source")
+        landing = _landing(spark, cat, tmp_path, parts=3)
+        exp = getattr(triggers, batch)(cat)
+        for folder, batches in ((None, 1), (landing, 3)):
+            out = str(tmp_path / f"out-{batches}")
+            q = (getattr(jobs, stream)(cat, folder).writeStream.format("parquet").option("path", out).outputMode("append")
+                 .option("checkpointLocation", f"{out}-checkpoint").trigger(availableNow=True).start())
+            q.awaitTermination()
+            done = [p for p in q.recentProgress if p["numInputRows"]]
+            assert len(done) == batches
+            got = spark.read.parquet(out)
+            if folder is None:  # files of the landing folder are not in time order here
+                assert Counter(got.select(*exp.columns).collect()) == Counter(exp.collect())
+                state = done[-1]["stateOperators"][0]
+                assert state["numRowsTotal"] <= 3 + state["customMetrics"].get("numMapStateVars", 0) * 40
+            assert got.count() == exp.count() == 240
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", frame)
