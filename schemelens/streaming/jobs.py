@@ -231,29 +231,64 @@ def s01_audit_trail_stream(cat) -> DataFrame:
 GUARD_OUT = "request_id long, citizen_id long, scheme_id long, outcome_code int, message string"
 
 
+PAIR = ["citizen", "scheme"]  # the ids of a pair without NULLs (``_pair_groups``)
+STEP_OUT = "request_id long, citizen long, scheme long, key_group int, outcome_code int, message string"
+
+
+def _pair_groups(df: DataFrame) -> DataFrame:
+    """Adds the group of each row's pair and its ids; pairs with a NULL id are in groups of their own, below 0."""
+    c, s = F.col("citizen_id"), F.col("scheme_id")
+    group = (F.when(c.isNull() & s.isNull(), F.lit(-3)).when(s.isNull(), F.lit(-2)).when(c.isNull(), F.lit(-1))
+             .otherwise(_key_group("citizen_id", "scheme_id")))
+    return df.select("*", group.alias("key_group"), F.coalesce(c, F.lit(0)).alias("citizen"), F.coalesce(s, F.lit(0)).alias("scheme"))
+
+
+def _guard_rows(df: DataFrame) -> DataFrame:
+    group = F.col("key_group")
+    return df.select("request_id", F.when(~group.isin(-1, -3), F.col("citizen")).alias("citizen_id"),
+                     F.when(~group.isin(-2, -3), F.col("scheme")).alias("scheme_id"), "outcome_code", "message")
+
+
+def _outcomes(pair, request, refs_ok, active_before, stored):
+    """Outcome codes of rows in arrival order, and which pairs have an insert stored afterwards.
+
+    Until a pair has one: duplicates while it is active, FK failures before the first insert with valid
+    references, that insert is stored; the rest are duplicates.
+    """
+    at = np.arange(len(pair))
+    open_ = (active_before == 0) & ~stored[pair]
+    ok = open_ & request & refs_ok
+    first = np.full(len(stored), len(pair))
+    np.minimum.at(first, pair[ok], at[ok])
+    codes = np.full(len(pair), -20030, dtype=np.int32)
+    codes[open_ & (at < first[pair])] = -2291
+    codes[at == first[pair]] = 0
+    return codes, stored | (first < len(pair))
+
+
+def _messages(codes, names):
+    return np.where(codes == 0, "INSERTED",
+                    np.where(codes == -2291, "integrity constraint violated - parent key not found",
+                             np.array([DUPLICATE_MESSAGE + str(x) for x in names], dtype=object)))
+
+
 def _guard_step(key, frames, state):
     parts = [p for p in frames]
     if not parts:
         return
     pdf = pd.concat(parts).sort_values(["requested_at", "request_id"], kind="stable")
-    active = bool(state.get[0]) if state.exists else bool(pdf["_stored_active"].iloc[0])
-    valid = pdf["_refs_ok"].to_numpy(dtype=bool)
-    n = len(pdf)
-    codes = np.full(n, -20030, dtype=np.int32)
-    if not active:
-        # before the first insert with valid references: FK failures; that insert is stored; the rest are duplicates
-        first = int(np.argmax(valid)) if valid.any() else n
-        codes[:first] = -2291
-        if first < n:
-            codes[first] = 0
-            active = True
-    names = pdf["scheme_name"].astype(object).to_numpy()
-    msgs = np.where(codes == 0, "INSERTED",
-                    np.where(codes == -2291, "integrity constraint violated - parent key not found",
-                             DUPLICATE_MESSAGE + pd.Series(names).astype(str).to_numpy()))
-    state.update((active,))
-    yield pd.DataFrame({"request_id": pdf["request_id"].to_numpy(), "citizen_id": pdf["citizen_id"].to_numpy(),
-                        "scheme_id": pdf["scheme_id"].to_numpy(), "outcome_code": codes, "message": msgs})
+    known = _unpacked(state.get[0]) if state.exists else pd.DataFrame(columns=[*PAIR, "active"])
+    pair, pairs = _numbered(pdf, known, PAIR)
+    active = np.zeros(len(pairs), dtype=bool)
+    first = ~pd.Series(pair).duplicated().to_numpy()
+    active[pair[first]] = pdf["_stored_active"].to_numpy(dtype=bool)[first]
+    active[:len(known)] = known["active"].to_numpy(dtype=bool)
+    codes, active = _outcomes(pair, np.ones(len(pdf), dtype=bool), pdf["_refs_ok"].to_numpy(dtype=bool),
+                              np.zeros(len(pdf), dtype=np.int64), active)
+    state.update((_packed(pairs.assign(active=active)),))
+    yield pd.DataFrame({"request_id": pdf["request_id"].to_numpy(), "citizen": pdf["citizen"].to_numpy(),
+                        "scheme": pdf["scheme"].to_numpy(), "key_group": key[0], "outcome_code": codes,
+                        "message": _messages(codes, pdf["scheme_name"].astype(object).to_numpy())})
 
 
 def duplicate_guard_stream(cat, folder: str | None = None) -> DataFrame:
@@ -263,7 +298,7 @@ def duplicate_guard_stream(cat, folder: str | None = None) -> DataFrame:
         F.col("event_id").alias("request_id"),
         ((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
         _requested_scheme(cat).alias("scheme_id"), F.col("ts").alias("requested_at"))
-    act = R.active_keys(cat["application"]).withColumn("_stored_active", F.lit(True))
+    act = R.active_keys(stored_applications(cat)).withColumn("_stored_active", F.lit(True))
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
     sc = cat.dim("scheme").select("scheme_id", "scheme_name")
     ev = (ev.join(act, ["citizen_id", "scheme_id"], "left").join(cz, "citizen_id", "left")
@@ -271,8 +306,8 @@ def duplicate_guard_stream(cat, folder: str | None = None) -> DataFrame:
           .select("request_id", "citizen_id", "scheme_id", "requested_at", "scheme_name",
                   F.coalesce("_stored_active", F.lit(False)).alias("_stored_active"),
                   (F.col("_c").isNotNull() & F.col("scheme_name").isNotNull()).alias("_refs_ok")))
-    return ev.groupBy("citizen_id", "scheme_id").applyInPandasWithState(
-        _guard_step, GUARD_OUT, "active boolean", "append", GroupStateTimeout.NoTimeout)
+    return _guard_rows(_pair_groups(ev).drop("citizen_id", "scheme_id").groupBy("key_group").applyInPandasWithState(
+        _guard_step, STEP_OUT, "pairs binary", "append", GroupStateTimeout.NoTimeout))
 
 
 @register("s03_duplicate_guard_stream")

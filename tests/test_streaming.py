@@ -205,7 +205,7 @@ def _unordered_events(spark, cat, folder):
     return Catalog.from_testdata(spark, str(folder))
 
 
-STREAMS = [("audit_trail_stream_tws", "t01_audit_trail")]
+STREAMS = [("audit_trail_stream_tws", "t01_audit_trail"), ("duplicate_guard_stream", "t03_duplicate_guard")]
 
 
 @pytest.mark.parametrize("stream, batch", STREAMS)
