@@ -228,9 +228,6 @@ def s01_audit_trail_stream(cat) -> DataFrame:
 
 
 # ----------------------------------------------------------------- t03
-GUARD_OUT = "request_id long, citizen_id long, scheme_id long, outcome_code int, message string"
-
-
 PAIR = ["citizen", "scheme"]  # the ids of a pair without NULLs (``_pair_groups``)
 STEP_OUT = "request_id long, citizen long, scheme long, key_group int, outcome_code int, message string"
 
@@ -359,26 +356,78 @@ class ReopenGuard(StatefulProcessor):
         if not rq.all():
             delta[~rq] = self._deltas(pdf[~rq])
         active_before = active0 + np.concatenate([[0], np.cumsum(delta)[:-1]])
-        codes = np.full(n, -20030, dtype=np.int32)
-        if not stored:
-            ok = rq & (active_before == 0) & pdf["refs_ok"].to_numpy(dtype=bool)
-            idx = int(np.argmax(ok)) if ok.any() else n
-            codes[(np.arange(n) < idx) & (active_before == 0)] = -2291
-            if idx < n:
-                codes[idx], stored = 0, True
-        self.pair.update((int(active0 + delta.sum()), bool(stored)))
+        codes, after = _outcomes(np.zeros(n, dtype=np.int64), rq, pdf["refs_ok"].to_numpy(dtype=bool), active_before,
+                                 np.array([bool(stored)]))
+        self.pair.update((int(active0 + delta.sum()), bool(after[0])))
         if rq.any():
             c = codes[rq]
-            msgs = np.where(c == 0, "INSERTED",
-                            np.where(c == -2291, "integrity constraint violated - parent key not found",
-                                     np.array([DUPLICATE_MESSAGE + str(x) for x in pdf["scheme_name"].to_numpy()[rq]], dtype=object)))
             yield pd.DataFrame({"request_id": pdf["event_id"].to_numpy()[rq], "citizen_id": pdf["citizen_id"].to_numpy()[rq],
-                                "scheme_id": pdf["scheme_id"].to_numpy()[rq], "outcome_code": c, "message": msgs})
+                                "scheme_id": pdf["scheme_id"].to_numpy()[rq], "outcome_code": c,
+                                "message": _messages(c, pdf["scheme_name"].to_numpy()[rq])})
 
     def close(self) -> None:
         pass
 
 
+class ReopenGuards(ReopenGuard):
+    """The time lines of all pairs of a group, each as in ``ReopenGuard``.
+
+    ``pairs`` holds what ``pair`` holds there, for every pair of the group; ``statuses``
+    has an entry for each application that was changed, read and written alone.
+    """
+
+    def init(self, handle) -> None:
+        self.pairs = handle.getValueState("pairs", "pairs binary")
+        self.statuses = handle.getMapState("statuses", "citizen long, scheme long, application_id long", "status string")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        held = initialState[[*PAIR, "active"]].assign(stored=False)
+        if self.pairs.exists():  # a group may come in several frames
+            held = pd.concat([_unpacked(self.pairs.get()[0]), held])
+        self.pairs.update((_packed(held),))
+
+    def _deltas(self, st):
+        """Changes of the active counts by the status changes ``st`` of one micro-batch, in order."""
+        change, apps = _numbered(st, pd.DataFrame(), [*PAIR, "application_id"])
+        new = st["new_status"].astype(object).where(st["new_status"].notna(), None).to_numpy()
+        by_app = np.argsort(change, kind="stable")
+        first = np.concatenate(([True], np.diff(change[by_app]) != 0))
+        ends = by_app[np.roll(first, -1)]
+        before = np.roll(new[by_app], 1)
+        before[first] = st["stored_status"].to_numpy(dtype=object)[by_app[first]]
+        firsts = np.flatnonzero(first)
+        for i, end, k in zip(firsts, ends, map(tuple, apps.to_numpy().tolist())):
+            if self.statuses.containsKey(k):
+                before[i] = self.statuses.getValue(k)[0]
+            self.statuses.updateValue(k, (new[end],))
+        out = np.zeros(len(st), dtype=np.int64)
+        out[by_app] = (new[by_app] != "REJECTED").astype(np.int64) - (before != "REJECTED").astype(np.int64)
+        return out
+
+    def handleInputRows(self, key, rows, timerValues):
+        parts = [p for p in rows if len(p)]
+        if not parts:
+            return
+        pdf = pd.concat(parts).sort_values(["t", "kind", "event_id"], kind="stable")
+        known = _unpacked(self.pairs.get()[0]) if self.pairs.exists() else pd.DataFrame(columns=[*PAIR, "active", "stored"])
+        pair, pairs = _numbered(pdf, known, PAIR)
+        active, stored = np.zeros(len(pairs), dtype=np.int64), np.zeros(len(pairs), dtype=bool)
+        active[:len(known)], stored[:len(known)] = known["active"].to_numpy(np.int64), known["stored"].to_numpy(bool)
+        rq = pdf["kind"].to_numpy() == 1
+        delta = np.zeros(len(pdf), dtype=np.int64)
+        if not rq.all():
+            delta[~rq] = self._deltas(pdf[~rq])
+        before = active[pair] + pd.Series(delta).groupby(pair).cumsum().to_numpy() - delta
+        codes, stored = _outcomes(pair, rq, pdf["refs_ok"].to_numpy(dtype=bool), before, stored)
+        np.add.at(active, pair, delta)
+        self.pairs.update((_packed(pairs.assign(active=active, stored=stored)),))
+        if rq.any():
+            c = codes[rq]
+            yield pd.DataFrame({"request_id": pdf["event_id"].to_numpy()[rq], "citizen": pdf["citizen"].to_numpy()[rq],
+                                "scheme": pdf["scheme"].to_numpy()[rq], "key_group": key[0], "outcome_code": c,
+                                "message": _messages(c, pdf["scheme_name"].to_numpy()[rq])})
+
+
 def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
     """One change stream (the events files) seen both as status changes of
     stored applications and as insert requests, keyed by (citizen, scheme)."""
@@ -386,7 +435,8 @@ def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
     src = _source(cat, "events", folder)
     text = fixtures.TEMPLATES["status_event"]
     status_expr = F.expr(text.split("user_id as application_id, ")[1].split(" as new_status")[0])
-    app = cat["application"].select("application_id", "citizen_id", "scheme_id", F.col("status").alias("stored_status"))
+    stored = stored_applications(cat)
+    app = stored.select("application_id", "citizen_id", "scheme_id", F.col("status").alias("stored_status"))
     st = (src.select("event_id", F.col("user_id").alias("application_id"), status_expr.alias("new_status"),
                      F.col("ts").alias("t"))
           .join(app, "application_id")
@@ -394,9 +444,9 @@ def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
                   "new_status", "stored_status"))
     rq = src.select(((F.col("event_id") * 11) % F.lit(customers + 5)).alias("citizen_id"),
                     _requested_scheme(cat).alias("scheme_id"), F.col("ts").alias("t"), F.lit(1).alias("kind"),
-                    "event_id", F.lit(None).cast("long").alias("application_id"),
+                    "event_id", F.lit(0).cast("long").alias("application_id"),
                     F.lit(None).cast("string").alias("new_status"), F.lit(None).cast("string").alias("stored_status"))
-    held = (cat["application"].filter(F.col("status") != "REJECTED").dropna(subset=["citizen_id", "scheme_id"])
+    held = (stored.filter(F.col("status") != "REJECTED").dropna(subset=["citizen_id", "scheme_id"])
             .groupBy("citizen_id", "scheme_id").agg(F.count(F.lit(1)).alias("active")))
     cz = cat["citizen"].select("citizen_id", F.lit(True).alias("_c"))
     sc = cat.dim("scheme").select("scheme_id", "scheme_name")
@@ -405,8 +455,8 @@ def duplicate_guard_reopen_stream(cat, folder: str | None = None) -> DataFrame:
                  "scheme_name",
                  (F.col("_c").isNotNull() & F.col("scheme_name").isNotNull()).alias("refs_ok")))
     _rocksdb(cat.spark)
-    return u.groupBy("citizen_id", "scheme_id").transformWithStateInPandas(
-        ReopenGuard(), GUARD_OUT, "Append", "None", initialState=held.groupBy("citizen_id", "scheme_id"))
+    u, held = (_pair_groups(df).drop("citizen_id", "scheme_id").groupBy("key_group") for df in (u, held))
+    return _guard_rows(u.transformWithStateInPandas(ReopenGuards(), STEP_OUT, "Append", "None", initialState=held))
 
 
 @register("s03b_duplicate_guard_reopen_stream")

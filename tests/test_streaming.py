@@ -205,7 +205,8 @@ def _unordered_events(spark, cat, folder):
     return Catalog.from_testdata(spark, str(folder))
 
 
-STREAMS = [("audit_trail_stream_tws", "t01_audit_trail"), ("duplicate_guard_stream", "t03_duplicate_guard")]
+STREAMS = [("audit_trail_stream_tws", "t01_audit_trail"), ("duplicate_guard_stream", "t03_duplicate_guard"),
+           ("duplicate_guard_reopen_stream", "t03b_duplicate_guard_reopen")]
 
 
 @pytest.mark.parametrize("stream, batch", STREAMS)
