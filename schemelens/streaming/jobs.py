@@ -469,13 +469,23 @@ def s03b_duplicate_guard_reopen_stream(cat) -> DataFrame:
 LEDGER = "scheme_id bigint, added_amount decimal(25,2), payments bigint, last_updated timestamp_ntz"
 
 
-def pool_ledger_stream(cat, payments_path: str) -> DataFrame:
-    """Totals of each scheme's payments so far; an update holds the schemes that changed."""
+#: Bytes of payments in a micro-batch of ``s02``: each micro-batch reads the applications, so their number must not follow
+#: the number of files.
+LEDGER_BATCH = 256 << 20
+
+
+def pool_ledger_stream(cat, payments_path: str, batch_bytes: int | None = None) -> DataFrame:
+    """Totals of each scheme's payments so far; an update holds the schemes that changed.
+
+    A micro-batch takes one file, or files of about ``batch_bytes``.  It is planned without AQE and would broadcast
+    whichever side looks small, again each time: the merge join keeps payments and applications off the driver.
+    """
     from schemelens.operators.triggers import payment_totals
     spark = cat.spark
     static = spark.read.parquet(payments_path)
-    pay = spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(payments_path)
-    return payment_totals(pay, cat["application"])
+    limit = ("maxBytesPerTrigger", batch_bytes) if batch_bytes else ("maxFilesPerTrigger", 1)
+    pay = spark.readStream.schema(static.schema).option(*limit).parquet(payments_path)
+    return payment_totals(pay, stored_applications(cat).hint("merge"))
 
 
 def publish_totals(changed: DataFrame, epoch: int, table_path: str, stream: str) -> None:
@@ -508,10 +518,10 @@ def publish_totals(changed: DataFrame, epoch: int, table_path: str, stream: str)
     manifest.commit(spark, table_path, change)
 
 
-def run_ledger(cat, payments_path: str, table_path: str, checkpoint: str) -> DataFrame:
+def run_ledger(cat, payments_path: str, table_path: str, checkpoint: str, batch_bytes: int | None = None) -> DataFrame:
     """Drain the payments into the stored totals at ``table_path``; the pools with these totals added."""
     from schemelens.operators.triggers import closing_pools
-    q = (pool_ledger_stream(cat, payments_path).writeStream.outputMode("update")
+    q = (pool_ledger_stream(cat, payments_path, batch_bytes).writeStream.outputMode("update")
          .foreachBatch(lambda batch, epoch: publish_totals(batch, epoch, table_path, checkpoint))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -526,7 +536,8 @@ def s02_pool_ledger_stream(cat) -> DataFrame:
     from schemelens.operators.payments import payment_run
     base = _stream_folder(cat.spark, "ledger")
     payment_run(cat)[0].write.parquet(os.path.join(base, "payments"))
-    return run_ledger(cat, os.path.join(base, "payments"), os.path.join(base, "totals"), os.path.join(base, "checkpoint"))
+    return run_ledger(cat, os.path.join(base, "payments"), os.path.join(base, "totals"), os.path.join(base, "checkpoint"),
+                      LEDGER_BATCH)
 
 
 @register("s01b_audit_trail_value_state")

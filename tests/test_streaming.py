@@ -238,3 +238,29 @@ def test_keys_are_handled_in_groups(spark, cat001, tmp_path, monkeypatch, stream
             assert got.count() == exp.count() == 240
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", frame)
+
+
+def test_ledger_micro_batches_send_no_table_to_the_driver(spark, cat001, tmp_path):
+    """Micro-batches are bounded by bytes, not files, and broadcast neither payments nor what applications derive from."""
+    from schemelens.operators.payments import payment_run
+    from schemelens.operators.triggers import pool_ledger
+    from schemelens.sources import manifest
+    from schemelens.streaming import jobs
+    rows = payment_run(cat001)[0]
+    pay, totals, checkpoint = (str(tmp_path / n) for n in ("payments", "totals", "checkpoint"))
+    rows.repartition(4, "disbursement_id").write.parquet(pay)
+    plans = []
+    real = jobs.publish_totals
+
+    def publish(changed, epoch, table_path, stream):
+        real(changed, epoch, table_path, stream)
+        plans.append(spark.streams.active[0]._jsq.explainInternal(False))
+
+    jobs.publish_totals = publish
+    try:
+        got = jobs.run_ledger(cat001, pay, totals, checkpoint, jobs.LEDGER_BATCH)
+    finally:
+        jobs.publish_totals = real
+    assert sorted(got.collect()) == sorted(pool_ledger(cat001["pool"], rows, cat001["application"]).select(got.columns).collect())
+    assert manifest.current(spark, totals).applied["stream"]["epoch"] == "0"
+    assert "BroadcastExchange" not in plans[0] and "c_custkey" not in plans[0] and "SortMergeJoin" in plans[0]
