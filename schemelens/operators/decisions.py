@@ -53,11 +53,20 @@ def _ord() -> list:
     return [F.col("requested_at"), F.col("request_id")]
 
 
+def stored_pool(cat) -> DataFrame:
+    """The pools as a stored table: deriving them reads all disbursements, and the batch looks them up several times."""
+    if cat.warehouse is not None:
+        return cat.dim("pool")
+    if "pool" not in cat.memo:
+        cat.memo["pool"] = checkpoint_table(cat["pool"])
+    return cat.small(cat.memo["pool"], "pool")
+
+
 def requested_applications(decisions: DataFrame, cat) -> DataFrame:
     """One row per requested application that is stored: what the checks need of it, its pool and its benefit."""
     app = cat["application"].select("application_id", "citizen_id", "scheme_id",
                                     F.col("status").alias("init_status"), F.lit(True).alias("_app"))
-    pool = cat.dim("pool").select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem0"),
+    pool = stored_pool(cat).select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem0"),
                                   F.lit(True).alias("_pool"))
     paid = cat["disbursement"].select("application_id").distinct().withColumn("_paid", F.lit(True))
     asked = decisions.select("application_id").distinct()
@@ -86,16 +95,19 @@ def decide_batch(decisions: DataFrame, cat) -> DataFrame:
         "request_id", "application_id", "officer_id", "action", "requested_at", "scheme_id", "init_status", "_app",
         "_rem0", "_pool", "benefit", "_act", "_pend", "_officer_ok", "_asks", "_remarks"), "application_id", _ord())
 
-    claims = (ordered.running_state(r, "application_id", _ord(), "_asks", "_before")
-              .filter((F.col("_asks") == DISBURSED) & F.col("_before").isNull())
-              .select("request_id", "scheme_id", "requested_at", F.col("benefit").alias("amount")))
-    budgets = cat.dim("pool").select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem"))
+    # claims, grants and the states after them each feed two branches too
+    claims = checkpoint_table(
+        ordered.running_state(r, "application_id", _ord(), "_asks", "_before")
+        .filter((F.col("_asks") == DISBURSED) & F.col("_before").isNull())
+        .select("request_id", "scheme_id", "requested_at", F.col("benefit").alias("amount")))
+    budgets = stored_pool(cat).select("scheme_id", (F.col("total_budget") - F.col("disbursed_amount")).alias("_rem"))
     alloc = allocate(claims, budgets, "scheme_id", "request_id", "amount", _ord(), catalog=cat)
-    grants = alloc.filter("granted").select("request_id", F.lit(True).alias("_granted"))
+    grants = checkpoint_table(alloc.filter("granted").select("request_id", F.lit(True).alias("_granted")))
 
     r = r.join(grants, "request_id", "left")
     move = F.when((F.col("_asks") == REJECTED) | F.col("_granted"), F.col("_asks"))
-    r = ordered.running_state(r.withColumn("_move", move), "application_id", _ord(), "_move", "_before").drop(ordered.PIECE)
+    r = checkpoint_table(ordered.running_state(r.withColumn("_move", move), "application_id", _ord(), "_move", "_before")
+                         .drop(ordered.PIECE))
 
     late = F.col("_before").isNotNull()
     is_term = F.col("_before").isNull() & F.col("_move").isNotNull()

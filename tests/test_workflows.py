@@ -166,3 +166,21 @@ def test_decision_effects_respect_budgets(cat001):
         if opening_rem >= 0:
             assert r.added_amount <= opening_rem  # grants never overdraw a pool
     assert eff["audit"].filter("old_status not in ('SUBMITTED','UNDER_REVIEW')").count() == 0
+
+
+def test_decision_batch_derives_the_pools_once(spark, cat001):
+    """Pools, claims, grants and states that several branches read are written once, not derived for each of them."""
+    from schemelens.operators.decisions import decide_batch
+    from schemelens.sources.catalog import Catalog
+    derived = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for pdf in frames:
+            derived.add(len(pdf))
+            yield pdf
+
+    pool = cat001["pool"]
+    cat = Catalog(spark, {t: cat001[t] for t in cat001.names()} | {"pool": pool.mapInPandas(counted, pool.schema)})
+    got = decide_batch(cat["decision_request"], cat)
+    assert got.exceptAll(decide_batch(cat001["decision_request"], cat001)).count() == 0
+    assert derived.value == pool.count() > 0
